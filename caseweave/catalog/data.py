@@ -267,8 +267,10 @@ INDEX = f"""idx AS (
     LIMIT {fixed.INDEX_SAMPLE_SIZE})"""
 
 
-def sql_retrieved(messages: str = "cases") -> str:
-    """``found``: the best three other cases of every message."""
+def sql_retrieved(
+    messages: str = "cases", allowed: str = "m.message_id <> i.message_id"
+) -> str:
+    """``found``: the best three cases of every message, by default other than itself."""
     return f"""found AS (
     SELECT m.message_id, i.message_id AS case_id, i.customer_msg_clean AS past_customer_msg,
            i.brand_reply_clean AS past_brand_reply,
@@ -276,7 +278,7 @@ def sql_retrieved(messages: str = "cases") -> str:
            row_number() OVER (PARTITION BY m.message_id
                ORDER BY round(list_cosine_similarity(m.embedding, i.embedding), 9) DESC,
                         i.message_id) AS rank
-    FROM {messages} m JOIN idx i ON m.message_id <> i.message_id
+    FROM {messages} m JOIN idx i ON {allowed}
     QUALIFY rank <= 3)"""
 
 

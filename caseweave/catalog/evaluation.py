@@ -319,7 +319,7 @@ _EVALUATED = f"""{D.PAIR_CTES}, {D.CASES}, {D.INDEX}, {D.DOCS}, {D.GOLDEN},
                g.escalate_or_auto AS true_escalate, e.embedding::DOUBLE[] AS embedding
         FROM golden g JOIN embeddings e
           ON e.vec_id = {D.sql_hash("g.message_id")} % (SELECT count(*) FROM embeddings)),
-    {D.sql_retrieved("messages")},
+    {D.sql_retrieved("messages", "true")},
     scored AS (
         SELECT m.message_id, m.customer_msg_clean AS message, m.true_intent, m.true_escalate,
                {D.sql_intent("m.customer_msg_clean")} AS pipeline_intent,
@@ -372,7 +372,7 @@ ORACLE = {
     "q32_partial_prelabel": _prelabelled_sql("message_id IN (SELECT doc_id FROM labels)"),
     "q33_partial_index": f"""
         SELECT vec_id, label, round(sqrt(list_sum(
-                 list_transform(embedding, x -> x::DOUBLE * x::DOUBLE))), 6) AS norm
+                 list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6) AS norm
         FROM embeddings ORDER BY {D.sql_sample_order(fixed.INDEX_SEED, "vec_id")}, vec_id
         LIMIT 300""",
     "q34_bulk_finalize": f"""WITH {D.DOCS},

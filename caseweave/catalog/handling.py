@@ -151,8 +151,10 @@ def batch_replies(spark, sf):
     labels = parse_label_batch(F.col("raw"), F.size("items"))
     return (
         answered.withColumn("raw", raw)
-        .select("bucket", "batch", F.arrays_zip("items", labels.alias("labels")).alias("rows"))
-        .select("bucket", "batch", F.posexplode("rows").alias("index", "row"))
+        .select("bucket", "batch", "items", labels.alias("labels"))
+        .select(
+            "bucket", "batch", F.posexplode(F.arrays_zip("items", "labels")).alias("index", "row")
+        )
         .select(
             "bucket", "batch", "index",
             F.col("row.items.key").alias("message_id"),
@@ -323,7 +325,7 @@ ORACLE = {
         FROM scored""",
     "q17_vector_table": """
         SELECT vec_id, label, len(embedding)::INTEGER AS n_dims,
-               round(sqrt(list_sum(list_transform(embedding, x -> x::DOUBLE * x::DOUBLE))), 6)
+               round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6)
                  AS norm
         FROM embeddings""",
     "q18_cosine_scores": """

@@ -8,6 +8,7 @@ from caseweave import fixed
 from caseweave.catalog import data as D
 from caseweave.functions import text as T
 from caseweave.functions.keywords import add_keyword_intent, rule_decision
+from caseweave.operators.filters import drop_short, only_short
 from caseweave.operators.labelling import bucket_members, bucket_sizes, golden_candidates
 from caseweave.operators.metrics import majority_value
 from caseweave.operators.pairs import (
@@ -42,7 +43,7 @@ def cleaned(spark, sf):
 
 
 def min_length_dedup(spark, sf):
-    docs = D.documents(spark, sf).where(T.long_enough(F.col("customer_msg_clean")))
+    docs = drop_short(D.documents(spark, sf))
     return keep_first(docs, ["customer_msg_clean"], [F.col("message_id").asc()]).select(
         "message_id", "customer_msg_clean"
     )
@@ -64,7 +65,7 @@ def seeded_sample(spark, sf):
 
 
 def short_messages(spark, sf):
-    docs = D.documents(spark, sf).where(T.is_short(F.col("customer_msg_clean")))
+    docs = only_short(D.documents(spark, sf))
     return docs.select(
         "message_id", "customer_msg_clean",
         T.word_count(F.col("customer_msg_clean")).alias("n_words"),
@@ -182,10 +183,10 @@ ORACLE = {
          ORDER BY {_SAMPLE} LIMIT 150)""",
     "q08_short_messages": f"""WITH {D.DOCS}
         SELECT message_id, customer_msg_clean,
-               len(list_filter(string_split(customer_msg_clean, ' '), w -> w <> ''))::INTEGER
+               len(list_filter(string_split(customer_msg_clean, ' '), lambda w: w <> ''))::INTEGER
                  AS n_words
         FROM docs
-        WHERE len(list_filter(string_split(customer_msg_clean, ' '), w -> w <> '')) <= 7""",
+        WHERE len(list_filter(string_split(customer_msg_clean, ' '), lambda w: w <> '')) <= 7""",
     "q09_stage_counts": f"""{D.PAIR_CTES},
         replies AS (
             SELECT r.tweet_id, r.in_response_to_tweet_id AS pointer, p.tweet_id AS parent,

@@ -80,16 +80,3 @@ def add_keyword_intent(
         .withColumn(out, keyword_intent(F.col(text), F.col(LOWERED), rules))
         .drop(LOWERED)
     )
-
-
-def add_keyword_buckets(
-    df: DataFrame,
-    text: str,
-    rules: dict[str, list[str]] = fixed.KEYWORD_RULES,
-    out: str = "buckets",
-) -> DataFrame:
-    return (
-        with_lowered(df, text)
-        .withColumn(out, keyword_buckets(F.col(text), F.col(LOWERED), rules))
-        .drop(LOWERED)
-    )

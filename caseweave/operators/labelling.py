@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from caseweave import fixed
 from caseweave.functions.keywords import (
-    add_keyword_buckets, bucket_order, rule_decision,
+    LOWERED, bucket_order, keyword_buckets, rule_decision, with_lowered,
 )
 from caseweave.functions.text import is_blank
 from caseweave.operators.pairs import keep_first
@@ -37,8 +37,11 @@ def bucket_members(
     rules: dict[str, list[str]] = fixed.KEYWORD_RULES,
 ) -> DataFrame:
     """``(key, bucket)``, one row per message and bucket it belongs to."""
-    return add_keyword_buckets(df.select(key, text), text, rules).select(
-        key, F.explode("buckets").alias("bucket")
+    # exploded in the same expression: from a named array column the optimizer would infer a
+    # filter on its size and compute all hits a second time
+    buckets = keyword_buckets(F.col(text), F.col(LOWERED), rules)
+    return with_lowered(df.select(key, text), text).select(
+        key, F.explode(buckets).alias("bucket")
     )
 
 

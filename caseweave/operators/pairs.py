@@ -96,12 +96,6 @@ def add_clean_columns(pairs: DataFrame) -> DataFrame:
     )
 
 
-def drop_short(
-    df: DataFrame, text: str = "customer_msg_clean", longer_than: int = fixed.MIN_CLEAN_LENGTH
-) -> DataFrame:
-    return df.where(long_enough(F.col(text), longer_than))
-
-
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the first in ``order``.
 

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseweave import fixed
+from caseweave.operators.filters import drop_short
 from caseweave.operators.pairs import (
-    PARENT_ORDER, add_clean_columns, drop_short, filter_brand_replies, keep_first,
-    reconstruct_pairs,
+    PARENT_ORDER, add_clean_columns, filter_brand_replies, keep_first, reconstruct_pairs,
 )
 from caseweave.operators.sampling import sample_exact
 from caseweave.session import store_stage
