@@ -10,7 +10,7 @@ from caseweave.functions.keywords import add_keyword_intent, rule_decision
 from caseweave.functions.text import clean_text, fill_text
 from caseweave.plans.prepare import clean_pairs
 from caseweave.sources.conversations import TURNS_PER_CONVERSATION, tweets_from_turns
-from caseweave.sources.tables import read_table
+from caseweave.sources.tables import read_table, spread_few_splits
 
 BRAND = "assistant"
 
@@ -40,13 +40,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet", schema)
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose texts are about to be processed."""
+    return spread_few_splits(table(spark, sf_dir, name), key)
+
+
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tweets_from_turns(table(spark, sf_dir, "conversations"))
+    return tweets_from_turns(texts(spark, sf_dir, "conversations", "conv_id"))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as messages: the cleaned text, and the source in place of a reply."""
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents", "doc_id").select(
         F.col("doc_id").alias("message_id"),
         clean_text(F.col("text")).alias("customer_msg_clean"),
         F.col("source").alias("brand_reply_clean"),

@@ -19,7 +19,7 @@ from caseweave.operators.clustering import (
 from caseweave.operators.embedding import embed, fit_embedder
 from caseweave.operators.providers import rule_batch_provider, rule_provider
 from caseweave.operators.retrieval import (
-    CASE_COLUMNS, add_norm, broadcast_index, retrieve_similar, sample_index, top_k_similar,
+    CASE_COLUMNS, add_norm, broadcast_index, build_index, retrieve_similar, sample_index, top_k_similar,
     top_similarity,
 )
 from caseweave.plans.handle import draft_reply, handle_messages
@@ -203,7 +203,8 @@ def handled(spark, sf):
 def embedded_index(spark, sf):
     docs = D.documents(spark, sf)
     model = fit_embedder(docs, "customer_msg_clean")
-    return sample_index(embed(docs, "customer_msg_clean", model), "message_id").select(
+    index = build_index(docs, lambda df: embed(df, "customer_msg_clean", model), "message_id")
+    return index.select(
         "message_id", F.size("embedding").alias("n_dims"), F.round("norm", 4).alias("norm")
     )
 

@@ -38,7 +38,7 @@ def raw_pairs(spark, sf):
 
 
 def cleaned(spark, sf):
-    docs = D.table(spark, sf, "documents")
+    docs = D.texts(spark, sf, "documents", "doc_id")
     return docs.select("doc_id", "text", T.clean_text(F.col("text")).alias("text_clean"))
 
 

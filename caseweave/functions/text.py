@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from caseweave import fixed
 
 _BLANK_ENDS = f"^{fixed.SPACE_CLASS}+|{fixed.SPACE_CLASS}+\\z"
+# White space other than the plain space.  The first half rejects ASCII and most European
+# letters with one comparison, before the list of spaces is tried.
+_ODD_SPACE = f"[[^ -~\\xa1-\\x{{167f}}]&&{fixed.SPACE_CLASS}]"
 
 
 def strip(text: Column) -> Column:
@@ -15,16 +18,24 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, _BLANK_ENDS, "")
 
 
+def plain_spaces(text: Column) -> Column:
+    """Every white-space character as a plain space."""
+    return F.regexp_replace(text, _ODD_SPACE, " ")
+
+
 def clean_text(text: Column) -> Column:
     """Drop @mentions, then links, then collapse white space."""
-    no_mentions = F.regexp_replace(text, fixed.MENTION_PATTERN, "")
+    no_mentions = F.when(
+        F.contains(text, F.lit("@")), F.regexp_replace(text, fixed.MENTION_PATTERN, "")
+    ).otherwise(text)
     no_links = F.regexp_replace(no_mentions, fixed.URL_PATTERN, "")
-    return F.trim(F.regexp_replace(no_links, f"{fixed.SPACE_CLASS}+", " "))
+    # one replacement per odd space and per run of spaces, not one per word
+    return F.trim(F.regexp_replace(plain_spaces(no_links), " {2,}", " "))
 
 
 def word_count(text: Column) -> Column:
     """Number of white-space separated words; blank text has none."""
-    return F.regexp_count(text, F.lit(f"{fixed.NONSPACE_CLASS}+"))
+    return F.size(F.array_remove(F.split(plain_spaces(text), " "), ""))
 
 
 def has_at_most_words(text: Column, limit: int) -> Column:

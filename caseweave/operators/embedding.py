@@ -6,12 +6,13 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseweave import fixed
+from caseweave.functions.text import plain_spaces
 
 N_FEATURES = 256
 
@@ -23,21 +24,21 @@ def fit_embedder(df: DataFrame, text: str, n_features: int = N_FEATURES) -> Pipe
     ``n_features`` numbers.
     """
     stages = [
-        RegexTokenizer(inputCol="_text", outputCol="_words", pattern=f"{fixed.SPACE_CLASS}+"),
         HashingTF(inputCol="_words", outputCol="_counts", numFeatures=n_features),
         IDF(inputCol="_counts", outputCol="_weighted"),
         Normalizer(inputCol="_weighted", outputCol="_unit"),
     ]
-    return Pipeline(stages=stages).fit(_text_only(df.select(text), text))
+    return Pipeline(stages=stages).fit(_with_words(df.select(text), text))
 
 
-def _text_only(df: DataFrame, text: str) -> DataFrame:
-    return df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+def _with_words(df: DataFrame, text: str) -> DataFrame:
+    words = F.split(plain_spaces(F.lower(F.coalesce(F.col(text), F.lit("")))), " ")
+    return df.withColumn("_words", F.array_remove(words, ""))
 
 
 def embed(df: DataFrame, text: str, model: PipelineModel, out: str = "embedding") -> DataFrame:
     """``df`` with an ``array<float>`` vector per row; narrow, no shuffle."""
-    vectors = model.transform(_text_only(df, text))
+    vectors = model.transform(_with_words(df, text))
     return vectors.withColumn(out, vector_to_array("_unit", "float32")).select(*df.columns, out)
 
 

@@ -26,23 +26,15 @@ class Patch:
     escalate_reason: str | None = None
 
 
-def _patch_array(patches: list[Patch]) -> Column:
-    """The patches as a constant array; they are written by hand and therefore few."""
-    if len(patches) > MAX_PATCHES:
+def _matches(patches: list[Patch], text: str) -> Column:
+    """Numbers of the patches whose snippet a row contains."""
+    if len(patches) > MAX_PATCHES:  # they are written by hand and become part of the plan
         raise ValueError(f"at most {MAX_PATCHES} patches at a time")
-
-    def value(v: str | None) -> Column:
-        return F.lit(v).cast("string")
-
-    return F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("patch"),
-                *[value(v).alias(name) for name, v in asdict(patch).items()],
-            )
-            for i, patch in enumerate(patches)
-        ]
-    )
+    hits = [
+        F.when(F.contains(F.col(text), F.lit(patch.snippet)), F.lit(i))
+        for i, patch in enumerate(patches)
+    ]
+    return F.array_compact(F.array(*hits))
 
 
 def apply_patches(
@@ -56,24 +48,23 @@ def apply_patches(
     No join takes place: matches are found by expressions in each row, and the list of patches
     that match once, at most :data:`MAX_PATCHES` numbers, comes back as a scalar.
     """
-    matching = F.filter(_patch_array(patches), lambda p: F.contains(F.col(text), p["snippet"]))
     counts = (
-        df.select(F.explode(F.transform(matching, lambda p: p["patch"])).alias("patch"))
+        df.select(F.explode(_matches(patches, text)).alias("patch"))
         .groupBy("patch")
         .agg(F.count(F.lit(1)).alias("n_matches"))
     )
     unique = counts.where(F.col("n_matches") == 1).agg(
         F.collect_list("patch").alias("unique")
     )  # at most one number per patch
-    marked = df.withColumn("_unique", unique.scalar()).withColumn(
-        "_apply", F.filter(matching, lambda p: F.array_contains(F.col("_unique"), p["patch"]))
-    )
+    marked = df.withColumn("_apply", F.array_intersect(_matches(patches, text), unique.scalar()))
 
     def last_value(column: str) -> Column:
-        given = F.filter(
-            F.transform(F.col("_apply"), lambda p: p[column]), lambda v: v.isNotNull()
-        )
-        return F.coalesce(F.try_element_at(given, F.lit(-1)), F.col(column))
+        value = F.when(F.lit(False), F.col(column))
+        for i, patch in reversed(list(enumerate(patches))):
+            new = getattr(patch, column)
+            if new is not None:
+                value = value.when(F.array_contains(F.col("_apply"), i), F.lit(new))
+        return value.otherwise(F.col(column))
 
     patched = marked.withColumns({c: last_value(c) for c in PATCHED_COLUMNS})
     spark = df.sparkSession

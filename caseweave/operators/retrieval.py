@@ -17,7 +17,7 @@ have no similarity and are never retrieved.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -56,6 +56,17 @@ def sample_index(
     return add_norm(sample_exact(embedded, n, seed, key), vector)
 
 
+def build_index(
+    cases: DataFrame,
+    embed: Callable[[DataFrame], DataFrame],
+    key: str,
+    n: int = fixed.INDEX_SAMPLE_SIZE,
+    seed: int = fixed.INDEX_SEED,
+) -> DataFrame:
+    """Retrieval index from texts: draw the sample, then embed only that."""
+    return add_norm(embed(sample_exact(cases, n, seed, key)))
+
+
 def partial_index(
     cases: DataFrame,
     vectors: DataFrame,
