@@ -28,6 +28,13 @@ SPACE_SET = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 SPACE_CLASS = f"[{SPACE_SET}]"
+SPACE_CHARS = "".join(
+    chr(c)
+    for c in [
+        *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+        0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+    ]
+)
 NONSPACE_CLASS = f"[^{SPACE_SET}]"
 MENTION_PATTERN = "@" + WORD_CLASS + "+"
 URL_PATTERN = "http" + NONSPACE_CLASS + "+"

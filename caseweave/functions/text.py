@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from caseweave import fixed
 
-_BLANK_ENDS = f"^{fixed.SPACE_CLASS}+|{fixed.SPACE_CLASS}+\\z"
 # White space other than the plain space.  The first half rejects ASCII and most European
 # letters with one comparison, before the list of spaces is tried.
 _ODD_SPACE = f"[[^ -~\\xa1-\\x{{167f}}]&&{fixed.SPACE_CLASS}]"
@@ -15,7 +14,7 @@ _ODD_SPACE = f"[[^ -~\\xa1-\\x{{167f}}]&&{fixed.SPACE_CLASS}]"
 
 def strip(text: Column) -> Column:
     """Remove Unicode white space at both ends."""
-    return F.regexp_replace(text, _BLANK_ENDS, "")
+    return F.btrim(text, F.lit(fixed.SPACE_CHARS))
 
 
 def plain_spaces(text: Column) -> Column:

@@ -14,10 +14,12 @@ def filter_in_place(df: DataFrame, predicate: Column) -> DataFrame:
 
     The optimizer moves a filter below the projection that computes its column by copying the
     column's expression into the filter.  For a cheap column that is what one wants; cleaned text
-    would be computed twice per row, and below a join for rows that never match.  A predicate
-    that mentions the partition id is not deterministic and therefore stays.
+    would be computed twice per row, and below a join for rows that never match.  Filters are
+    not moved below a projection with a column that is not deterministic, such as the partition
+    id.
     """
-    return df.where(F.when(F.spark_partition_id() >= 0, predicate))
+    marked = df.withColumn("_task", F.spark_partition_id())
+    return marked.where((F.col("_task") >= 0) & predicate).drop("_task")
 
 
 def drop_short(

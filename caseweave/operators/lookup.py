@@ -10,32 +10,31 @@ MAX_HOT_KEYS = 128
 MAX_SALTS = 4096
 HOT_KEY_ROWS = 1_000_000
 
-_KEY, _SALTS, _SALT, _RANK = "_key", "_salts", "_salt", "_rank"
+_KEY, _SALT, _RANK = "_key", "_salt", "_rank"
 
 
 def hot_keys(
     df: DataFrame, key: Column, min_rows: int = HOT_KEY_ROWS, max_keys: int = MAX_HOT_KEYS
 ) -> DataFrame:
-    """Most frequent keys with the number of salts each should be spread over.
+    """One row, one map: the most frequent keys and the number of salts to spread each over.
 
-    The frequent-items sketch is merged map-side, so this moves no rows, and it returns at
-    most ``max_keys`` rows.  Its counts are estimates; they choose a route, not a result.
+    The frequent-items sketch is merged map-side, so this moves no rows, and the map has at most
+    ``max_keys`` entries.  Its counts are estimates; they choose a route, not a result.
     """
-    sketch = F.call_function(
-        "approx_top_k", F.col(_KEY), F.lit(max_keys), F.lit(max_keys * 100)
+    sketch = F.call_function("approx_top_k", F.col(_KEY), F.lit(max_keys), F.lit(max_keys * 100))
+    frequent = F.filter(F.col("top"), lambda entry: entry["count"] >= min_rows)
+    salts = F.transform(
+        frequent,
+        lambda entry: F.struct(
+            entry["item"],
+            F.least(F.ceil(entry["count"] / min_rows), F.lit(MAX_SALTS)).cast("int"),
+        ),
     )
     return (
         df.select(key.alias(_KEY))
         .where(F.col(_KEY).isNotNull())
         .agg(sketch.alias("top"))
-        .select(F.inline("top"))
-        .where(F.col("count") >= min_rows)
-        .select(
-            F.col("item").alias(_KEY),
-            F.least(F.ceil(F.col("count") / min_rows), F.lit(MAX_SALTS))
-            .cast("int")
-            .alias(_SALTS),
-        )
+        .select(F.map_from_entries(salts).alias("salts"))
     )
 
 
@@ -58,29 +57,22 @@ def lookup_join(
     With ``first_by``, ``dims`` may hold several rows per key and the first in that order is
     used.  Copies are dropped before the shuffle, and the join reuses that shuffle.
     """
-    hot = F.broadcast(hot_keys(facts, F.col(fact_key), hot_key_rows))  # <= MAX_HOT_KEYS rows
+    hot = hot_keys(facts, F.col(fact_key), hot_key_rows).scalar()  # <= MAX_HOT_KEYS entries
     spread = F.xxhash64(F.col(spread_by))
 
-    left = (
-        facts.withColumn(_KEY, F.col(fact_key))
-        .join(hot, _KEY, "left")
-        .withColumn(
-            _SALT,
-            F.when(F.col(_KEY).isNull(), F.pmod(spread, F.lit(MAX_SALTS)))
-            .otherwise(F.pmod(spread, F.coalesce(F.col(_SALTS), F.lit(1))))
-            .cast("int"),
-        )
-        .drop(_SALTS)
+    def n_salts() -> Column:
+        return F.coalesce(F.try_element_at(hot, F.col(_KEY)), F.lit(1))
+
+    left = facts.withColumn(_KEY, F.col(fact_key)).withColumn(
+        _SALT,
+        F.when(F.col(_KEY).isNull(), F.pmod(spread, F.lit(MAX_SALTS)))
+        .otherwise(F.pmod(spread, n_salts()))
+        .cast("int"),
     )
     right = (
         dims.withColumn(_KEY, F.col(dim_key))
         .where(F.col(_KEY).isNotNull())
-        .join(hot, _KEY, "left")
-        .withColumn(
-            _SALT,
-            F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)),
-        )
-        .drop(_SALTS)
+        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), n_salts() - 1)))
     )
     if first_by:
         first = W.partitionBy(_KEY, _SALT).orderBy(*first_by)
