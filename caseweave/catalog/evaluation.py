@@ -136,7 +136,7 @@ def label_validation(spark, sf):
 def _evaluated(spark, sf, n):
     cases = store_stage(D.pairs(spark, sf), "cases")
     index = sample_index(cases, "message_id")
-    golden = D.golden(spark, sf)
+    golden = store_stage(D.golden(spark, sf), "golden")
 
     def handle(rows):
         return handle_messages(

@@ -52,6 +52,15 @@ def majority_value(df: DataFrame, column: str) -> DataFrame:
     return counts.orderBy(F.col("n").desc(), column).limit(1).select(column)
 
 
+def majority_labels(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row, one struct: the most frequent value of each label column, from a single pass.
+
+    For columns with few distinct values, of which every task keeps the counts.
+    """
+    modes = [F.mode(c, True).alias(c) for c in columns]
+    return df.agg(*modes).select(F.struct(*columns).alias("majority"))
+
+
 def mean_scores(
     scores: DataFrame, dimensions: list[str] = fixed.RUBRIC_DIMENSIONS
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from caseweave import fixed, schemas
 from caseweave.functions.keywords import add_keyword_intent, rule_decision
 from caseweave.functions.prompts import rubric_prompt
 from caseweave.functions.responses import parse_rubric
-from caseweave.operators.metrics import majority_value, same
+from caseweave.operators.metrics import majority_labels, same
 from caseweave.operators.providers import Provider
 from caseweave.operators.sampling import sample_exact
 
@@ -22,14 +22,15 @@ def add_baselines(
     """``results`` with the trivial and the keyword baseline.
 
     The trivial one predicts the most frequent labels of the whole golden set; they come in as
-    scalars.
+    a scalar.
     """
     simple = add_keyword_intent(results, "message", rules, out="simple_intent")
+    majority = majority_labels(golden, ["true_intent", "escalate_or_auto"]).scalar()
     return simple.withColumns(
         {
             "simple_escalate": rule_decision(F.col("simple_intent")),
-            "trivial_intent": majority_value(golden, "true_intent").scalar(),
-            "trivial_escalate": majority_value(golden, "escalate_or_auto").scalar(),
+            "trivial_intent": majority["true_intent"],
+            "trivial_escalate": majority["escalate_or_auto"],
         }
     )
 
