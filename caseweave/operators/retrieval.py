@@ -92,7 +92,8 @@ def _make_kernel():
         valid = vectors.is_valid().to_numpy(zero_copy_only=False)
         width = len(vectors[int(np.argmax(valid))]) if valid.any() else 0
         rows = np.zeros((len(vectors), width))
-        rows[valid] = vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+        values = vectors.flatten().to_numpy(zero_copy_only=False)
+        rows[valid] = values.reshape(int(valid.sum()), width)
         norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))
         usable = valid & (norms > 0)
         rows[usable] /= norms[usable, None]
