@@ -87,7 +87,9 @@ def max_similarity(spark, sf):
 
 def cluster_representatives(spark, sf):
     vectors = D.table(spark, sf, "embeddings")
-    return nearest_per_cluster(vectors, mean_centres(vectors, "label"), "label", "vec_id").select(
+    # a stored table has a known size, by which the planner chooses the join
+    centres = store_stage(mean_centres(vectors, "label"), "centres")
+    return nearest_per_cluster(vectors, centres, "label", "vec_id").select(
         "cluster", "vec_id", "rank", F.round("distance", 6).alias("distance")
     )
 

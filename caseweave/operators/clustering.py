@@ -66,7 +66,8 @@ def nearest_per_cluster(
 ) -> DataFrame:
     """The ``n`` rows closest to the centre of their cluster, with distance and rank.
 
-    Only keys and distances are ranked, and at most ``n`` per cluster leave a map task.
+    Pass centres of a known size (those of a model, or a stored table): the planner then
+    broadcasts them if they are small and never shuffles the vectors for it.  Only keys and distances are ranked, and at most ``n`` per cluster leave a map task.
     """
     renamed = centres.select(F.col("cluster").alias("_cluster"), "centre")
     distances = df.join(renamed, F.col(cluster) == F.col("_cluster")).select(

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caseweave.session import scratch_path
 from caseweave.sources.tables import append
 
+_PART = "_part"
+
 
 def pending(source: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows of ``source`` whose key is not done yet."""
@@ -38,13 +41,25 @@ def run_resumable(
 ) -> DataFrame:
     """Process the rows not yet in ``path`` and append them, in ``n_parts`` separate writes.
 
-    Parts are hashes of the key.  Each write is atomic, so an interrupted run loses at most one
-    part, and a new run processes only the keys that are missing.  ``schema`` is that of the
-    result and contains the key.
+    Each write is atomic, so an interrupted run loses at most one part, and a new run processes
+    only the keys that are missing.  With several parts the pending rows are stored once, by
+    part, so that every part reads only its own rows.  ``schema`` is that of the result and
+    contains the key.
     """
     spark = source.sparkSession
-    for part in range(n_parts):
-        mine = source.where(F.pmod(F.xxhash64(key), F.lit(n_parts)) == part)
-        todo = pending(mine, read_done(spark, path, schema), key)
+    todo = pending(source, read_done(spark, path, schema), key)
+    if n_parts == 1:
         append(process(todo).select(*schema.names), path)
+        return read_done(spark, path, schema)
+
+    staged = scratch_path(spark, "pending")
+    slices = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // n_parts)
+    part = F.pmod(F.xxhash64(key), F.lit(n_parts)).cast("int")
+    slice_ = F.pmod(F.xxhash64(key, F.lit(1)), F.lit(slices))
+    todo.withColumn(_PART, part).repartition(_PART, slice_).write.partitionBy(_PART).parquet(staged)
+    rows = spark.read.schema(T.StructType(todo.schema.fields)).option("basePath", staged)
+    for number in range(n_parts):
+        folder = f"{staged}/{_PART}={number}"
+        if table_exists(spark, folder):
+            append(process(rows.parquet(folder)).select(*schema.names), path)
     return read_done(spark, path, schema)
