@@ -10,8 +10,9 @@ from caseweave import fixed
 from caseweave.functions.text import clean_text, long_enough
 from caseweave.operators.lookup import HOT_KEY_ROWS, lookup_join
 
-# Order in which rows that share a tweet id are considered; a total order of their contents.
-PARENT_ORDER = ["created_at", "author_id", "text", "inbound"]
+# Order in which rows that share a tweet id are considered.  Rows that are equal in all of these
+# give the same pair.
+PARENT_ORDER = ["created_at", "text", "inbound"]
 
 REPLY_STATUSES = ["no_pointer", "parent_absent", "parent_not_inbound", "pair"]
 
@@ -24,12 +25,9 @@ def filter_brand_replies(tweets: DataFrame, brand: str = fixed.DEFAULT_BRAND) ->
 def _with_parent(
     tweets: DataFrame, replies: DataFrame, how: str, order: list[str], hot_key_rows: int
 ) -> DataFrame:
-    parents = tweets.select(
-        F.col("tweet_id").alias("parent_id"),
-        F.col("inbound").alias("parent_inbound"),
-        F.col("text").alias("parent_text"),
-        *[F.col(c).alias(f"_order_{i}") for i, c in enumerate(order)],
-    )
+    renamed = {"tweet_id": "parent_id", "inbound": "parent_inbound", "text": "parent_text"}
+    extra = {c: f"_order_{c}" for c in order if c not in renamed}
+    parents = tweets.select(*[F.col(c).alias(n) for c, n in {**renamed, **extra}.items()])
     joined = lookup_join(
         replies.select("tweet_id", "text", "created_at", "in_response_to_tweet_id"),
         parents,
@@ -37,10 +35,10 @@ def _with_parent(
         dim_key="parent_id",
         spread_by="tweet_id",
         how=how,
-        first_by=[F.col(f"_order_{i}").asc_nulls_last() for i in range(len(order))],
+        first_by=[F.col({**renamed, **extra}[c]).asc_nulls_last() for c in order],
         hot_key_rows=hot_key_rows,
     )
-    return joined.drop(*[f"_order_{i}" for i in range(len(order))])
+    return joined.drop(*extra.values())
 
 
 def reconstruct_pairs(
@@ -87,13 +85,9 @@ def reply_outcomes(
     )
 
 
-def add_clean_columns(pairs: DataFrame) -> DataFrame:
-    return pairs.withColumns(
-        {
-            "customer_msg_clean": clean_text(F.col("customer_msg")),
-            "brand_reply_clean": clean_text(F.col("brand_reply")),
-        }
-    )
+def add_clean(df: DataFrame, *texts: str) -> DataFrame:
+    """``<text>_clean`` beside each of the text columns."""
+    return df.withColumns({f"{text}_clean": clean_text(F.col(text)) for text in texts})
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -5,7 +5,7 @@ from caseweave import schemas
 from caseweave.operators.filters import drop_short
 from caseweave.operators.lookup import hot_keys, lookup_join
 from caseweave.operators.pairs import (
-    add_clean_columns, filter_brand_replies, keep_first, reconstruct_pairs, reply_outcomes,
+    add_clean, filter_brand_replies, keep_first, reconstruct_pairs, reply_outcomes,
     stage_counts,
 )
 from caseweave.plans.prepare import clean_pairs, prepare_pairs
@@ -127,7 +127,7 @@ def test_keep_first_and_filter(spark, plan_of):
         ]
     )
     kept = keep_first(
-        drop_short(add_clean_columns(pairs)), ["customer_msg_clean"], [F.col("brand_tweet_id")]
+        drop_short(add_clean(pairs, "customer_msg", "brand_reply")), ["customer_msg_clean"], [F.col("brand_tweet_id")]
     )
     assert [(r.brand_tweet_id, r.brand_reply_clean) for r in kept.collect()] == [(1, "a")]
     # the cleaned text is not copied into the filter
