@@ -21,8 +21,8 @@ from caseweave.plans.evaluate import (
     attach_scores, evaluation_results, pair_labels, pair_scores,
 )
 from caseweave.plans.handle import handle_messages
-from caseweave.session import store_stage
-from caseweave.sources.incremental import pending
+from caseweave.session import scratch_path, store_stage
+from caseweave.sources.incremental import pending, run_resumable
 
 PATCHES = [
     Patch("Than in ofblethti", "how_to_question", "auto", "explain", "known question"),
@@ -246,6 +246,16 @@ def pending_rows(spark, sf):
     )
 
 
+def resumed_labels(spark, sf):
+    """Labelling in two runs: the first sees only documents in ``labels``, the second all."""
+    docs = D.documents(spark, sf)
+    first = docs.join(_labelled_ids(spark, sf), "message_id", "left_semi")
+    path, schema = scratch_path(spark, "resumed"), "message_id long, intent string"
+    schema = spark.createDataFrame([], schema).schema
+    run_resumable(first, path, "message_id", _rule_labels, schema)
+    return run_resumable(docs, path, "message_id", _rule_labels, schema, n_parts=2)
+
+
 QUERIES = {
     "q31_prelabel": prelabelled,
     "q32_partial_prelabel": partly_prelabelled,
@@ -266,6 +276,7 @@ QUERIES = {
     "q45_spot_check_rates": spot_check_rates,
     "q46_score_distribution": distribution,
     "q47_pending_rows": pending_rows,
+    "q47_resumed_labels": resumed_labels,
 }
 
 _NULL_LABELS = ", ".join(f"NULL::VARCHAR AS {c}" for c in CANDIDATE_LABELS)
@@ -368,6 +379,8 @@ _RATERS = """raters AS (
                unnest([helpfulness, tone_match, grounding]) AS score FROM raters)"""
 
 ORACLE = {
+    "q47_resumed_labels": f"""WITH {D.DOCS}
+        SELECT message_id, {D.sql_intent("customer_msg_clean")} AS intent FROM docs""",
     "q31_prelabel": _prelabelled_sql("true"),
     "q32_partial_prelabel": _prelabelled_sql("message_id IN (SELECT doc_id FROM labels)"),
     "q33_partial_index": f"""

@@ -22,7 +22,9 @@ from caseweave.operators.retrieval import (
     CASE_COLUMNS, add_norm, broadcast_index, build_index, retrieve_similar, sample_index, top_k_similar,
     top_similarity,
 )
+from caseweave.plans.discover import discover_intents
 from caseweave.plans.handle import draft_reply, handle_messages
+from caseweave.plans.prepare import clean_pairs
 from caseweave.session import scratch_path, store_stage
 from caseweave.sources.conversations import TURNS_PER_CONVERSATION
 from caseweave.streaming.messages import decide_stream, decided
@@ -99,6 +101,14 @@ def kmeans_sizes(spark, sf):
     return cluster_sizes(assigned)
 
 
+def discovered(spark, sf):
+    """Typical messages of the clusters of a sample of the documents."""
+    found = discover_intents(D.documents(spark, sf), key="message_id", n_starts=2)
+    return found.examples.select(
+        "cluster", "rank", "message_id", F.round("distance", 4).alias("distance")
+    )
+
+
 def _pair_messages(spark, sf):
     return D.pairs(spark, sf).select("message_id", F.col("customer_msg_clean").alias("message"))
 
@@ -211,6 +221,25 @@ def embedded_index(spark, sf):
     )
 
 
+def handled_from_text(spark, sf):
+    """The flagship without given vectors: messages and index are embedded from their texts."""
+    pairs = clean_pairs(D.tweets(spark, sf), D.BRAND).withColumnRenamed(
+        "brand_tweet_id", "message_id"
+    )
+    cases = store_stage(
+        pairs.select("message_id", "customer_msg_clean", "brand_reply_clean"), "cases"
+    )
+    model = fit_embedder(cases, "customer_msg_clean")
+
+    def embedded(df):
+        return embed(df, "customer_msg_clean", model)
+
+    return handle_messages(
+        _messages(embedded(cases)), build_index(cases, embedded, "message_id"),
+        rule_provider("message", D.RULES), exclude_self=True, brand=D.BRAND,
+    ).withColumn("top_similarity", F.round("top_similarity", 4))
+
+
 def stream_decisions(spark, sf):
     """Every user turn as an incoming message, decided by the streaming front end."""
     _, index = _handled_inputs(spark, sf)
@@ -247,6 +276,7 @@ QUERIES = {
     "q20_max_similarity": max_similarity,
     "q21_cluster_representatives": cluster_representatives,
     "q22_kmeans_sizes": kmeans_sizes,
+    "q22_discover_intents": discovered,
     "q23_classify_prompt": single_prompts,
     "q24_batch_prompt": batch_prompts,
     "q25_parse_single": single_replies,
@@ -255,6 +285,7 @@ QUERIES = {
     "q28_draft_reply": drafted,
     "q29_handle_messages": handled,
     "q30_embed_index": embedded_index,
+    "q30_handle_embedded": handled_from_text,
     "q48_stream_decisions": stream_decisions,
 }
 

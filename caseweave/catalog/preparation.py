@@ -16,6 +16,8 @@ from caseweave.operators.pairs import (
 )
 from caseweave.operators.sampling import sample_exact, sample_prefix
 from caseweave.plans.prepare import prepare_pairs
+from caseweave.session import scratch_path
+from caseweave.sources.tables import overwrite, read_tweets_csv
 
 PAIR_COLUMNS = [
     "thread_id", "customer_msg", "brand_reply", "customer_tweet_id", "brand_tweet_id", "timestamp",
@@ -28,6 +30,15 @@ def tweets_view(spark, sf):
     )
 
 
+def tweets_csv(spark, sf):
+    """The messages written as a CSV export, line breaks and all, and read back."""
+    path = scratch_path(spark, "export")
+    overwrite(D.tweets(spark, sf), path, "csv")
+    return read_tweets_csv(spark, path).select(
+        "tweet_id", "author_id", "inbound", "created_at", "text", "in_response_to_tweet_id"
+    )
+
+
 def brand_replies(spark, sf):
     return filter_brand_replies(D.tweets(spark, sf), D.BRAND).select("tweet_id", "text")
 
@@ -109,6 +120,7 @@ def majority_baseline(spark, sf):
 
 QUERIES = {
     "q01_tweets_view": tweets_view,
+    "q01_tweets_csv": tweets_csv,
     "q02_brand_replies": brand_replies,
     "q03_reconstruct_pairs": raw_pairs,
     "q04_clean_text": cleaned,
@@ -158,10 +170,12 @@ _NULLS = ", ".join(
     for c in ("true_intent", "good_reply_should_include", "escalate_or_auto", "escalate_reason")
 )
 
+_TWEETS = f"""WITH {D.TWEETS}
+    SELECT tweet_id, author_id, inbound, created_at, text, in_response_to_tweet_id FROM tweets"""
+
 ORACLE = {
-    "q01_tweets_view": f"""WITH {D.TWEETS}
-        SELECT tweet_id, author_id, inbound, created_at, text, in_response_to_tweet_id
-        FROM tweets""",
+    "q01_tweets_view": _TWEETS,
+    "q01_tweets_csv": _TWEETS,
     "q02_brand_replies": f"""WITH {D.TWEETS}
         SELECT tweet_id, text FROM tweets WHERE author_id = '{D.BRAND}' AND NOT inbound""",
     "q03_reconstruct_pairs": f"""WITH {D.TWEETS}, {D.RAW_PAIRS}
