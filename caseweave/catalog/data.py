@@ -40,13 +40,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet", schema)
 
 
-def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+def texts(spark: SparkSession, sf_dir: str, name: str, *key: str) -> DataFrame:
     """A table whose texts are about to be processed."""
-    return spread_few_splits(table(spark, sf_dir, name), key)
+    return spread_few_splits(table(spark, sf_dir, name), *key)
 
 
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tweets_from_turns(texts(spark, sf_dir, "conversations", "conv_id"))
+    return tweets_from_turns(texts(spark, sf_dir, "conversations", "conv_id", "turn"))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ def discover_intents(
     n_examples: int = fixed.EXAMPLES_PER_CLUSTER,
 ) -> Discovery:
     """Cluster a sample of messages and list the messages nearest to each centre."""
-    sample = sample_exact(pairs, n, seed, key)
+    sample = store_stage(sample_exact(pairs, n, seed, key), "sample")
     embedded = store_stage(embed(sample, text, fit_embedder(sample, text)), "discovery")
     assigned, model = run_clustering(embedded, n_clusters, seed, n_starts)
     nearest = nearest_per_cluster(

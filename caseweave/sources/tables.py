@@ -53,15 +53,15 @@ def read_table(
     return reader.format(fmt).load(path)
 
 
-def spread_few_splits(df: DataFrame, key: str) -> DataFrame:
+def spread_few_splits(df: DataFrame, *key: str) -> DataFrame:
     """Use all cores on a table that comes in fewer splits than there are cores.
 
     Text work is bound by the processor, and a file with a single row group is a single task.
-    Rows are then spread by hash of ``key``, which later joins on the key can build on.  A table
-    with enough splits is returned as it is, so nothing is shuffled at scale.
+    Rows are then spread by hash of ``key``, the columns that identify a row.  A table with
+    enough splits is returned as it is, so nothing is shuffled at scale.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -14,6 +14,7 @@ from caseweave import schemas
 from caseweave.sources.incremental import read_done, table_exists
 
 QUERY, BATCH = "query_id", "batch_id"
+MAX_BROADCAST_KEYS = 1_000_000
 
 
 def _sink_schema(schema: T.StructType) -> T.StructType:
@@ -40,7 +41,8 @@ def decide_stream(
       a crash replaces its partition;
     * a message whose key another micro-batch has decided is skipped, also when the stream is
       started afresh without its checkpoint.  Only the key column of the sink is read for this,
-      and it is reduced to the keys of the micro-batch first.
+      and it is reduced to the keys of the micro-batch first; they are counted, and broadcast if
+      they are few, so that the sink need not be shuffled.
 
     ``handle`` maps messages to results with the columns of ``schema``.
     """
@@ -54,7 +56,10 @@ def decide_stream(
         if table_exists(spark, sink):
             own = (F.col(QUERY) == query_id[0]) & (F.col(BATCH) == batch_id)
             others = read_done(spark, sink, _sink_schema(schema)).where(~own).select(key)
-            repeated = others.join(batch.select(key), key, "left_semi")
+            new = batch.select(key)
+            if new.count() <= MAX_BROADCAST_KEYS:
+                new = F.broadcast(new)
+            repeated = others.join(new, key, "left_semi")
             todo = todo.join(repeated, key, "left_anti")
         (
             handle(todo)

@@ -1,12 +1,15 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseweave import schemas
+from caseweave.operators.embedding import embed_with
 from caseweave.operators.providers import rule_provider
 from caseweave.operators.retrieval import broadcast_index
 from caseweave.plans.handle import handle_messages
 from caseweave.session import shared_folder, store_stage
 from caseweave.sources.incremental import pending, read_done, run_resumable
+from caseweave.sources.tables import save_vectors
 from caseweave.streaming.messages import decide_stream, decided
 
 SCHEMA = "message_id long, message string"
@@ -34,6 +37,29 @@ def test_resumable(spark, tmp_path):
         assert sorted(r.message_id for r in done.collect()) == list(range(20))
 
 
+def test_resumable_embedding(spark, tmp_path):
+    """Half of the vectors exist; only the other half is sent to the model."""
+
+    def load():
+        def model(texts):
+            assert all(int(t.split()[-1]) >= 5 for t in texts)
+            return [[float(t.split()[-1])] for t in texts]
+
+        return model
+
+    path = str(tmp_path / "vectors")
+    schema = T.StructType(
+        [T.StructField("message_id", T.LongType()), T.StructField("embedding", schemas.VECTOR)]
+    )
+    save_vectors(spark.createDataFrame([(i, [0.5]) for i in range(5)], schema), path)
+    done = run_resumable(
+        messages(spark, range(10)), path, "message_id",
+        lambda df: embed_with(df, "message", load), schema,
+    )
+    got = {r.message_id: r.embedding for r in done.collect()}
+    assert got == {i: [0.5] if i < 5 else [float(i)] for i in range(10)}
+
+
 def test_resumable_after_failure(spark, tmp_path):
     path, schema = str(tmp_path / "out"), messages(spark, [1]).schema
     calls = []

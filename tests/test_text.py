@@ -34,7 +34,7 @@ def test_clean_text_like_python(spark):
     assert [g[0] for g in got] == [python_clean(c) for c in CASES] + [None]
 
 
-ALPHABET = "ab @_9.\t\n\x0b\x1c\x1f\x85\xa0   ​ 　é²ñht́"
+ALPHABET = "ab @_9.\t\n\u200b\u00e9\u00b2\u0301\u00f1ht" + fixed.SPACE_CHARS
 
 
 @settings(
@@ -53,6 +53,15 @@ def test_text_functions_like_python(spark, texts):
     assert got == want
 
 
+def test_spaces_of_the_whole_plane(spark):
+    points = [c for c in range(1, 0x10000) if not 0xD800 <= c < 0xE000]
+    df = spark.createDataFrame([(c, chr(c)) for c in points], "c int, t string")
+    got = df.where((T.plain_spaces(F.col("t")) == " ") & (F.col("t") != " ")).select("c").collect()
+    assert {r.c for r in got} == {c for c in points if chr(c).isspace() and c != 0x20}
+    blank = df.where(T.strip(F.col("t")) == "").select("c").collect()
+    assert {r.c for r in blank} == {c for c in points if chr(c).isspace()}
+
+
 def test_short_message_boundary(spark):
     seven, eight = " a b c d e f g ", "a b c d e f g h"
     got = evaluate(spark, [seven, eight, "", None], s=T.is_short(F.col("t")))
