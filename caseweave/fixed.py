@@ -61,6 +61,7 @@ EMBED_BATCH_SIZE = 10
 RETRIEVED_PER_MESSAGE = 3
 N_CLUSTERS = 8
 N_CLUSTER_STARTS = 10
+MAX_CLUSTER_ITERATIONS = 300
 EXAMPLES_PER_CLUSTER = 8
 MIN_CONFIDENCE_FOR_AUTO = "high"
 MIN_SIMILARITY_FOR_AUTO = 0.45

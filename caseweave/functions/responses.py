@@ -8,6 +8,8 @@ once inside ``{"r":...}``: text after the value breaks at least one of the two.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,16 +42,27 @@ def _fallback_label() -> Column:
     return _label(F.lit(fixed.AMBIGUOUS), F.lit("low"))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def parse_label(raw: Column, intents: list[str] = list(fixed.INTENTS)) -> Column:
     """``struct<intent, confidence>`` from one reply; the fallback label if it is not usable.
 
     A missing confidence becomes ``low``.
     """
-    body = strip_code_fence(raw)
-    parsed = F.get(F.from_json(_in_array(body), f"array<{schemas.LABEL_REPLY}>", _STRICT), F.lit(0))
-    usable = _known(parsed["intent"], intents) & _whole_json(body)
-    label = _label(parsed["intent"], F.coalesce(parsed["confidence"], F.lit("low")))
-    return F.when(usable, label).otherwise(_fallback_label())
+
+    def parse(body: Column) -> Column:
+        replies = F.from_json(_in_array(body), f"array<{schemas.LABEL_REPLY}>", _STRICT)
+        return F.when(_whole_json(body), F.get(replies, F.lit(0)))
+
+    def label(reply: Column) -> Column:
+        confidence = F.coalesce(reply["confidence"], F.lit("low"))
+        return F.when(_known(reply["intent"], intents), _label(reply["intent"], confidence))
+
+    parsed = _let(_let(strip_code_fence(raw), parse), label)
+    return F.coalesce(parsed, _fallback_label())
 
 
 def parse_label_batch(
@@ -60,46 +73,50 @@ def parse_label_batch(
     The whole batch falls back if the reply is not a JSON array of that length whose members
     all carry an index.  An unknown intent makes only its own message fall back.
     """
-    body = strip_code_fence(raw)
-    parsed = F.get(F.from_json(_in_array(body), f"array<{schemas.BATCH_REPLY}>", _STRICT), F.lit(0))
-    placed = F.transform(
-        parsed,
-        lambda item, i: F.struct(
+
+    def parse(body: Column) -> Column:
+        replies = F.from_json(_in_array(body), f"array<{schemas.BATCH_REPLY}>", _STRICT)
+        return F.when(_whole_json(body), F.get(replies, F.lit(0)))
+
+    def place(item: Column, i: Column) -> Column:
+        return F.struct(
             item["index"].alias("index"),
             i.alias("position"),
             item["intent"].alias("intent"),
             item["confidence"].alias("confidence"),
-        ),
-    )
-    labels = F.transform(
-        F.array_sort(placed),
-        lambda item: F.when(
-            _known(item["intent"], intents),
-            _label(item["intent"], F.coalesce(item["confidence"], F.lit("low"))),
-        ).otherwise(_fallback_label()),
-    )
-    usable = (
-        F.coalesce(F.size(parsed) == n_messages, F.lit(False))
-        & F.coalesce(F.forall(parsed, lambda item: item["index"].isNotNull()), F.lit(False))
-        & _whole_json(body)
-    )
-    return F.when(usable, labels).otherwise(F.array_repeat(_fallback_label(), n_messages))
+        )
+
+    def label(item: Column) -> Column:
+        confidence = F.coalesce(item["confidence"], F.lit("low"))
+        known = _known(item["intent"], intents)
+        return F.when(known, _label(item["intent"], confidence)).otherwise(_fallback_label())
+
+    def labels(items: Column) -> Column:
+        complete = F.forall(items, lambda item: item["index"].isNotNull())
+        ordered = F.array_sort(F.transform(items, place))
+        return F.when((F.size(items) == n_messages) & complete, F.transform(ordered, label))
+
+    parsed = _let(_let(strip_code_fence(raw), parse), labels)
+    return F.coalesce(parsed, F.array_repeat(_fallback_label(), n_messages))
 
 
 def _score(reply: Column, dimension: str) -> Column:
     """Integer from a JSON integer, a JSON number (cut) or a string that is an integer."""
-    value = F.try_variant_get(reply, f"$.{dimension}", "variant")
-    text = F.try_variant_get(reply, f"$.{dimension}", "string")
-    kind = F.schema_of_variant(value)
-    digits = strip(text)
-    from_string = F.when(digits.rlike(r"^[+-]?[0-9]+\z"), digits.try_cast("int"))
-    from_number = F.try_variant_get(reply, f"$.{dimension}", "double").try_cast("int")
-    from_flag = F.try_variant_get(reply, f"$.{dimension}", "boolean").try_cast("int")
-    return (
-        F.when(kind == "STRING", from_string)
-        .when(kind == "BOOLEAN", from_flag)
-        .when(kind != "VOID", from_number)
-    )
+    path = f"$.{dimension}"
+
+    def read(value: Column) -> Column:
+        kind = F.schema_of_variant(value)
+        digits = strip(F.try_variant_get(value, "$", "string"))
+        from_string = F.when(digits.rlike(r"^[+-]?[0-9]+\z"), digits.try_cast("int"))
+        from_number = F.try_variant_get(value, "$", "double").try_cast("int")
+        from_flag = F.try_variant_get(value, "$", "boolean").try_cast("int")
+        return (
+            F.when(kind == "STRING", from_string)
+            .when(kind == "BOOLEAN", from_flag)
+            .when(kind != "VOID", from_number)
+        )
+
+    return _let(F.try_variant_get(reply, path, "variant"), read)
 
 
 def parse_rubric(raw: Column) -> Column:
@@ -107,21 +124,28 @@ def parse_rubric(raw: Column) -> Column:
 
     Unless all three scores can be read, the row gets the neutral default.
     """
-    body = strip_code_fence(raw)
-    reply = F.when(_whole_json(body), F.try_parse_json(body))
-    scores = {d: _score(reply, d) for d in fixed.RUBRIC_DIMENSIONS}
-    usable = F.lit(True)
-    for score in scores.values():
-        usable = usable & score.isNotNull()
-    parsed = F.struct(
-        *[score.alias(d) for d, score in scores.items()],
-        F.try_variant_get(reply, "$.justification", "string").alias("justification"),
-    )
+
+    def parse(body: Column) -> Column:
+        return F.when(_whole_json(body), F.try_parse_json(body))
+
+    def read(reply: Column) -> Column:
+        return F.struct(
+            *[_score(reply, d).alias(d) for d in fixed.RUBRIC_DIMENSIONS],
+            F.try_variant_get(reply, "$.justification", "string").alias("justification"),
+        )
+
+    def checked(scores: Column) -> Column:
+        usable = F.lit(True)
+        for dimension in fixed.RUBRIC_DIMENSIONS:
+            usable = usable & scores[dimension].isNotNull()
+        return F.when(usable, scores)
+
     neutral = F.struct(
         *[F.lit(fixed.NEUTRAL_SCORE).alias(d) for d in fixed.RUBRIC_DIMENSIONS],
         F.lit(fixed.NEUTRAL_JUSTIFICATION).alias("justification"),
     )
-    return F.when(usable, parsed).otherwise(neutral)
+    scores = _let(_let(strip_code_fence(raw), parse), read)
+    return F.coalesce(_let(scores, checked), neutral)
 
 
 def rubric_out_of_range(scores: Column) -> Column:

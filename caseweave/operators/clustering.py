@@ -21,6 +21,7 @@ def run_clustering(
     n_starts: int = fixed.N_CLUSTER_STARTS,
     vector: str = "embedding",
     out: str = "cluster",
+    max_iter: int = fixed.MAX_CLUSTER_ITERATIONS,
 ) -> tuple[DataFrame, KMeansModel]:
     """k-means, the best of ``n_starts`` starts; rows with their cluster, and the model."""
     points = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("_point"))
@@ -29,7 +30,8 @@ def run_clustering(
         best = None
         for start in range(n_starts):
             kmeans = KMeans(
-                k=n_clusters, seed=seed + start, featuresCol="_point", predictionCol=out
+                k=n_clusters, seed=seed + start, featuresCol="_point", predictionCol=out,
+                maxIter=max_iter,
             )
             model = kmeans.fit(points)
             if best is None or model.summary.trainingCost < best.summary.trainingCost:
