@@ -39,4 +39,4 @@ from caseweave.sources.incremental import pending, run_resumable
 from caseweave.sources.tables import append, overwrite, read_table, read_tweets_csv
 from caseweave.streaming.messages import decide_stream, decided
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [name for name, value in list(globals().items()) if callable(value)]

@@ -120,8 +120,9 @@ def single_prompts(spark, sf):
 
 
 def batch_prompts(spark, sf):
+    messages = store_stage(_pair_messages(spark, sf), "messages")
     batches = message_batches(
-        _pair_messages(spark, sf), "message_id", "message", rows_per_bucket=_MESSAGES_PER_BUCKET
+        messages, "message_id", "message", rows_per_bucket=_MESSAGES_PER_BUCKET
     )
     return batches.select("bucket", "batch", F.size("items").alias("n_messages"), "prompt")
 

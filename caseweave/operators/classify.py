@@ -39,7 +39,8 @@ def message_batches(
 
     Messages are numbered inside hash buckets of about ``rows_per_bucket`` rows; the number of
     buckets grows with the table, so no task numbers more than that.  ``items`` is an array of
-    ``struct<index, key, message>`` with at most ``batch_size`` members.
+    ``struct<index, key, message>`` with at most ``batch_size`` members.  ``key`` identifies a
+    message.  The rows are counted first: pass a stored table.
     """
     n_buckets = df.agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / rows_per_bucket), F.lit(1)).alias("n")

@@ -379,7 +379,8 @@ def retrieve_similar(
 ) -> DataFrame:
     """Messages with ``retrieved``, the best ``k`` past cases, most similar first.
 
-    Messages without a usable vector, or an empty index, give an empty array.
+    Messages without a usable vector, or an empty index, give an empty array.  With an index
+    too large to broadcast, ``messages`` is read several times: pass a stored table.
     """
     small = index
     if isinstance(index, DataFrame):

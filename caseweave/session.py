@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +32,11 @@ def build_session(app: str = "caseweave", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=None)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="caseweave-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as named in ``spark.checkpoint.dir``.
 
@@ -42,9 +48,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="caseweave-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
