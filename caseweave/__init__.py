@@ -35,7 +35,7 @@ from caseweave.plans.evaluate import (
 from caseweave.plans.handle import draft_reply, handle_messages
 from caseweave.plans.prepare import clean_pairs, prepare_pairs
 from caseweave.session import build_session, store_stage
-from caseweave.sources.incremental import pending, run_resumable
+from caseweave.sources.incremental import pending, record_labels, run_resumable
 from caseweave.sources.tables import append, overwrite, read_table, read_tweets_csv
 from caseweave.streaming.messages import decide_stream, decided
 

@@ -161,15 +161,14 @@ class BroadcastIndex:
 
 
 def _index_columns(index: DataFrame, key: str, vector: str, payload: list[str]) -> DataFrame:
+    """Key, vector (in its stored precision) and payload of the rows that can be compared."""
     return index.select(
-        F.col(key).cast("bigint").alias(key),
-        F.col(vector).cast("array<double>").alias(vector),
-        *payload,
+        F.col(key).cast("bigint").alias(key), vector, *payload
     ).where(F.col(key).isNotNull() & (V.norm(F.col(vector)) > 0))
 
 
 def index_bytes(index: DataFrame, key: str, vector: str, payload: list[str]) -> int:
-    """Measured size of the index columns; one aggregate job."""
+    """Measured size of the index columns as tasks will hold them; one aggregate job."""
     row = F.size(vector) * F.lit(8) + F.lit(16)
     for name in payload:
         row = row + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))

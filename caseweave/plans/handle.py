@@ -11,7 +11,9 @@ from caseweave.functions.prompts import reply_prompt
 from caseweave.functions.text import strip
 from caseweave.operators.classify import classify
 from caseweave.operators.providers import Provider, extractive_provider, rule_provider
-from caseweave.operators.retrieval import BroadcastIndex, retrieve_similar, top_similarity
+from caseweave.operators.retrieval import (
+    MAX_BROADCAST_BYTES, BroadcastIndex, retrieve_similar, top_similarity,
+)
 
 RESULT_COLUMNS = [
     "message_id", "message", "intent", "confidence", "drafted_reply", "decision",
@@ -44,6 +46,7 @@ def handle_messages(
     brand: str = fixed.DEFAULT_BRAND,
     intents: dict[str, dict] = fixed.INTENTS,
     keep: list[str] | None = None,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Intent, drafted reply and decision for every message.
 
@@ -58,7 +61,9 @@ def handle_messages(
         messages.select("message_id", "message", "embedding", *keep),
         "message", classifier, intents,
     )
-    found = retrieve_similar(labelled, index, "message_id", k, exclude_self)
+    found = retrieve_similar(
+        labelled, index, "message_id", k, exclude_self, max_broadcast_bytes=max_broadcast_bytes
+    )
     drafted = draft_reply(found.drop("embedding"), "message", drafter, brand)
     scored = drafted.withColumn("top_similarity", top_similarity(F.col("retrieved")))
     verdict = decide_escalation(F.col("intent"), F.col("confidence"), F.col("top_similarity"))

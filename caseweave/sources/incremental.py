@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caseweave.operators.labelling import split_valid
 from caseweave.session import scratch_path
 from caseweave.sources.tables import append
 
@@ -31,6 +32,19 @@ def read_done(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.createDataFrame([], schema)
 
 
+def record_labels(
+    labels: DataFrame, path: str, key: str, allowed: dict[str, list]
+) -> DataFrame:
+    """Append labels made by hand: valid values only, and no row that is labelled already.
+
+    Returns the rejected rows with the columns that are not valid.
+    """
+    valid, rejected = split_valid(labels, allowed)
+    done = read_done(labels.sparkSession, path, labels.schema)
+    append(pending(valid, done, key), path)
+    return rejected
+
+
 def run_resumable(
     source: DataFrame,
     path: str,

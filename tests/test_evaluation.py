@@ -174,8 +174,10 @@ def test_handle_messages(spark, plan_of):
     # 0 and 35 have the same vector; the smallest other id is the precedent
     assert rows[0].drafted_reply == "reply 35" and rows[35].drafted_reply == "reply 0"
     assert {r.decision for r in rows.values()} == {"auto"}
-    blocked = handle_messages(messages, df.limit(0), exclude_self=True)
-    row = blocked.where("message_id = 3").first()
+    blocked = handle_messages(messages, df, exclude_self=True, max_broadcast_bytes=0)
+    assert {tuple(r) for r in blocked.collect()} == {tuple(r) for r in rows.values()}
+    alone = handle_messages(messages, df.limit(0), exclude_self=True)
+    row = alone.where("message_id = 3").first()
     assert (row.decision, row.top_similarity, row.drafted_reply) == ("escalate", 0.0, "")
 
 

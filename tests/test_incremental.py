@@ -4,11 +4,14 @@ from pyspark.sql import types as T
 
 from caseweave import schemas
 from caseweave.operators.embedding import embed_with
+from caseweave.operators.labelling import DECISION_CHECK, INTENT_CHECK
 from caseweave.operators.providers import rule_provider
 from caseweave.operators.retrieval import broadcast_index
 from caseweave.plans.handle import handle_messages
 from caseweave.session import shared_folder, store_stage
-from caseweave.sources.incremental import pending, read_done, run_resumable
+from caseweave.sources.incremental import (
+    pending, read_done, record_labels, run_resumable,
+)
 from caseweave.sources.tables import save_vectors
 from caseweave.streaming.messages import decide_stream, decided
 
@@ -37,6 +40,25 @@ def test_resumable(spark, tmp_path):
         assert sorted(r.message_id for r in done.collect()) == list(range(20))
 
 
+def test_record_labels(spark, tmp_path):
+    schema = "message_id long, true_intent string, escalate_or_auto string"
+    checks, path = {**INTENT_CHECK, **DECISION_CHECK}, str(tmp_path / "labels")
+
+    def record(*rows):
+        labels = spark.createDataFrame(rows, schema)
+        rejected = record_labels(labels, path, "message_id", checks)
+        done = read_done(spark, path, labels.schema)
+        return (
+            {r.message_id for r in rejected.collect()},
+            sorted((r.message_id, r.escalate_or_auto) for r in done.collect()),
+        )
+
+    good = (1, "billing_refund", "escalate")
+    assert record(good, (2, "billing", "auto")) == ({2}, [(1, "escalate")])
+    again = (1, "how_to_question", "auto")
+    assert record(again, (2, "how_to_question", "auto")) == (set(), [(1, "escalate"), (2, "auto")])
+
+
 def test_resumable_embedding(spark, tmp_path):
     """Half of the vectors exist; only the other half is sent to the model."""
 
