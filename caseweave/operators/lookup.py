@@ -6,22 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 128
+MAX_HOT_KEYS = 512
+SKETCH_ITEMS = 100 * MAX_HOT_KEYS
+SKETCH_GROUPS = 256
 MAX_SALTS = 4096
 HOT_KEY_ROWS = 1_000_000
 
 _KEY, _SALT, _RANK = "_key", "_salt", "_rank"
 
 
-def hot_keys(
-    df: DataFrame, key: Column, min_rows: int = HOT_KEY_ROWS, max_keys: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """One row, one map: the most frequent keys and the number of salts to spread each over.
+def hot_keys(df: DataFrame, key: Column, min_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """At most one row, one map: the most frequent keys and the number of salts to spread each over.
 
-    The frequent-items sketch is merged map-side, so this moves no rows, and the map has at most
-    ``max_keys`` entries.  Its counts are estimates; they choose a route, not a result.
+    Each task sends one frequent-items sketch of bounded size; sketches are merged in groups
+    first, so that no task receives those of all others.  The map has at most
+    :data:`MAX_HOT_KEYS` entries.  Its counts are estimates; they choose a route, not a result.
     """
-    sketch = F.call_function("approx_top_k", F.col(_KEY), F.lit(max_keys), F.lit(max_keys * 100))
+    items = F.lit(SKETCH_ITEMS)
+    sketch = F.call_function("approx_top_k_accumulate", F.col(_KEY), items)
+    merged = F.call_function("approx_top_k_combine", F.col("sketch"), items)
+    top = F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(MAX_HOT_KEYS))
     frequent = F.filter(F.col("top"), lambda entry: entry["count"] >= min_rows)
     salts = F.transform(
         frequent,
@@ -33,7 +37,11 @@ def hot_keys(
     return (
         df.select(key.alias(_KEY))
         .where(F.col(_KEY).isNotNull())
-        .agg(sketch.alias("top"))
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("task_group"))
+        .agg(sketch.alias("sketch"))
+        .groupBy(F.lit("all"))  # no row at all, not an empty sketch, if there are no keys
+        .agg(merged.alias("sketch"))
+        .select(top.alias("top"))
         .select(F.map_from_entries(salts).alias("salts"))
     )
 

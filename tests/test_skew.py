@@ -7,6 +7,7 @@ from caseweave import schemas
 from caseweave.operators.classify import classify_batch
 from caseweave.operators.clustering import mean_centres, nearest_per_cluster
 from caseweave.operators.labelling import golden_candidates
+from caseweave.operators.lookup import lookup_join
 from caseweave.operators.pairs import keep_first
 from caseweave.operators.providers import rule_batch_provider
 from caseweave.operators.retrieval import retrieve_similar, top_k_similar
@@ -96,3 +97,16 @@ def test_pairs_do_not_depend_on_file_order(spark):
     backward = spark.createDataFrame(rows[::-1], schemas.TWEETS).repartition(5)
     a, b = clean_pairs(forward, "B"), clean_pairs(backward, "B")
     assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
+
+
+def test_lookup_without_any_key(spark):
+    facts = spark.range(10).select("id", F.lit(None).cast("long").alias("k"))
+    dims = spark.range(5).select(F.col("id").alias("d"))
+    assert lookup_join(facts, dims, "k", "d", "id").count() == 0
+    assert lookup_join(facts, dims, "k", "d", "id", how="left").count() == 10
+    assert lookup_join(facts.where("false"), dims, "k", "d", "id", how="left").count() == 0
+
+
+def test_no_replies_at_all(spark):
+    tweets = spark.createDataFrame([(1, "u", True, "t", "hello there", None, None)], schemas.TWEETS)
+    assert clean_pairs(tweets, "B").count() == 0
