@@ -97,13 +97,15 @@ def cluster_representatives(spark, sf):
 
 
 def kmeans_sizes(spark, sf):
-    assigned, _ = run_clustering(D.table(spark, sf, "embeddings"), n_starts=2)
+    assigned, _ = run_clustering(
+        D.table(spark, sf, "embeddings"), n_starts=2, max_iter=20
+    )
     return cluster_sizes(assigned)
 
 
 def discovered(spark, sf):
     """Typical messages of the clusters of a sample of the documents."""
-    found = discover_intents(D.documents(spark, sf), key="message_id", n_starts=2)
+    found = discover_intents(D.documents(spark, sf), key="message_id", n_starts=2, max_iter=20)
     return found.examples.select(
         "cluster", "rank", "message_id", F.round("distance", 4).alias("distance")
     )

@@ -12,45 +12,36 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 _HASH = "_sample_hash"
-_COARSE, _FINE = 3, 6  # hex digits of a slot: 4096 coarse ones, 4096 fine ones in each
+_SLOT_DIGITS = 4  # hex digits of the hash that make a slot: 65,536 slots
 
 
 def sample_hash(seed: int, *keys: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[k.cast("string") for k in keys]))
 
 
-def _last_slot(hashes: DataFrame, digits: int, n: int, before: Column) -> DataFrame:
-    """One row: the slot in which the n-th row lies, and the number of rows before that slot.
+def _last_slot(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
+    """One row: the hash slot in which the n-th row lies.
 
-    ``hashes`` holds the rows of at most 4096 slots, so a map task sends at most 4096 counts
-    and the running total is over at most 4096 rows.
+    Reads only the key.  A map task sends at most one count per slot, and the running total is
+    over at most 65,536 rows.
     """
-    counts = hashes.groupBy(F.substring(_HASH, 1, digits).alias("slot")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    running = F.sum("n").over(W.orderBy("slot")) - F.col("n") + before
-    return (
-        counts.withColumn("before", running)
-        .where(F.col("before") < n)
-        .agg(F.max(F.struct("slot", "before")).alias("last"))
-    )
+    slot = F.substring(sample_hash(seed, F.col(key)), 1, _SLOT_DIGITS)
+    counts = df.select(slot.alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(W.orderBy("slot")) - F.col("n")
+    reached = counts.withColumn("before", before).where(F.col("before") < n)
+    return reached.agg(F.max("slot").alias("last"))
 
 
 def sample_exact(df: DataFrame, n: int, seed: int, key: str, keep_hash: bool = False) -> DataFrame:
     """``min(n, rows)`` rows in sample order.  ``key`` identifies a row.
 
-    The n-th row is located first, by counting rows per hash slot: once over coarse slots, once
-    over the fine slots of a single coarse one.  Both read only the key column.  Rows beyond
-    it are then dropped at the scan, so the final top-n sees little more than n rows instead of
-    n rows from every partition.  ``df`` is read three times: pass a stored table.
+    The slot of the n-th row is located first, from the keys alone.  Rows beyond it are then
+    dropped at the scan, so the final top-n sees n rows and one slot more instead of n rows from
+    every partition.  ``df`` is read twice: pass a stored table.
     """
-    hashes = df.select(sample_hash(seed, F.col(key)).alias(_HASH))
-    coarse = _last_slot(hashes, _COARSE, n, F.lit(0)).scalar()
-    inside = hashes.where(F.substring(_HASH, 1, _COARSE) == coarse["slot"])
-    fine = _last_slot(inside, _FINE, n, coarse["before"]).scalar()
     chosen = (
         df.withColumn(_HASH, sample_hash(seed, F.col(key)))
-        .where(F.substring(_HASH, 1, _FINE) <= fine["slot"])
+        .where(F.substring(_HASH, 1, _SLOT_DIGITS) <= _last_slot(df, n, seed, key).scalar())
         .orderBy(_HASH, key)
         .limit(n)
     )

@@ -31,11 +31,14 @@ def discover_intents(
     seed: int = fixed.DISCOVERY_SEED,
     n_starts: int = fixed.N_CLUSTER_STARTS,
     n_examples: int = fixed.EXAMPLES_PER_CLUSTER,
+    max_iter: int = fixed.MAX_CLUSTER_ITERATIONS,
 ) -> Discovery:
     """Cluster a sample of messages and list the messages nearest to each centre."""
     sample = store_stage(sample_exact(pairs, n, seed, key), "sample")
     embedded = store_stage(embed(sample, text, fit_embedder(sample, text)), "discovery")
-    assigned, model = run_clustering(embedded, n_clusters, seed, n_starts)
+    assigned, model = run_clustering(
+        embedded, n_clusters, seed, n_starts, max_iter=max_iter
+    )
     nearest = nearest_per_cluster(
         assigned, model_centres(assigned, model), "cluster", key, n_examples
     )
