@@ -7,11 +7,13 @@ weights alike at every size and keeps a large group of copies from making its ow
 
 Consistent weighted sampling draws ``BANDS * ROWS`` samples (shingle, level) per text: two texts agree on a sample
 with a probability equal to their weighted Jaccard similarity. Texts that agree on a whole band are candidates.
-Equal texts are one class from the start and take part once. Within a bucket of a band, texts are compared with a
-pivot and not all with all; afterwards texts that are linked already need no comparison, and the texts of the other
-components become pivots in turn, twice as many each round, until every bucket has been compared across its
-components. So no candidate pair that would join two components is left out. Each comparison computes the exact weighted
-Jaccard similarity of the two whole texts. Components are found by repeated hooking to the smallest neighbour.
+Equal texts are one class from the start and take part once. Within a bucket of a band, texts are first compared with
+the bucket's leader and not all with all, which links most of a large group. Where candidates still fall into several
+components, they are put in blocks of ``BLOCK`` texts, by component, and pairs of blocks that share a bucket are
+compared in one task each, unless both hold one and the same component. A task skips pairs that are linked already and
+reports only links that join components. So no candidate pair that would join two components is left out, and no
+group is listed pair by pair. Each comparison computes the exact weighted Jaccard similarity of the two whole texts.
+Components are found by repeated hooking to the smallest neighbour.
 
 Defined cases: a null text is a class of its own row's id; texts without words are classes of equal texts only;
 rows that share a doc_id are told apart by their text; classes are named by their smallest doc_id (null ids last).
@@ -24,10 +26,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseweave.llm.common import fresh, steps, stored, texts
+from caseweave.llm.common import fresh, ordered_starts, steps, stored, texts
 from caseweave.llm.words import mix, whole, windows, word_hashes
 
 SHINGLE = 5
@@ -37,6 +39,8 @@ DF_BUCKETS = 1 << 18
 SMOOTHING = 0.5
 _MAX_COUNT = 256  # counts above it weigh the same
 _DRAWS = 1 << 16
+#: Texts of a block that one task compares with another block.
+BLOCK = 256
 #: Bytes of a list of text keys up to which it is sent to every task.
 BROADCAST_BYTES = 32 << 20
 
@@ -147,17 +151,17 @@ def _signatures(weights, key: str):
                 bands = np.zeros((len(drawn), BANDS), np.uint64)
                 for r in range(ROWS):
                     bands = mix(bands + drawn[:, r::ROWS])
-                full = iter(bands.view(np.int64).tolist())
+                full = iter(bands)
                 for h, size in zip(rows.column("h").to_pylist(), np.diff(starts), strict=True):
-                    seen[h] = next(full) if size else None
+                    seen[h] = next(full).tobytes() if size else None
             yield pa.record_batch(
                 {
                     "key": batch.column(key),
                     "h": batch.column("h"),
-                    "bands": pa.array([None if h is None else seen[h] for h in names], pa.list_(pa.int64())),
+                    "bands": pa.array([None if h is None else seen[h] for h in names], pa.binary()),
                 }
             )
-            if len(seen) > 200_000:
+            if len(seen) > 100_000:
                 seen = {}
 
     return sign
@@ -207,14 +211,18 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"a": columns[0], "b": columns[1], "similarity": np.array(sims, np.float64)})
 
 
-def _verify(pairs: DataFrame, keyed: DataFrame, weights) -> DataFrame:
-    """The pairs (a, b) of text keys with their similarity, from the whole texts."""
-    needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "wanted")
+def _weighted_sets(texts_of: DataFrame, keyed: DataFrame, weights) -> DataFrame:
+    """(h, grams, weights) of the wanted text keys, each text once."""
+    needed = stored(texts_of.select("h").distinct(), "wanted")
     wanted = F.broadcast(needed) if needed.count() * 40 <= BROADCAST_BYTES else needed
     sets = keyed.join(wanted, "h", "left_semi").mapInArrow(_sets(weights), "h binary, grams binary, weights binary")
-    sets = stored(sets, "sets")
     # a text that several tasks met has equal rows; one is enough
-    sets = sets.dropDuplicates(["h"])
+    return stored(sets, "sets").dropDuplicates(["h"])
+
+
+def _verify(pairs: DataFrame, keyed: DataFrame, weights) -> DataFrame:
+    """The pairs (a, b) of text keys with their similarity, from the whole texts."""
+    sets = _weighted_sets(pairs.select(F.explode(F.array("a", "b")).alias("h")), keyed, weights)
     side = lambda s: sets.select(F.col("h").alias(s), F.col("grams").alias(f"grams_{s}"), F.col("weights").alias(f"weights_{s}"))
     return (
         pairs.join(side("a"), "a")
@@ -223,6 +231,58 @@ def _verify(pairs: DataFrame, keyed: DataFrame, weights) -> DataFrame:
     )
 
 
+def _compare_blocks(threshold: float):
+    """Compares the texts of two blocks, sorted by (family, i, j), and reports links that join components."""
+
+    def links(rows: list[dict]) -> Iterator[tuple[bytes, bytes]]:
+        parent: dict[bytes, bytes] = {}
+
+        def root(x: bytes) -> bytes:
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        left = [r for r in rows if r["block"] == rows[0]["i"]]
+        right = [r for r in rows if r["block"] == rows[0]["j"]]
+        if not left or not right:
+            return
+        bands = [np.array([np.frombuffer(r["bands"], np.uint64) for r in side]) for side in (left, right)]
+        total = [np.array([np.frombuffer(r["weights"], np.float32).sum(dtype=np.float64) for r in side]) for side in (left, right)]
+        for a, row in enumerate(left):
+            # a text cannot be more alike than the ratio of the smaller to the larger weight
+            near = np.minimum(total[0][a], total[1]) >= threshold * np.maximum(total[0][a], total[1]) * (1 - 1e-9)
+            shared = (bands[0][a] == bands[1]).any(axis=1) & near
+            grams, weights = np.frombuffer(row["grams"], np.uint64), np.frombuffer(row["weights"], np.float32)
+            for b in np.flatnonzero(shared).tolist():
+                other = right[b]
+                ra, rb = root(row["root"]), root(other["root"])
+                if ra == rb:
+                    continue
+                if weighted_jaccard(grams, weights, np.frombuffer(other["grams"], np.uint64), np.frombuffer(other["weights"], np.float32)) >= threshold:
+                    parent[ra] = rb
+                    yield row["h"], other["h"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+
+        def report() -> pa.RecordBatch:
+            found = list(links(held)) if held else []
+            return pa.record_batch(
+                {"a": pa.array([x for x, _ in found], pa.binary()), "b": pa.array([x for _, x in found], pa.binary())}
+            )
+
+        for batch in batches:
+            for i in range(batch.num_rows):  # at most two blocks are held
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                if held and any(row[c] != held[0][c] for c in ("family", "i", "j")):
+                    yield report()
+                    held = []
+                held.append(row)
+        yield report()
+
+    return compare
+
+
 def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """(h, root): the smallest key that each node of ``edges`` (a, b) reaches; a table per round."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
@@ -248,48 +308,54 @@ def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
         roots = stored(moved.select("h", F.coalesce("next2", "next", "root").alias("root")), "roots")
 
 
-def _linked(members: DataFrame, keyed: DataFrame, weights, threshold: float) -> DataFrame:
+def _linked(members: DataFrame, classes: DataFrame, keyed: DataFrame, weights, threshold: float) -> DataFrame:
     """Components of the texts in ``members`` (bucket, h): (h, root), for texts with a link."""
-    spark = members.sparkSession
-    edges = None
-    roots = None
-    done = None
-    pivots = 1
-    while True:
-        if roots is None:
-            state = members.withColumn("root", F.col("h"))
-        else:
-            state = members.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
-        # buckets that still hold more than one component
-        open_buckets = state.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
-        state = state.join(open_buckets, "bucket", "left_semi")
-        if done is not None:
-            fresh_pivots = state.join(done, ["bucket", "h"], "left_anti")
-        else:
-            fresh_pivots = state
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("h"))
-        chosen = stored(
-            fresh_pivots.withColumn("rank", rank).where(F.col("rank") <= pivots).select("bucket", "h", "root"), f"pivots-{pivots}"
-        )
-        if chosen.isEmpty():
-            break
-        pairs = (
-            state.join(chosen.select("bucket", F.col("h").alias("pivot"), F.col("root").alias("pivot_root")), "bucket")
-            .where("root <> pivot_root and h <> pivot")
-            .select(F.least("h", "pivot").alias("a"), F.greatest("h", "pivot").alias("b"))
-            .distinct()
-        )
-        pairs = stored(pairs, "pairs")
-        links = stored(_verify(pairs, keyed, weights).where(F.col("similarity") >= threshold), "links")
-        edges = links if edges is None else edges.unionByName(links)
-        edges = stored(edges, "links")
-        roots = components(edges)
-        chosen = chosen.select("bucket", "h")
-        done = chosen if done is None else done.unionByName(chosen)
-        pivots *= 2
-    if roots is None:
-        return spark.createDataFrame([], "h binary, root binary")
-    return roots
+    leaders = members.groupBy("bucket").agg(F.min("h").alias("leader"))
+    pairs = members.join(leaders, "bucket").where("h <> leader").select(F.col("leader").alias("a"), F.col("h").alias("b"))
+    pairs = stored(pairs.distinct(), "pairs")
+    links = stored(_verify(pairs, keyed, weights).where(F.col("similarity") >= threshold).select("a", "b"), "links")
+    roots = components(links)
+
+    # candidates that are connected by buckets, but not yet by links
+    families = components(pairs).withColumnRenamed("root", "family")
+    state = families.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
+    mixed = state.groupBy("family").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    state = stored(state.join(mixed.select("family"), "family", "left_semi").withColumn("one", F.lit(1)), "state")
+    if state.isEmpty():
+        return roots
+    placed = ordered_starts(state, ["family"], ["root", "h"], {"place": "one"})
+    placed = stored(
+        placed.select("family", "h", "root", F.floor(F.col("place") / BLOCK).cast("long").alias("block")), "placed"
+    )
+    spread = stored(members.join(placed, "h").select("bucket", "family", "block").distinct(), "spread")
+    met = (
+        spread.withColumnRenamed("block", "i")
+        .join(spread.select("bucket", F.col("block").alias("j")), "bucket")
+        .where("i <= j")
+        .select("family", "i", "j")
+        .distinct()
+    )
+    blocks = placed.groupBy("family", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    side = lambda s: blocks.select("family", F.col("block").alias(s), F.col("low").alias(f"low_{s}"), F.col("high").alias(f"high_{s}"))
+    met = (
+        met.join(side("i"), ["family", "i"])
+        .join(side("j"), ["family", "j"])
+        .where("not (low_i = high_i and low_j = high_j and low_i = low_j)")
+        .select("family", "i", "j")
+    )
+    sets = _weighted_sets(placed, keyed, weights).join(classes.select("h", "bands"), "h")
+    met = stored(met, "met")
+    shown = met.select("family", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    more = (
+        shown.join(placed, ["family", "block"])
+        .join(sets, "h")
+        .select("family", "i", "j", "block", "h", "root", "bands", "grams", "weights")
+        .repartition("family", "i", "j")
+        .sortWithinPartitions("family", "i", "j")
+        .mapInArrow(_compare_blocks(threshold), "a binary, b binary")
+    )
+    more = stored(more, "more")
+    return components(links.unionByName(more)) if not more.isEmpty() else roots
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id") -> DataFrame:
@@ -306,18 +372,19 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "d
     weights = spark.sparkContext.broadcast(Weights(df, keyed.count()))
 
     signed = stored(
-        keyed.mapInArrow(_signatures(weights, "key"), f"key {kind}, h binary, bands array<long>"), "signatures"
+        keyed.mapInArrow(_signatures(weights, "key"), f"key {kind}, h binary, bands binary"), "signatures"
     )
     classes = stored(
         signed.where("h is not null").groupBy("h").agg(F.min("key").alias("low"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")),
         "classes",
     )
-    banded = classes.where("bands is not null").select("h", F.posexplode("bands").alias("band", "value"))
-    bucket = F.xxhash64("band", "value").alias("bucket")
+    numbers = F.sequence(F.lit(0), F.lit(BANDS - 1))
+    banded = classes.where("bands is not null").select("h", "bands", F.explode(numbers).alias("band"))
+    bucket = F.xxhash64("band", F.substring(F.col("bands"), 8 * F.col("band") + 1, F.lit(8))).alias("bucket")
     members = banded.select(bucket, "h")
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     members = stored(members.join(shared, "bucket", "left_semi"), "members")
-    roots = _linked(members, keyed.select("h", "text"), weights, threshold)
+    roots = _linked(members, classes, keyed.select("h", "text"), weights, threshold)
 
     rooted = classes.join(roots, "h", "left").select("h", "low", "n", F.coalesce("root", "h").alias("root"))
     groups = rooted.groupBy("root").agg(F.min("low").alias("class_id"), F.sum("n").alias("class_size"))
