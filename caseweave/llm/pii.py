@@ -205,7 +205,7 @@ def _classifier(rows: list[tuple[int, tuple[int, ...], tuple[int, ...], int]]) -
     return odds
 
 
-def _add_candidates(docs: DataFrame, spans: str) -> DataFrame:
+def _add_candidates(docs: DataFrame, spans: str, keep_text: bool = True) -> DataFrame:
     """``docs`` with candidate spans, their votes and features, written once."""
     holder = fresh(docs, "found")[0]
     found = docs.withColumn(holder, candidates(F.col("text").cast("string")))
@@ -216,7 +216,8 @@ def _add_candidates(docs: DataFrame, spans: str) -> DataFrame:
             _votes(s).alias("votes"), _features(s).alias("features"),
         ),
     )
-    return stored(found.withColumn(spans, voted).drop(holder), "spans")
+    dropped = [holder] if keep_text else [holder, "text"]
+    return stored(found.withColumn(spans, voted).drop(*dropped), "spans")
 
 
 def train(found: DataFrame, spans: str) -> dict[str, float]:
@@ -252,9 +253,9 @@ def _accepted(spans: str, odds: dict[str, float]) -> Column:
     return F.array_sort(F.array_distinct(kept))
 
 
-def find_spans(docs: DataFrame, column: str = "pii_spans") -> DataFrame:
+def find_spans(docs: DataFrame, column: str = "pii_spans", keep_text: bool = True) -> DataFrame:
     """``docs`` with an array of spans (kind 0..3 as in ``KINDS``, first, last, strict), places in code points."""
-    found = _add_candidates(docs, column)
+    found = _add_candidates(docs, column, keep_text)
     return found.withColumn(column, _accepted(column, train(found, column)))
 
 
@@ -268,9 +269,13 @@ def listed(spans: Column) -> Column:
 
 def summary(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, counts of strict spans by kind, their digest, all spans."""
-    found = find_spans(docs.select("doc_id", "text"), "spans")
+    found = find_spans(docs.select("doc_id", "text"), "spans", keep_text=False)
     strict = F.filter("spans", lambda s: s["strict"])
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["strict"] & (s["kind"] == k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter(strict, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
+
+    counts = [count(kind) for kind in range(len(KINDS))]
     return found.select("doc_id", *counts, F.sha2(listed(strict), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
