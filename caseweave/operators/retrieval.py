@@ -31,6 +31,7 @@ from caseweave import fixed
 from caseweave.functions import vectors as V
 from caseweave.operators.lookup import lookup_join
 from caseweave.operators.sampling import sample_exact
+from caseweave.session import store_stage
 
 MAX_BROADCAST_BYTES = 64 << 20
 BLOCK_BYTES = 32 << 20
@@ -95,14 +96,15 @@ def _make_kernel():
         values = vectors.flatten().to_numpy(zero_copy_only=False)
         rows[valid] = values.reshape(int(valid.sum()), width)
         norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))
-        usable = valid & (norms > 0)
+        usable = valid & (norms > 0) & np.isfinite(norms)  # a NaN or infinite vector is like none
         rows[usable] /= norms[usable, None]
         return rows, usable
 
-    def best(queries, usable, query_ids, index, index_ids, k, exclude_self):
+    def best(queries, usable, query_ids, known, index, index_ids, k, exclude_self):
         """Positions (n, k) and similarities of the best k; -inf marks an empty place.
 
         ``index_ids`` is ascending, so the first maximum is the one with the smallest id.
+        ``known`` marks the queries that have an id; the others exclude nothing.
         """
         n, m = len(queries), len(index)
         k = min(k, m)
@@ -117,10 +119,13 @@ def _make_kernel():
             sims[~usable[part]] = -np.inf
             rows = np.arange(len(sims))
             if exclude_self:
-                own = np.searchsorted(index_ids, query_ids[part])
-                own[own == m] = 0
-                same = index_ids[own] == query_ids[part]
-                sims[rows[same], own[same]] = -np.inf
+                first = np.searchsorted(index_ids, query_ids[part], "left")
+                last = np.searchsorted(index_ids, query_ids[part], "right")
+                same = known[part] & (last > first)
+                while same.any():  # once, unless the index repeats an id
+                    sims[rows[same], first[same]] = -np.inf
+                    first = first + 1
+                    same &= last > first
             if k <= 16:
                 for place in range(k):
                     column = sims.argmax(axis=1)
@@ -164,7 +169,13 @@ def _index_columns(index: DataFrame, key: str, vector: str, payload: list[str])
     """Key, vector (in its stored precision) and payload of the rows that can be compared."""
     return index.select(
         F.col(key).cast("bigint").alias(key), vector, *payload
-    ).where(F.col(key).isNotNull() & (V.norm(F.col(vector)) > 0))
+    ).where(F.col(key).isNotNull() & _has_direction(F.col(vector)))
+
+
+def _has_direction(vector: Column) -> Column:
+    """Whether a vector can be compared: its norm is finite and not zero (NaN sorts above infinity)."""
+    norm = V.norm(vector)
+    return (norm > 0) & (norm < F.lit(float("inf")))
 
 
 def index_bytes(index: DataFrame, key: str, vector: str, payload: list[str]) -> int:
@@ -188,15 +199,11 @@ def broadcast_index(
     ``payload`` maps output names to index columns that are returned with each neighbour.
     """
     payload = payload or {}
-    cached = _index_columns(index, key, vector, list(dict.fromkeys(payload.values()))).persist()
-    try:
-        if index_bytes(cached, key, vector, list(payload.values())) > max_bytes:
-            return None
-        table = cached.toArrow()
-    finally:
-        cached.unpersist()
-    table = table.sort_by(key).combine_chunks()
-    fields = [T.StructField(out, cached.schema[name].dataType) for out, name in payload.items()]
+    columns = _index_columns(index, key, vector, list(dict.fromkeys(payload.values())))
+    if index_bytes(columns, key, vector, list(payload.values())) > max_bytes:
+        return None
+    table = columns.toArrow().sort_by(key).combine_chunks()
+    fields = [T.StructField(out, columns.schema[name].dataType) for out, name in payload.items()]
     unit_rows, _ = _make_kernel()
     vectors = table.column(vector)
     vectors = vectors.chunk(0) if vectors.num_chunks else pa.array([], vectors.type)
@@ -231,8 +238,9 @@ def neighbours(
         for vectors, ids in batches:
             rows, usable = unit_rows(vectors)
             query_ids = ids.fill_null(-1).to_numpy(zero_copy_only=False)
+            known = ids.is_valid().to_numpy(zero_copy_only=False)
             places, scores = best(
-                rows, usable, query_ids, index_rows, index_ids, k, exclude_self
+                rows, usable, query_ids, known, index_rows, index_ids, k, exclude_self
             )
             found = np.isfinite(scores)
             offsets = np.concatenate([[0], np.cumsum(found.sum(axis=1))]).astype(np.int32)
@@ -259,23 +267,26 @@ def _blocks(df: DataFrame, dims: int, block_bytes: int) -> int:
 def _blocked_top_k(
     queries: DataFrame, index: DataFrame, k: int, exclude_self: bool, block_bytes: int
 ) -> DataFrame:
-    """(query_id, index_id, similarity), the best ``k`` per query, from block-wise scoring.
+    """(row, query_id, rank, case_row, index_id, similarity): the best ``k`` per query row.
+
+    ``queries`` (row, query_id, vector) and ``index`` (case_row, index_id, vector) are stored
+    tables with unique row numbers; ids may repeat, and a query's id may be NULL.
 
     Block sizes follow from memory: a task holds one block of queries, one block of the index
-    and a bounded slice of their similarities.  Blocks are hashes of unique ids, so they are even.
+    and a bounded slice of their similarities.  Blocks are hashes of row numbers, so they are even.
     """
     dims = index.agg(F.max(F.size("vector"))).first()[0] or 1
     query_blocks = _blocks(queries, dims, block_bytes)
     index_blocks = _blocks(index, dims, block_bytes)
     left = queries.withColumns(
         {
-            "qb": F.pmod(F.xxhash64("query_id"), F.lit(query_blocks).cast("bigint")),
+            "qb": F.pmod(F.xxhash64("row"), F.lit(query_blocks).cast("bigint")),
             "ib": F.explode(F.sequence(F.lit(0), F.lit(index_blocks - 1))),
         }
     )
     right = index.withColumns(
         {
-            "ib": F.pmod(F.xxhash64("index_id"), F.lit(index_blocks)).cast("int"),
+            "ib": F.pmod(F.xxhash64("case_row"), F.lit(index_blocks)).cast("int"),
             "qb": F.explode(
                 F.sequence(F.lit(0).cast("bigint"), F.lit(query_blocks - 1).cast("bigint"))
             ),
@@ -284,9 +295,11 @@ def _blocked_top_k(
     unit_rows, best = _make_kernel()
 
     def score(left_table: pa.Table, right_table: pa.Table) -> pa.Table:
-        right_table = right_table.sort_by("index_id")
+        right_table = right_table.sort_by([("index_id", "ascending"), ("case_row", "ascending")])
         index_ids = right_table.column("index_id").to_numpy()
-        query_ids = left_table.column("query_id").to_numpy()
+        ids = left_table.column("query_id").combine_chunks()
+        known = ids.is_valid().to_numpy(zero_copy_only=False)
+        query_ids = ids.fill_null(-1).to_numpy(zero_copy_only=False)
 
         def rows_of(table):
             chunks = table.column("vector").combine_chunks()
@@ -296,17 +309,20 @@ def _blocked_top_k(
         cases, _ = rows_of(right_table)
         if len(queries_) and len(cases):
             places, scores = best(
-                queries_, usable, query_ids, cases, index_ids, k, exclude_self
+                queries_, usable, query_ids, known, cases, index_ids, k, exclude_self
             )
         else:
             places = np.zeros((len(queries_), 0), dtype=np.int64)
             scores = np.zeros((len(queries_), 0))
         found = np.isfinite(scores)
         row, _ = np.nonzero(found)
+        taken = places[found]
         return pa.table(
             {
-                "query_id": pa.array(query_ids[row], pa.int64()),
-                "index_id": pa.array(index_ids[places[found]], pa.int64()),
+                "row": left_table.column("row").take(pa.array(row)),
+                "query_id": ids.take(pa.array(row)),
+                "case_row": right_table.column("case_row").take(pa.array(taken)),
+                "index_id": pa.array(index_ids[taken], pa.int64()),
                 "similarity": pa.array(scores[found], pa.float64()),
             }
         )
@@ -314,12 +330,19 @@ def _blocked_top_k(
     partial = (
         left.groupBy("qb", "ib")
         .cogroup(right.groupBy("qb", "ib"))
-        .applyInArrow(score, "query_id bigint, index_id bigint, similarity double")
+        .applyInArrow(
+            score, "row bigint, query_id bigint, case_row bigint, index_id bigint, similarity double"
+        )
     )
-    order = W.partitionBy("query_id").orderBy(F.col("similarity").desc(), "index_id")
+    order = W.partitionBy("row").orderBy(F.col("similarity").desc(), "index_id", "case_row")
     return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored with a row number of its own in ``name``; ids need not be unique."""
+    return store_stage(df.withColumn(name, F.monotonically_increasing_id()), "rows")
+
+
 # ----------------------------------------------------------------------------------------------
 # public operators
 # ----------------------------------------------------------------------------------------------
@@ -350,8 +373,10 @@ def top_k_similar(
             )
         )
     blocked = _blocked_top_k(
-        _index_columns(queries, query_key, query_vector, []).toDF("query_id", "vector"),
-        _index_columns(index, index_key, index_vector, []).toDF("index_id", "vector"),
+        _numbered(_query_columns(queries, query_key, query_vector), "row"),
+        _numbered(
+            _index_columns(index, index_key, index_vector, []).toDF("index_id", "vector"), "case_row"
+        ),
         k,
         exclude_self,
         block_bytes,
@@ -359,6 +384,12 @@ def top_k_similar(
     return blocked.select("query_id", "rank", "index_id", "similarity")
 
 
+def _query_columns(queries: DataFrame, key: str, vector: str) -> DataFrame:
+    return queries.select(
+        F.col(key).cast("bigint").alias("query_id"), F.col(vector).alias("vector")
+    ).where(_has_direction(F.col("vector")))
+
+
 CASE_COLUMNS = {
     "past_customer_msg": "customer_msg_clean",
     "past_brand_reply": "brand_reply_clean",
@@ -378,8 +409,8 @@ def retrieve_similar(
 ) -> DataFrame:
     """Messages with ``retrieved``, the best ``k`` past cases, most similar first.
 
-    Messages without a usable vector, or an empty index, give an empty array.  With an index
-    too large to broadcast, ``messages`` is read several times: pass a stored table.
+    Messages without a usable vector, or an empty index, give an empty array.  Ids may repeat or be
+    NULL; every row gets its own cases, the same whether the index is broadcast or read in blocks.
     """
     small = index
     if isinstance(index, DataFrame):
@@ -394,23 +425,35 @@ def retrieve_similar(
         )
         return messages.withColumn("_found", found).withColumn("retrieved", shown).drop("_found")
 
-    best = top_k_similar(
-        messages, index, key, key, k, exclude_self, vector, vector, 0, block_bytes
+    numbered = _numbered(messages, "_row")
+    rows = numbered.select(
+        F.col("_row").alias("row"),
+        F.col(key).cast("bigint").alias("query_id"),
+        F.col(vector).alias("vector"),
+    ).where(_has_direction(F.col("vector")))
+    names = list(dict.fromkeys(cases.values()))
+    indexed = _numbered(_index_columns(index, key, vector, names), "case_row")
+    best = _blocked_top_k(
+        rows,
+        indexed.select("case_row", F.col(key).alias("index_id"), F.col(vector).alias("vector")),
+        k,
+        exclude_self,
+        block_bytes,
     )
-    details = index.select(
-        F.col(key).alias("_case"), *[F.col(c).alias(out) for out, c in cases.items()]
+    details = indexed.select(
+        F.col("case_row").alias("_case"), *[F.col(c).alias(out) for out, c in cases.items()]
     )
     # one case may be the nearest one of very many messages
-    described = lookup_join(best, details, "index_id", "_case", spread_by="query_id")
-    per_message = described.groupBy("query_id").agg(
+    described = lookup_join(best, details, "case_row", "_case", spread_by="row")
+    per_message = described.groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("rank", *cases, "similarity"))).alias("ranked")
-    )  # at most k rows per message
+    ).withColumnRenamed("row", "_match")  # at most k rows per message
     retrieved = F.transform(
         F.coalesce(F.col("ranked"), F.array()),
         lambda case: F.struct(*[case[name].alias(name) for name in [*cases, "similarity"]]),
     )
-    joined = messages.join(per_message, messages[key] == per_message["query_id"], "left")
-    return joined.withColumn("retrieved", retrieved).drop("query_id", "ranked")
+    joined = numbered.join(per_message, numbered["_row"] == per_message["_match"], "left")
+    return joined.withColumn("retrieved", retrieved).drop("_match", "_row", "ranked")
 
 
 def top_similarity(retrieved: Column) -> Column:

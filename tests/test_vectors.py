@@ -101,6 +101,26 @@ def test_empty_index_and_missing_vectors(spark, limits):
     assert got.where("size(retrieved) = 3").count() == 29  # 30 even ids, one zero vector
 
 
+@pytest.mark.parametrize("limits", [{}, BLOCKED])
+def test_repeated_and_missing_ids_and_odd_vectors(spark, limits):
+    nan, inf = float("nan"), float("inf")
+    index = spark.createDataFrame(
+        [(0, "m0", "r0", [1.0, 0.0]), (1, "m1", "r1", [0.9, 0.1]), (4, "m4", "r4", [nan, 1.0]), (-1, "m-", "r-", [0.2, 1.0]),
+         (5, "m5", "r5", [0.0, 1.0]), (6, "m6", "r6", [inf, 1.0]), (7, "m7", "r7", None), (None, "mx", "rx", [1.0, 0.0])], TEXTS,
+    )
+    messages = spark.createDataFrame(
+        [(100, "a", [1.0, 0.0]), (100, "b", [0.0, 1.0]), (None, "c", [1.0, 0.0]), (None, "d", None), (0, "e", [1.0, 0.0]),
+         (200, "f", [nan, 0.0]), (200, "g", [inf, 0.0])], "message_id long, message string, embedding array<float>",
+    )
+    got = retrieve_similar(messages, index, k=2, exclude_self=True, **limits).collect()
+    found = {r.message: [c.past_brand_reply for c in r.retrieved] for r in got}
+    assert found == {
+        "a": ["r0", "r1"], "b": ["r5", "r-"], "c": ["r0", "r1"], "d": [], "e": ["r1", "r-"], "f": [], "g": [],
+    }
+    top = top_k_similar(messages, index, "message_id", "message_id", 2, True, **limits)
+    assert top.count() == 8 and top.where("query_id is null").count() == 2
+
+
 def test_index_size_is_checked(spark):
     df = frame(spark, vectors())
     assert broadcast_index(df, "message_id", max_bytes=100) is None
