@@ -141,9 +141,26 @@ def test_patches_without_any_match(spark):
     assert patched.exceptAll(golden(spark)).count() == 0 and patched.count() == 4
 
 
-def test_too_many_patches(spark):
-    with pytest.raises(ValueError):
-        apply_patches(golden(spark), [Patch(str(i)) for i in range(1001)])
+def test_many_patches_give_the_same_rows(spark, monkeypatch):
+    from caseweave.operators import patches as module
+
+    listed = [
+        Patch("(really?)", "a", "auto", "note", "reason"), Patch("thank", "b"), Patch("nowhere", "c"),
+        Patch("*is*", None, None, "later note"), Patch("th.nk you all", "d"), Patch("", "e"), Patch("(really?)", "f"),
+    ]
+    few, few_report = apply_patches(golden(spark), listed)
+    few, few_report = few.collect(), few_report.collect()
+    monkeypatch.setattr(module, "PLAN_PATCHES", 2)
+    many, many_report = apply_patches(golden(spark), listed)
+    assert sorted(map(str, few)) == sorted(map(str, many.collect()))
+    assert sorted(map(str, few_report)) == sorted(map(str, many_report.collect()))
+
+
+def test_a_long_list_of_patches(spark):
+    patches = [Patch(str(i), "x") for i in range(1500)] + [Patch("(really?)", "a")]
+    patched, report = apply_patches(golden(spark), patches)
+    assert {r.message_id: r.true_intent for r in patched.collect()}[1] == "a"
+    assert report.count() == 1501
 
 
 def test_residual_patch(spark):
