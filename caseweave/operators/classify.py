@@ -11,7 +11,15 @@ from caseweave.functions.prompts import classify_batch_prompt, classify_prompt
 from caseweave.functions.responses import parse_label, parse_label_batch
 from caseweave.operators.providers import Provider
 
-ROWS_PER_BUCKET = 30_000
+#: Buckets that messages are numbered in. A run fixes the number and keeps it: a message's batch then
+#: depends on the other members of its bucket only, however large the table is or becomes.
+N_BUCKETS = 8
+ROWS_PER_BUCKET = 30_000  # that a task numbers comfortably
+
+
+def buckets_for(n_rows: int) -> int:
+    """A number of buckets for a run over about ``n_rows`` messages; keep it when the run resumes."""
+    return max(N_BUCKETS, -(-n_rows // ROWS_PER_BUCKET))
 
 
 def classify(
@@ -32,21 +40,18 @@ def message_batches(
     key: str,
     text: str,
     batch_size: int = fixed.LABEL_BATCH_SIZE,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    n_buckets: int = N_BUCKETS,
     intents: dict[str, dict] = fixed.INTENTS,
 ) -> DataFrame:
     """Batches of messages with their prompt: ``(bucket, batch, items, prompt)``.
 
-    Messages are numbered inside hash buckets of about ``rows_per_bucket`` rows; the number of
-    buckets grows with the table, so no task numbers more than that.  ``items`` is an array of
-    ``struct<index, key, message>`` with at most ``batch_size`` members.  ``key`` identifies a
-    message.  The rows are counted first: pass a stored table.
+    Messages are numbered inside ``n_buckets`` hash buckets, by key.  The caller fixes their number
+    (see :func:`buckets_for`), so another message changes the batches of its own bucket only.
+    ``items`` is an array of ``struct<index, key, message>`` with at most ``batch_size`` members.
+    ``key`` identifies a message.
     """
-    n_buckets = df.agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / rows_per_bucket), F.lit(1)).alias("n")
-    ).scalar()
     digits = F.substring(F.md5(F.col(key).cast("string")), 1, 8)
-    bucket = F.pmod(F.conv(digits, 16, 10).cast("bigint"), n_buckets)
+    bucket = F.pmod(F.conv(digits, 16, 10).cast("bigint"), F.lit(n_buckets).cast("bigint"))
     number = F.row_number().over(W.partitionBy("bucket").orderBy("key")) - 1
     return (
         df.select(
@@ -76,11 +81,11 @@ def classify_batch(
     text: str,
     provider: Provider,
     batch_size: int = fixed.LABEL_BATCH_SIZE,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    n_buckets: int = N_BUCKETS,
     intents: dict[str, dict] = fixed.INTENTS,
 ) -> DataFrame:
     """``(key, intent, confidence)`` per message; one request per batch."""
-    asked = provider(message_batches(df, key, text, batch_size, rows_per_bucket, intents))
+    asked = provider(message_batches(df, key, text, batch_size, n_buckets, intents))
     labels = parse_label_batch(F.col("raw_response"), F.size("items"), list(intents))
     return (
         asked.select("items", labels.alias("labels"))

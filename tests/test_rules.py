@@ -217,7 +217,7 @@ def test_single_and_batch_agree(spark):
     df = frame(spark, texts)
     single = classify(df, "customer_msg_clean", rule_provider("customer_msg_clean"))
     batch = classify_batch(
-        df, "message_id", "customer_msg_clean", rule_batch_provider(), rows_per_bucket=20
+        df, "message_id", "customer_msg_clean", rule_batch_provider(), n_buckets=3
     )
     a = {(r.message_id, r.intent, r.confidence) for r in single.collect()}
     b = {(r.message_id, r.intent, r.confidence) for r in batch.collect()}
@@ -227,12 +227,24 @@ def test_single_and_batch_agree(spark):
 
 def test_batches_are_bounded(spark):
     df = frame(spark, [f"message {i}" for i in range(1000)])
-    batches = message_batches(df, "message_id", "customer_msg_clean", rows_per_bucket=100)
+    batches = message_batches(df, "message_id", "customer_msg_clean", n_buckets=10)
     rows = batches.select("bucket", F.size("items").alias("n")).collect()
     assert sum(r.n for r in rows) == 1000 and max(r.n for r in rows) == 15
     assert len({r.bucket for r in rows}) == 10
 
 
+def test_another_message_moves_only_its_own_bucket(spark):
+    texts = [f"message {i}" for i in range(301)]
+
+    def batches(n):
+        rows = message_batches(frame(spark, texts[:n]), "message_id", "customer_msg_clean").collect()
+        return {(r.bucket, r.batch): r.prompt for r in rows}
+
+    before, after = batches(300), batches(301)
+    moved = {b for b, _ in {k for k in before.keys() | after.keys() if before.get(k) != after.get(k)}}
+    assert len(moved) == 1
+
+
 def test_user_model(spark):
     def load():
         calls = []

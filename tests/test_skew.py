@@ -73,7 +73,7 @@ def test_partitioning_does_not_matter(spark):
 
     def two(d):
         return classify_batch(
-            d, "message_id", "customer_msg_clean", rule_batch_provider(), rows_per_bucket=500
+            d, "message_id", "customer_msg_clean", rule_batch_provider(), n_buckets=5
         )
 
     def three(d):
