@@ -36,11 +36,21 @@ def normalise_tweets(raw: DataFrame) -> DataFrame:
 def read_tweets_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Raw message export.  Columns are matched by header name; others are not read.
 
+    All files of one export have the same columns in the same order, whatever that order is; a file
+    with another header is an error, never misread.  Read exports of different layouts one by one.
+
     Messages contain line breaks, so files are read whole by default, one task per file.  For
-    large inputs provide many files, or store the result once with :func:`overwrite`.
+    large inputs provide many files, or store the result once with :func:`overwrite`; a file too
+    large for one task has to be cut at its records first, or exported without line breaks and read
+    with ``multi_line=False``, which splits files.
     """
-    raw = spark.read.options(**_CSV).option("multiLine", multi_line).csv(path)
-    return normalise_tweets(raw.select(*fixed.RAW_COLUMNS))
+    header = spark.read.options(**_CSV).csv(path).columns
+    missing = [c for c in fixed.RAW_COLUMNS if c not in header]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    reader = spark.read.schema(schema).options(**_CSV, enforceSchema="false")
+    return normalise_tweets(reader.option("multiLine", multi_line).csv(path).select(*fixed.RAW_COLUMNS))
 
 
 def read_table(
