@@ -5,19 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseweave.operators.labelling import split_valid
-from caseweave.session import scratch_path
+from caseweave.session import scratch_path, store_stage
 from caseweave.sources.tables import append
 
-_PART = "_part"
+_PART, _RANK = "_part", "_rank"
 
 
 def pending(source: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    """Rows of ``source`` whose key is not done yet."""
-    return source.join(done.select(key), key, "left_anti")
+    """Rows of ``source`` whose key is not done yet.  Rows without a key can never be done; none are."""
+    return source.where(F.col(key).isNotNull()).join(done.select(key), key, "left_anti")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -37,12 +38,18 @@ def record_labels(
 ) -> DataFrame:
     """Append labels made by hand: valid values only, and no row that is labelled already.
 
-    Returns the rejected rows with the columns that are not valid.
+    A row without a key is rejected, and of several rows with one key all but the first in the
+    order of all their columns.  Returns the rejected rows with the columns that are not valid.
     """
     valid, rejected = split_valid(labels, allowed)
+    order = W.partitionBy(key).orderBy(*[F.col(c) for c in labels.columns])
+    ranked = valid.withColumn(_RANK, F.row_number().over(order))
+    usable = F.col(key).isNotNull() & (F.col(_RANK) == 1)
     done = read_done(labels.sparkSession, path, labels.schema)
-    append(pending(valid, done, key), path)
-    return rejected
+    ranked = store_stage(ranked, "labels")  # before the table that it is compared with changes
+    append(pending(ranked.where(usable).drop(_RANK), done, key), path)
+    repeated = ranked.where(~usable).drop(_RANK)
+    return rejected.unionByName(repeated.withColumn("invalid_columns", F.array(F.lit(key))))
 
 
 def run_resumable(
@@ -55,8 +62,8 @@ def run_resumable(
 ) -> DataFrame:
     """Process the rows not yet in ``path`` and append them, in ``n_parts`` separate writes.
 
-    Each write is atomic, so an interrupted run loses at most one part, and a new run processes
-    only the keys that are missing.  With several parts the pending rows are stored once, by
+    An interrupted run loses at most the parts it had not finished, and a new run processes only the
+    keys that are missing; rows that a broken write left behind count as done, none are written twice.  With several parts the pending rows are stored once, by
     part, so that every part reads only its own rows.  ``schema`` is that of the result and
     contains the key.
     """

@@ -14,7 +14,7 @@ from caseweave import schemas
 from caseweave.sources.incremental import read_done, table_exists
 
 QUERY, BATCH = "query_id", "batch_id"
-MAX_BROADCAST_KEYS = 1_000_000
+SEEN = "_seen"
 
 
 def _sink_schema(schema: T.StructType) -> T.StructType:
@@ -23,6 +23,20 @@ def _sink_schema(schema: T.StructType) -> T.StructType:
     )
 
 
+def _first_seen(messages: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Each key once, in the micro-batch that brings it first: its first row in ``order``.
+
+    The state is one row per key, in the state store.  Every micro-batch updates the keys it holds;
+    a key is new if the first time it was seen is the time of this very batch, which a repeated
+    batch keeps.
+    """
+    columns = [*order, *(c for c in messages.columns if c != key and c not in order)]
+    timed = messages.withColumn(SEEN, F.current_timestamp())
+    first = timed.groupBy(key).agg(F.min(F.struct(SEEN, *columns)).alias("_first"))
+    new = first.where(F.col(f"_first.{SEEN}") == F.current_timestamp())
+    return new.select(key, "_first.*").select(*messages.columns)
+
+
 def decide_stream(
     messages: DataFrame,
     handle: Callable[[DataFrame], DataFrame],
@@ -31,36 +45,38 @@ def decide_stream(
     key: str = "message_id",
     schema: T.StructType = schemas.MESSAGE_RESULT,
     trigger: dict | None = None,
+    order: list[str] | None = None,
 ) -> StreamingQuery:
     """Run ``handle`` on every micro-batch and add its rows to the Parquet table ``sink``.
 
     Each message is decided once:
 
+    * of rows that share a key in one micro-batch the first in ``order`` (all columns by default) is
+      decided, and a key that came in an earlier micro-batch is skipped.  The keys seen so far are
+      kept as state, so a micro-batch costs the same however much was decided before;
     * a micro-batch is written to a partition of its own, named after the query (which keeps its
       id as long as it keeps its checkpoint) and the batch; a micro-batch that is repeated after
       a crash replaces its partition;
-    * a message whose key another micro-batch has decided is skipped, also when the stream is
-      started afresh without its checkpoint.  Only the key column of the sink is read for this,
-      and it is reduced to the keys of the micro-batch first; they are counted, and broadcast if
-      they are few, so that the sink need not be shuffled.
+    * a stream that is started without its checkpoint on a sink that has decisions takes their keys
+      down once, beside the new checkpoint, and skips them.
 
-    ``handle`` maps messages to results with the columns of ``schema``.
+    ``handle`` maps messages to results with the columns of ``schema``.  For a large state set
+    ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider.
     """
+    spark = messages.sparkSession
+    earlier = f"{checkpoint}/earlier-keys"
+    keys = T.StructType([f for f in schema.fields if f.name == key])
+    if not table_exists(spark, checkpoint) and table_exists(spark, sink):
+        read_done(spark, sink, _sink_schema(schema)).select(key).distinct().write.parquet(earlier)
+    has_earlier = table_exists(spark, earlier)
     query_id: list[str] = []
     started = threading.Event()
 
     def write(batch: DataFrame, batch_id: int) -> None:
         started.wait()
-        spark = batch.sparkSession
-        todo = batch.dropDuplicates([key])
-        if table_exists(spark, sink):
-            own = (F.col(QUERY) == query_id[0]) & (F.col(BATCH) == batch_id)
-            others = read_done(spark, sink, _sink_schema(schema)).where(~own).select(key)
-            new = batch.select(key)
-            if new.count() <= MAX_BROADCAST_KEYS:
-                new = F.broadcast(new)
-            repeated = others.join(new, key, "left_semi")
-            todo = todo.join(repeated, key, "left_anti")
+        todo = batch
+        if has_earlier:
+            todo = todo.join(read_done(batch.sparkSession, earlier, keys), key, "left_anti")
         (
             handle(todo)
             .select(*schema.names)
@@ -71,8 +87,11 @@ def decide_stream(
             .parquet(sink)
         )
 
+    others = [c for c in messages.columns if c != key]
     query = (
-        messages.writeStream.foreachBatch(write)
+        _first_seen(messages, key, order or others)
+        .writeStream.foreachBatch(write)
+        .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -57,6 +57,10 @@ def test_record_labels(spark, tmp_path):
     assert record(good, (2, "billing", "auto")) == ({2}, [(1, "escalate")])
     again = (1, "how_to_question", "auto")
     assert record(again, (2, "how_to_question", "auto")) == (set(), [(1, "escalate"), (2, "auto")])
+    # of a repeated key the first in the order of all columns; no key, no label
+    rows = [(3, "how_to_question", "escalate"), (3, "how_to_question", "auto"), (None, *again[1:])]
+    for _ in range(2):
+        assert record(*rows) == ({3, None}, [(1, "escalate"), (2, "auto"), (3, "auto")])
 
 
 def test_resumable_embedding(spark, tmp_path):
