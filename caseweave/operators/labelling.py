@@ -14,8 +14,6 @@ from caseweave.operators.pairs import keep_first
 from caseweave.operators.patches import is_flagged
 from caseweave.operators.sampling import sample_per_group
 
-MAX_CANDIDATES = 200_000
-
 CANDIDATE_LABELS = [
     "true_intent", "good_reply_should_include", "escalate_or_auto", "escalate_reason",
 ]
@@ -35,13 +33,15 @@ def bucket_members(
     key: str = "message_id",
     text: str = "customer_msg_clean",
     rules: dict[str, list[str]] = fixed.KEYWORD_RULES,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(key, bucket)``, one row per message and bucket it belongs to."""
+    """``(key, bucket)``, one row per message and bucket it belongs to, with the columns ``keep``."""
     # exploded in the same expression: from a named array column the optimizer would infer a
     # filter on its size and compute all hits a second time
     buckets = keyword_buckets(F.col(text), F.col(LOWERED), rules)
-    return with_lowered(df.select(key, text), text).select(
-        key, F.explode(buckets).alias("bucket")
+    columns = list(dict.fromkeys([key, text, *keep]))
+    return with_lowered(df.select(*columns), text).select(
+        key, *[c for c in keep if c != key], F.explode(buckets).alias("bucket")
     )
 
 
@@ -66,15 +66,14 @@ def golden_candidates(
 ) -> DataFrame:
     """A sample from every bucket, without repeated messages, with label columns to fill.
 
-    A message sampled for several buckets stays with the first one.  Buckets are ranked on keys
-    alone; the texts of the few chosen rows are fetched afterwards.
+    A message sampled for several buckets stays with the first one.  Texts are read and cleaned
+    once: they travel with the bucket members, of which each task sends at most ``per_bucket`` per
+    bucket.
     """
-    members = bucket_members(df, key, text, rules)
+    members = bucket_members(df, key, text, rules, (text, reply))
     chosen = sample_per_group(members, per_bucket, seed, "bucket", key, keep_rank=True)
-    if per_bucket * (len(rules) + 1) <= MAX_CANDIDATES:
-        chosen = F.broadcast(chosen)  # at most per_bucket rows per bucket
     order = [bucket_order(F.col("bucket"), rules).asc(), F.col("sample_rank").asc()]
-    rows = keep_first(df.select(key, text, reply).join(chosen, key), [text], order)
+    rows = keep_first(chosen, [text], order)
     defaults = defaults or {}
     return rows.select(
         F.col(key).alias("message_id"),

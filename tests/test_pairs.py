@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Row
 
@@ -56,6 +57,20 @@ def test_csv_columns_by_name(spark, tmp_path):
     assert (row.tweet_id, row.text, row.in_response_to_tweet_id) == (5, "null", 4)
 
 
+def test_csv_files_of_another_layout_fail(spark, tmp_path):
+    folder = tmp_path / "export"
+    folder.mkdir()
+    names = ["tweet_id", "author_id", "inbound", "created_at", "text", "response_tweet_id", "in_response_to_tweet_id"]
+    row = dict(zip(names, ["1", "u", "True", "t", "hello", "", "4"]))
+    for number, order in enumerate([names, names[::-1]]):
+        (folder / f"{number}.csv").write_text(f"{','.join(order)}\n{','.join(row[n] for n in order)}\n")
+    for multi_line in (True, False):
+        with pytest.raises(Exception, match="(?i)header"):
+            read_tweets_csv(spark, str(folder), multi_line).collect()
+    with pytest.raises(ValueError, match="lacks"):
+        read_tweets_csv(spark, write_csv(tmp_path, "tweet_id,text\n1,x\n"))
+
+
 def test_pair_branches(spark, tmp_path):
     tweets = read_tweets_csv(spark, write_csv(tmp_path))
     replies = filter_brand_replies(tweets, "Brand")
@@ -131,8 +146,16 @@ def test_keep_first_and_filter(spark, plan_of):
     )
     assert [(r.brand_tweet_id, r.brand_reply_clean) for r in kept.collect()] == [(1, "a")]
     # the cleaned text is not copied into the filter
-    filters = [x for x in plan_of(kept).splitlines() if "Filter" in x and "length" in x]
-    assert filters and all("regexp_replace" not in x for x in filters)
+    filters = [x for x in plan_of(kept).splitlines() if "Filter" in x or "Generate" in x]
+    assert any("Generate" in x for x in filters) and all("regexp_replace" not in x for x in filters)
+
+
+def test_later_filters_reach_the_scan(spark, tmp_path, plan_of):
+    path = str(tmp_path / "pairs")
+    spark.createDataFrame([(i, f"@x message {i}") for i in range(9)], "message_id long, customer_msg string").write.parquet(path)
+    kept = drop_short(add_clean(spark.read.parquet(path), "customer_msg")).where("message_id = 3")
+    assert "EqualTo(message_id,3)" in plan_of(kept)
+    assert [r.customer_msg_clean for r in kept.collect()] == ["message 3"]
 
 
 def test_prepare_end_to_end(spark, tmp_path):
