@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -13,6 +15,8 @@ from pyspark.storagelevel import StorageLevel
 from caseweave import fixed
 from caseweave.functions.vectors import euclidean
 
+PARTITION_BYTES = 4 << 20  # of points; a task's share of one iteration
+
 
 def run_clustering(
     df: DataFrame,
@@ -25,6 +29,9 @@ def run_clustering(
 ) -> tuple[DataFrame, KMeansModel]:
     """k-means, the best of ``n_starts`` starts; rows with their cluster, and the model."""
     points = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("_point"))
+    size = df.agg(F.sum(F.size(vector) * F.lit(8).cast("bigint") + 32)).first()[0] or 0
+    # every iteration is a job over all partitions; a small table needs few of them
+    points = points.coalesce(max(1, math.ceil(size / PARTITION_BYTES)))
     points = points.persist(StorageLevel.MEMORY_AND_DISK)  # read by every iteration
     try:
         best = None
