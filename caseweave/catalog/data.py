@@ -253,7 +253,7 @@ RAW_PAIRS = f"""raw_pairs AS (
     FROM tweets r JOIN tweets p ON r.in_response_to_tweet_id = p.tweet_id
     WHERE r.author_id = '{BRAND}' AND NOT r.inbound AND p.inbound)"""
 
-CLEAN_PAIRS = f"""clean_pairs AS (
+CLEAN_PAIRS = f"""clean_pairs AS MATERIALIZED (
     SELECT * FROM (
         SELECT *, {sql_clean("customer_msg")} AS customer_msg_clean,
                {sql_clean("brand_reply")} AS brand_reply_clean
@@ -261,13 +261,13 @@ CLEAN_PAIRS = f"""clean_pairs AS (
     WHERE length(customer_msg_clean) > 5
     QUALIFY row_number() OVER (PARTITION BY customer_msg_clean ORDER BY brand_tweet_id) = 1)"""
 
-CASES = f"""cases AS (
+CASES = f"""cases AS MATERIALIZED (
     SELECT p.brand_tweet_id AS message_id, p.customer_msg_clean, p.brand_reply_clean,
            e.embedding::DOUBLE[] AS embedding
     FROM clean_pairs p JOIN embeddings e
       ON e.vec_id = {sql_hash("p.brand_tweet_id")} % (SELECT count(*) FROM embeddings))"""
 
-INDEX = f"""idx AS (
+INDEX = f"""idx AS MATERIALIZED (
     SELECT * FROM cases ORDER BY {sql_sample_order(fixed.INDEX_SEED, "message_id")}, message_id
     LIMIT {fixed.INDEX_SAMPLE_SIZE})"""
 
@@ -276,15 +276,16 @@ def sql_retrieved(
     messages: str = "cases", allowed: str = "m.message_id <> i.message_id"
 ) -> str:
     """``found``: the best three cases of every message, by default other than itself."""
-    return f"""found AS (
-    SELECT m.message_id, i.message_id AS case_id, i.customer_msg_clean AS past_customer_msg,
-           i.brand_reply_clean AS past_brand_reply,
-           round(list_cosine_similarity(m.embedding, i.embedding), 9) AS similarity,
-           row_number() OVER (PARTITION BY m.message_id
-               ORDER BY round(list_cosine_similarity(m.embedding, i.embedding), 9) DESC,
-                        i.message_id) AS rank
-    FROM {messages} m JOIN idx i ON {allowed}
-    QUALIFY rank <= 3)"""
+    return f"""scored AS MATERIALIZED (
+    SELECT m.message_id, i.message_id AS case_id,
+           round(list_cosine_similarity(m.embedding, i.embedding), 9) AS similarity
+    FROM {messages} m JOIN idx i ON {allowed}),
+    nearest AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY similarity DESC, case_id) AS rank
+    FROM scored QUALIFY rank <= 3),
+    found AS MATERIALIZED (
+    SELECT n.*, i.customer_msg_clean AS past_customer_msg, i.brand_reply_clean AS past_brand_reply
+    FROM nearest n JOIN idx i ON i.message_id = n.case_id)"""
 
 
 PAIR_CTES = f"WITH {TWEETS}, {RAW_PAIRS}, {CLEAN_PAIRS}"

@@ -12,17 +12,17 @@ from caseweave.functions.responses import parse_rubric, rubric_out_of_range
 from caseweave.operators import metrics
 from caseweave.operators.classify import classify_batch
 from caseweave.operators.labelling import (
-    CANDIDATE_LABELS, attach_suggestions, bulk_finalize, check_labels, golden_candidates,
+    CANDIDATE_LABELS, attach_suggestions, bulk_finalize, check_labels, golden_candidates, label_counts,
 )
 from caseweave.operators.patches import Patch, apply_patches, patch_residual, review_queue
 from caseweave.operators.providers import rule_batch_provider, rule_provider
 from caseweave.operators.retrieval import partial_index, sample_index
 from caseweave.plans.evaluate import (
-    attach_scores, evaluation_results, pair_labels, pair_scores,
+    attach_scores, evaluation_results, judge_replies, pair_labels, pair_scores,
 )
 from caseweave.plans.handle import handle_messages
 from caseweave.session import scratch_path, store_stage
-from caseweave.sources.incremental import pending, run_resumable
+from caseweave.sources.incremental import pending, read_done, record_labels, run_resumable
 
 PATCHES = [
     Patch("Than in ofblethti", "how_to_question", "auto", "explain", "known question"),
@@ -193,6 +193,51 @@ def judged(spark, sf):
     )
 
 
+def judged_replies(spark, sf):
+    """Replies scored by a provider, from prompt to parsed scores.
+
+    The provider answers each prompt that holds its message with the rubric reply of the row.
+    """
+    results = (
+        D.documents(spark, sf)
+        .join(D.rubric_replies(spark, sf), "message_id")
+        .withColumnsRenamed({"customer_msg_clean": "message", "brand_reply_clean": "pipeline_reply"})
+    )
+
+    def provider(df):
+        asked = F.contains("prompt", "message") & F.contains("prompt", "pipeline_reply")
+        return df.withColumn("raw_response", F.when(asked, F.col("raw")).otherwise(""))
+
+    return judge_replies(results, provider).select(
+        "message_id", *fixed.RUBRIC_DIMENSIONS, "justification"
+    )
+
+
+def score_extremes(spark, sf):
+    return metrics.score_ranges(metrics.score_distribution(_paired_scores(spark, sf)))
+
+
+def confusion_table(spark, sf):
+    return metrics.confusion_matrix(confusions(spark, sf), list(fixed.INTENTS))
+
+
+def finalized_counts(spark, sf):
+    return label_counts(finalized(spark, sf))
+
+
+def recorded_labels(spark, sf):
+    """Labels recorded in two sittings: first only good ones are valid, then all of them."""
+    labels = D.table(spark, sf, "labels")
+    path = scratch_path(spark, "labels")
+    harmless = labels.where("toxic = 0")
+    rejected = record_labels(harmless, path, "doc_id", {"quality": [1]})
+    rejected = store_stage(rejected, "rejected")
+    record_labels(labels, path, "doc_id", {"quality": [0, 1]})
+    marks = rejected.select("doc_id", F.lit(True).alias("was_rejected"))
+    recorded = read_done(spark, path, labels.schema).join(marks, "doc_id", "left")
+    return recorded.withColumn("was_rejected", F.coalesce("was_rejected", F.lit(False)))
+
+
 def judge_means(spark, sf):
     return metrics.mean_scores(_scores(spark, sf)).withColumn(
         "mean_score", F.round("mean_score", 6)
@@ -261,6 +306,7 @@ QUERIES = {
     "q32_partial_prelabel": partly_prelabelled,
     "q33_partial_index": partly_indexed,
     "q34_bulk_finalize": finalized,
+    "q34_label_counts": finalized_counts,
     "q35_snippet_patch": patched,
     "q35_snippet_patch_report": patch_report,
     "q36_residual_patch": residual_patched,
@@ -268,14 +314,18 @@ QUERIES = {
     "q38_eval_rows": eval_rows,
     "q39_accuracy": accuracies,
     "q40_confusion": confusions,
+    "q40_confusion_matrix": confusion_table,
     "q41_judge_prompt": judge_prompts,
     "q42_judge_parse": judged,
+    "q42_judged_replies": judged_replies,
     "q43_judge_means": judge_means,
     "q44_rater_agreement": agreement,
     "q45_spot_check": spot_check,
     "q45_spot_check_rates": spot_check_rates,
     "q46_score_distribution": distribution,
+    "q46_score_ranges": score_extremes,
     "q47_pending_rows": pending_rows,
+    "q47_recorded_labels": recorded_labels,
     "q47_resumed_labels": resumed_labels,
 }
 
@@ -464,6 +514,22 @@ ORACLE = {
                s.helpfulness NOT BETWEEN 1 AND 5 OR s.tone_match NOT BETWEEN 1 AND 5
                  OR s.grounding NOT BETWEEN 1 AND 5 AS out_of_range
         FROM documents d LEFT JOIN scores s ON s.message_id = d.doc_id""",
+    "q42_judged_replies": f"""WITH {_SCORES}
+        SELECT s.message_id, s.helpfulness::INTEGER AS helpfulness,
+               s.tone_match::INTEGER AS tone_match, s.grounding::INTEGER AS grounding, s.justification
+        FROM scores s JOIN documents d ON d.doc_id = s.message_id""",
+    "q46_score_ranges": f"""WITH {_SCORES}, {_RATERS}
+        SELECT rater, dimension, min(score)::INTEGER AS min_score, max(score)::INTEGER AS max_score
+        FROM long GROUP BY rater, dimension""",
+    "q40_confusion_matrix": f"""{_PAIRED_LABELS}
+        SELECT existing_intent AS truth, {", ".join(
+            f'count(*) FILTER (my_intent = {D.q(i)}) AS "{i}"' for i in fixed.INTENTS
+        )} FROM paired GROUP BY 1""",
+    "q34_label_counts": f"""WITH {D.DOCS}
+        SELECT count(*) AS n_rows, count(*) FILTER (l.doc_id IS NULL) AS n_flagged
+        FROM docs d LEFT JOIN labels l ON l.doc_id = d.message_id""",
+    "q47_recorded_labels": """
+        SELECT doc_id, quality, toxic, toxic = 0 AND quality = 0 AS was_rejected FROM labels""",
     "q43_judge_means": f"""WITH {_SCORES}, {_RATERS}
         SELECT dimension, count(*) AS n_rows, round(avg(score), 6) AS mean_score
         FROM long WHERE rater = 'judge' GROUP BY dimension""",

@@ -12,11 +12,11 @@ from caseweave.functions.keywords import add_keyword_intent
 from caseweave.functions.prompts import classify_prompt, reply_prompt
 from caseweave.functions.responses import parse_label, parse_label_batch
 from caseweave.functions.text import clean_text
-from caseweave.operators.classify import message_batches
+from caseweave.operators.classify import N_BUCKETS, message_batches
 from caseweave.operators.clustering import (
     cluster_sizes, mean_centres, nearest_per_cluster, run_clustering,
 )
-from caseweave.operators.embedding import embed, fit_embedder
+from caseweave.operators.embedding import N_FEATURES, embed, fit_embedder
 from caseweave.operators.providers import rule_batch_provider, rule_provider
 from caseweave.operators.retrieval import (
     CASE_COLUMNS, add_norm, broadcast_index, build_index, retrieve_similar, sample_index, top_k_similar,
@@ -29,8 +29,6 @@ from caseweave.session import scratch_path, store_stage
 from caseweave.sources.conversations import TURNS_PER_CONVERSATION
 from caseweave.streaming.messages import decide_stream, decided
 
-_MESSAGES_PER_BUCKET = 150
-
 
 def _similarity_per_vector(spark, sf):
     vectors = D.table(spark, sf, "embeddings")
@@ -73,16 +71,28 @@ def cosine_scores(spark, sf):
     )
 
 
-def topk(spark, sf):
+def topk(spark, sf, **limits):
     vectors = D.table(spark, sf, "embeddings")
-    return top_k_similar(vectors, vectors, "vec_id", "vec_id", exclude_self=True).select(
+    return top_k_similar(vectors, vectors, "vec_id", "vec_id", exclude_self=True, **limits).select(
         "query_id", "rank", "index_id", F.round("similarity", 6).alias("similarity")
     )
 
 
-def max_similarity(spark, sf):
+# a limit of zero sends every index down the path of large ones, in blocks small enough to be many
+_IN_BLOCKS = {"max_broadcast_bytes": 0, "block_bytes": 64 << 10}
+
+
+def topk_blocked(spark, sf):
+    return topk(spark, sf, **_IN_BLOCKS)
+
+
+def max_similarity_blocked(spark, sf):
+    return max_similarity(spark, sf, **_IN_BLOCKS)
+
+
+def max_similarity(spark, sf, **limits):
     cases = store_stage(D.pairs(spark, sf), "cases")
-    found = retrieve_similar(cases, sample_index(cases, "message_id"), exclude_self=True)
+    found = retrieve_similar(cases, sample_index(cases, "message_id"), exclude_self=True, **limits)
     best = top_similarity(F.col("retrieved"))
     return found.select("message_id", F.round(best, 6).alias("top_similarity"))
 
@@ -97,20 +107,49 @@ def cluster_representatives(spark, sf):
 
 
 def kmeans_sizes(spark, sf):
-    assigned, _ = run_clustering(
-        D.table(spark, sf, "embeddings"), n_starts=2, max_iter=20
-    )
+    assigned, _ = run_clustering(D.table(spark, sf, "embeddings"))
     return cluster_sizes(assigned)
 
 
+def kmeans_checks(spark, sf):
+    """What must hold of any clustering: every row assigned, and to its nearest centre."""
+    assigned, model = run_clustering(D.table(spark, sf, "embeddings"))
+    centres = [[float(x) for x in c] for c in model.clusterCenters()]  # as many as clusters
+    point = F.col("embedding").cast("array<double>")
+    distances = F.array(*(V.euclidean(point, F.lit(c)) for c in centres))
+    own = F.element_at(distances, F.col("cluster") + 1)
+    return assigned.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("cluster").alias("n_assigned"),
+        F.countDistinct("cluster").alias("n_clusters"),
+        F.count_if(own > F.array_min(distances) + 1e-9).alias("n_misplaced"),
+    )
+
+
 def discovered(spark, sf):
     """Typical messages of the clusters of a sample of the documents."""
-    found = discover_intents(D.documents(spark, sf), key="message_id", n_starts=2, max_iter=20)
+    found = discover_intents(D.documents(spark, sf), key="message_id")
     return found.examples.select(
         "cluster", "rank", "message_id", F.round("distance", 4).alias("distance")
     )
 
 
+def discovery_checks(spark, sf):
+    """The sampled messages, each in a cluster whose listed examples are ranked without gaps."""
+    found = discover_intents(D.documents(spark, sf), key="message_id")
+    listed = found.examples.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n_listed"), F.max("rank").alias("last_rank")
+    )
+    per_cluster = found.sizes.join(listed, "cluster").withColumn(
+        "complete",
+        (F.col("n_listed") == F.col("last_rank"))
+        & (F.col("n_listed") == F.least("n_rows", F.lit(fixed.EXAMPLES_PER_CLUSTER))),
+    )
+    return found.assigned.join(per_cluster.select("cluster", "complete"), "cluster").select(
+        "message_id", "complete"
+    )
+
+
 def _pair_messages(spark, sf):
     return D.pairs(spark, sf).select("message_id", F.col("customer_msg_clean").alias("message"))
 
@@ -122,10 +161,7 @@ def single_prompts(spark, sf):
 
 
 def batch_prompts(spark, sf):
-    messages = store_stage(_pair_messages(spark, sf), "messages")
-    batches = message_batches(
-        messages, "message_id", "message", rows_per_bucket=_MESSAGES_PER_BUCKET
-    )
+    batches = message_batches(_pair_messages(spark, sf), "message_id", "message")
     return batches.select("bucket", "batch", F.size("items").alias("n_messages"), "prompt")
 
 
@@ -151,8 +187,7 @@ def single_replies(spark, sf):
 def batch_replies(spark, sf):
     """Rule replies per batch; some reordered, some incomplete, some with an unknown intent."""
     batches = message_batches(
-        D.documents(spark, sf), "message_id", "customer_msg_clean",
-        rows_per_bucket=_MESSAGES_PER_BUCKET,
+        D.documents(spark, sf), "message_id", "customer_msg_clean"
     ).drop("prompt")
     answered = rule_batch_provider("items", D.RULES)(batches)
     form = F.pmod(F.col("bucket") + F.col("batch"), F.lit(4))
@@ -219,9 +254,8 @@ def embedded_index(spark, sf):
     docs = D.documents(spark, sf)
     model = fit_embedder(docs, "customer_msg_clean")
     index = build_index(docs, lambda df: embed(df, "customer_msg_clean", model), "message_id")
-    return index.select(
-        "message_id", F.size("embedding").alias("n_dims"), F.round("norm", 4).alias("norm")
-    )
+    norm = F.when(F.abs(F.col("norm") - 1) < 1e-4, 1.0).when(F.col("norm") == 0, 0.0)
+    return index.select("message_id", F.size("embedding").alias("n_dims"), norm.alias("norm"))
 
 
 def handled_from_text(spark, sf):
@@ -276,10 +310,14 @@ QUERIES = {
     "q17_vector_table": vector_table,
     "q18_cosine_scores": cosine_scores,
     "q19_topk_retrieval": topk,
+    "q19_topk_blocked": topk_blocked,
     "q20_max_similarity": max_similarity,
+    "q20_max_similarity_blocked": max_similarity_blocked,
     "q21_cluster_representatives": cluster_representatives,
     "q22_kmeans_sizes": kmeans_sizes,
+    "q22_kmeans_checks": kmeans_checks,
     "q22_discover_intents": discovered,
+    "q22_discovery_checks": discovery_checks,
     "q23_classify_prompt": single_prompts,
     "q24_batch_prompt": batch_prompts,
     "q25_parse_single": single_replies,
@@ -297,10 +335,7 @@ _CONFIDENCE = f"""CASE {D.sql_hash("'c:' || message_id")} % 4
 
 
 def _batched(source: str, text: str) -> str:
-    bucket = (
-        f"{D.sql_hash('message_id')} % (SELECT greatest(ceil(count(*) / "
-        f"{_MESSAGES_PER_BUCKET}.0), 1)::BIGINT FROM {source})"
-    )
+    bucket = f"{D.sql_hash('message_id')} % {N_BUCKETS}"
     return f"""numbered AS (
         SELECT message_id, {text} AS message, {bucket} AS bucket,
                row_number() OVER (PARTITION BY {bucket} ORDER BY message_id) - 1 AS number
@@ -331,15 +366,15 @@ _KNOWN = D.sql_in(list(fixed.INTENTS))
 def _handle_sql(source: str) -> str:
     """Result columns for ``source(message_id, message, embedding)`` and the index ``idx``."""
     return f"""
-    best AS (
+    best AS MATERIALIZED (
         SELECT m.message_id, max(f.similarity) AS top_similarity,
                max(f.past_brand_reply) FILTER (f.rank = 1) AS reply
         FROM {source} m LEFT JOIN found f USING (message_id) GROUP BY m.message_id),
-    labelled AS (
+    labelled AS MATERIALIZED (
         SELECT m.message_id, m.message, {D.sql_intent("m.message")} AS intent,
                coalesce(b.top_similarity, 0.0) AS top_similarity, coalesce(b.reply, '') AS reply
         FROM {source} m JOIN best b USING (message_id)),
-    sure AS (SELECT *, {D.sql_confidence("intent")} AS confidence FROM labelled)
+    sure AS MATERIALIZED (SELECT *, {D.sql_confidence("intent")} AS confidence FROM labelled)
     SELECT message_id, message, intent, confidence, trim(reply) AS drafted_reply,
            round(top_similarity, 6) AS top_similarity,
            {D.sql_decision("intent", "confidence", "top_similarity")}
@@ -395,6 +430,19 @@ ORACLE = {
                (row_number() OVER (PARTITION BY cluster ORDER BY distance, vec_id))::INTEGER AS rank
         FROM distances
         QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY distance, vec_id) <= 8""",
+    "q22_kmeans_checks": f"""
+        SELECT count(*) AS n_rows, count(*) AS n_assigned,
+               least(count(*), {fixed.N_CLUSTERS})::BIGINT AS n_clusters, 0::BIGINT AS n_misplaced
+        FROM embeddings""",
+    "q22_discovery_checks": f"""WITH {D.DOCS}
+        SELECT message_id, true AS complete FROM docs
+        ORDER BY {D.sql_sample_order(fixed.DISCOVERY_SEED, "message_id")}, message_id
+        LIMIT {fixed.DISCOVERY_SAMPLE_SIZE}""",
+    "q30_embed_index": f"""WITH {D.DOCS}
+        SELECT message_id, {N_FEATURES} AS n_dims,
+               CASE WHEN {D.sql_words("customer_msg_clean")} > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS norm
+        FROM docs ORDER BY {D.sql_sample_order(fixed.INDEX_SEED, "message_id")}, message_id
+        LIMIT {fixed.INDEX_SAMPLE_SIZE}""",
     "q23_classify_prompt": f"""{D.PAIR_CTES}
         SELECT brand_tweet_id AS message_id, {D.sql_fill(
             fixed.CLASSIFY_PROMPT, {**D.PROMPT_CONSTANTS, "message": "customer_msg_clean"}
@@ -445,7 +493,7 @@ ORACLE = {
                     ELSE {D.sql_confidence("rule")} END AS confidence
         FROM sized""",
     "q27_grounded_prompt": f"""{D.CASE_CTES},
-        examples AS (
+        examples AS MATERIALIZED (
             SELECT message_id, string_agg({_EXAMPLE}, '' ORDER BY rank) AS examples
             FROM found GROUP BY message_id)
         SELECT m.message_id, {D.sql_fill(
@@ -462,10 +510,10 @@ ORACLE = {
         SELECT m.message_id, trim(coalesce(f.past_brand_reply, '')) AS drafted_reply
         FROM cases m LEFT JOIN found f ON f.message_id = m.message_id AND f.rank = 1""",
     "q29_handle_messages": f"""{D.CASE_CTES},
-        messages AS (SELECT message_id, customer_msg_clean AS message FROM cases),
+        messages AS MATERIALIZED (SELECT message_id, customer_msg_clean AS message FROM cases),
         {_handle_sql("messages")}""",
     "q48_stream_decisions": f"""{D.PAIR_CTES}, {D.CASES}, {D.INDEX},
-        messages AS (
+        messages AS MATERIALIZED (
             SELECT t.tweet_id AS message_id, {D.sql_clean("t.text")} AS message,
                    e.embedding::DOUBLE[] AS embedding
             FROM tweets t JOIN embeddings e
@@ -474,3 +522,8 @@ ORACLE = {
         {D.sql_retrieved("messages")},
         {_handle_sql("messages")}""",
 }
+
+for _blocked, _plain in {
+    "q19_topk_blocked": "q19_topk_retrieval", "q20_max_similarity_blocked": "q20_max_similarity",
+}.items():
+    ORACLE[_blocked] = ORACLE[_plain]  # the same answer whatever the size of the index

@@ -26,12 +26,11 @@ def duck():
 
 def test_every_twin_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {
-        "q22_kmeans_sizes", "q22_discover_intents", "q30_embed_index", "q30_handle_embedded",
-    }
+    own = {name for name in QUERIES if name.startswith("q")}  # others are tested with their operators
+    assert own - set(ORACLE) == {"q22_kmeans_sizes", "q22_discover_intents", "q30_handle_embedded"}
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", [name for name in QUERIES if name.startswith("q") or name in ORACLE])
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
     mine = rows(df.collect(), df.columns)
