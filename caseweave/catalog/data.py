@@ -276,13 +276,13 @@ def sql_retrieved(
     messages: str = "cases", allowed: str = "m.message_id <> i.message_id"
 ) -> str:
     """``found``: the best three cases of every message, by default other than itself."""
-    return f"""scored AS MATERIALIZED (
+    return f"""compared AS MATERIALIZED (
     SELECT m.message_id, i.message_id AS case_id,
            round(list_cosine_similarity(m.embedding, i.embedding), 9) AS similarity
     FROM {messages} m JOIN idx i ON {allowed}),
     nearest AS MATERIALIZED (
     SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY similarity DESC, case_id) AS rank
-    FROM scored QUALIFY rank <= 3),
+    FROM compared QUALIFY rank <= 3),
     found AS MATERIALIZED (
     SELECT n.*, i.customer_msg_clean AS past_customer_msg, i.brand_reply_clean AS past_brand_reply
     FROM nearest n JOIN idx i ON i.message_id = n.case_id)"""
