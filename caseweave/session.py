@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import pathlib
+import site
 import tempfile
 import uuid
+import zipfile
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +54,25 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this library importable in Python workers, for operators whose tasks import it.
+
+    Does nothing if it is installed or on PYTHONPATH, which workers inherit; else it is sent along
+    once per application.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), *site.getsitepackages()]
+    context = spark.sparkContext
+    if root in map(os.path.abspath, filter(None, known)) or getattr(context, "_caseweave_sent", False):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="caseweave-"), "caseweave.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(pathlib.Path(root, "caseweave").rglob("*.py")):
+            out.write(path, path.relative_to(root))
+    context.addPyFile(archive)
+    context._caseweave_sent = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
