@@ -11,13 +11,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caseweave.session import store_stage
+from caseweave.session import ship_package, store_stage
 
 #: Text bytes that a vectorised step handles at once; a longer single text is one step.
 STEP_BYTES = 2 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A given table. Tasks of these operators import this library, so it is sent to them first."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
