@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caseweave.llm import decontaminate, near_dedup, packing, pii, quality
 from caseweave.llm.common import read, stored
+from caseweave.session import ship_package
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,6 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
+    ship_package(spark)
     return near_dedup.keep_one(docs)
 
 
@@ -31,11 +33,13 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind."""
+    ship_package(spark)
     return pii.redact(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document, with its ids and its place in a sequence."""
+    ship_package(spark)
     return packing.pack(docs)
 
 
