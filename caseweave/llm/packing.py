@@ -50,16 +50,15 @@ def _cut(tokenizer: str, end_id: int, capacity: int, with_ids: bool):
                 begin = np.where(piece == 0, 0, head[row] + (piece - 1) * capacity)
                 length = np.where(piece == 0, head[row], capacity)
                 a = starts[row] + begin
-                raw = memoryview(ids.tobytes())
-                cuts = [raw[4 * i : 4 * j] for i, j in zip(a.tolist(), (a + length).tolist(), strict=True)]
+                cuts = [ids[i:j] for i, j in zip(a.tolist(), (a + length).tolist(), strict=True)]
                 yield pa.record_batch(
                     {
                         "doc_id": rows.column("doc_id").take(pa.array(row)),
                         "piece": piece.astype(np.int32),
                         "start": begin,
                         "length": length,
-                        "ids_crc32": np.array([zlib.crc32(x) for x in cuts], np.int64),
-                        "ids": pa.array([bytes(x) for x in cuts] if with_ids else [None] * len(cuts), pa.binary()),
+                        "ids_crc32": np.array([zlib.crc32(x.tobytes()) for x in cuts], np.int64),
+                        "ids": pa.array([x.astype(enc.dtype).tobytes() if with_ids else None for x in cuts], pa.binary()),
                     }
                 )
 
@@ -209,23 +208,32 @@ def pack(
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset.
 
-    ``ids`` are little-endian 32-bit, null without ``with_ids``; ``sequences`` joins them.
+    ``ids`` are little-endian, 16 bits wide if the vocabulary allows it and else 32; null without
+    ``with_ids``. They stay where they were written while places are found, and are joined last.
+    ``sequences`` puts them together. The checksum is that of 32-bit ids in any case.
     """
     spark = docs.sparkSession
     tokenizer = tokenizer or tokenizer_path("byte_bpe_50k.json")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, ids binary"
+    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
     pieces = stored(
-        docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-            _cut(tokenizer, end_id, capacity, with_ids), schema
-        ),
+        docs.select("doc_id", F.col("text").cast("string").alias("text"))
+        .mapInArrow(_cut(tokenizer, end_id, capacity, with_ids), f"{schema}, ids binary")
+        .withColumn("row", F.monotonically_increasing_id()),
         "pieces",
     )
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
-        return pieces.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    ranked = ordered_starts(pieces.withColumn("one", F.lit(1)), ["length"], ["doc_id", "piece"], {"rank": "one"})
-    return ranked.drop("one").mapInArrow(_seat(plan(counts, capacity)), schema + ", sequence_id long, offset long")
+        empty = F.lit(0).cast("long")
+        return pieces.drop("row").withColumns({"sequence_id": empty, "offset": empty})
+    light = pieces.drop("ids").withColumn("one", F.lit(1))
+    ranked = ordered_starts(light, ["length"], ["doc_id", "piece"], {"rank": "one"}).drop("one")
+    placed = ranked.mapInArrow(_seat(plan(counts, capacity)), f"{schema}, row long, sequence_id long, offset long")
+    if with_ids:
+        placed = placed.join(pieces.select("row", "ids"), "row")
+    else:
+        placed = placed.withColumn("ids", F.lit(None).cast("binary"))
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

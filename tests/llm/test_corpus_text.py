@@ -168,7 +168,7 @@ def test_packing_is_whole_and_gapless(spark):
     used = check_packing(rows, docs, 64)
     assert used <= -(-sum(r["length"] for r in rows) // 64) + 1
     whole_sequences = packing.sequences(packed).collect()
-    assert all(len(r["ids"]) == 4 * r["n_tokens"] for r in whole_sequences)
+    assert all(len(r["ids"]) == 2 * r["n_tokens"] for r in whole_sequences)
 
 
 def test_packing_of_nothing(spark):
