@@ -216,8 +216,9 @@ def _weighted_sets(texts_of: DataFrame, keyed: DataFrame, weights) -> DataFrame:
     needed = stored(texts_of.select("h").distinct(), "wanted")
     wanted = F.broadcast(needed) if needed.count() * 40 <= BROADCAST_BYTES else needed
     sets = keyed.join(wanted, "h", "left_semi").mapInArrow(_sets(weights), "h binary, grams binary, weights binary")
-    # a text that several tasks met has equal rows; one is enough
-    return stored(sets, "sets").dropDuplicates(["h"])
+    # a text that several tasks met has equal rows; one is enough. Stored, so that a join with a pivot that has
+    # very many partners reads a plain table, which can be split
+    return stored(sets.dropDuplicates(["h"]), "sets")
 
 
 def _verify(pairs: DataFrame, keyed: DataFrame, weights) -> DataFrame:
