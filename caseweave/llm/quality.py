@@ -31,11 +31,12 @@ MAX_ROWS = 20_000
 MIN_PRECISION = 0.9
 MAX_CONDITIONS = 4
 THRESHOLDS = 48
+STRAY = 0.02
 
 _SPACES = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks", "n_digits", "n_distinct")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks", "n_digits", "n_same")
 
 Condition = tuple[str, str, float]  # statistic, "<=" or ">", threshold
 
@@ -66,7 +67,7 @@ def count_text(text: str | None) -> tuple[int, ...]:
         len(raw) - len(raw.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")),
         text.count("!") + text.count("?"),
         len(raw) - len(raw.translate(None, b"0123456789")),
-        len(set(words)),
+        sum(a == b for a, b in zip(words, words[1:], strict=False)),
     )
 
 
@@ -98,7 +99,7 @@ def statistics() -> dict[str, Column]:
         "upper_share": share("n_upper", "word_chars"),
         "mark_share": share("n_marks", "word_chars"),
         "digit_share": share("n_digits", "word_chars"),
-        "distinct_share": share("n_distinct", "n_words"),
+        "same_share": share("n_same", "n_words"),  # words equal to the one before
     }
 
 
@@ -136,11 +137,28 @@ def _grow(x: dict[str, np.ndarray], y: np.ndarray) -> list[Condition]:
                     best, best_gain = (name, op, float(points[i])), float(gain[i])
         if best is None:
             break
-        rule.append(best)
-        inside &= _covers([best], x, len(y))
+        rule.append(_widest(best, x[best[0]][inside], y[inside]))
+        inside &= _covers(rule[-1:], x, len(y))
     return rule
 
 
+def _widest(condition: Condition, column: np.ndarray, y: np.ndarray) -> Condition:
+    """The threshold moved to the middle between the nearest accepted row and the bulk of the rejects.
+
+    A rule then doesn't rest on one stray value: all but ``STRAY`` of its rejects lie beyond the gap.
+    """
+    name, op, t = condition
+    if op == ">":
+        beyond, short = column[y & (column > t)], column[~y & (column <= t)]
+        if len(beyond) and len(short):
+            t = max(t, (float(short.max()) + float(np.quantile(beyond, STRAY))) / 2)
+    else:
+        beyond, short = column[y & (column <= t)], column[~y & (column > t)]
+        if len(beyond) and len(short):
+            t = min(t, (float(short.min()) + float(np.quantile(beyond, 1 - STRAY))) / 2)
+    return name, op, t
+
+
 def learn(x: dict[str, np.ndarray], y: np.ndarray, order: np.ndarray, min_precision: float = MIN_PRECISION) -> list[list[Condition]]:
     """An ordered list of rules that cover rejects (``y`` true). ``order`` parts the rows, like a hash."""
     rules: list[list[Condition]] = []
@@ -171,6 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, min_precis
     texts = docs.select("doc_id", "text").join(F.broadcast(drawn.select("doc_id").distinct()), "doc_id", "left_semi")
     rows = (
         text_counts(texts)
+        .where(~base_failed())  # what is rejected anyway teaches nothing
         .join(F.broadcast(drawn), "doc_id")
         .select("quality", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(1 << 20)).alias("fold"), *(c.alias(k) for k, c in statistics().items()))
         .orderBy("fold", "quality", *statistics())
