@@ -253,6 +253,20 @@ def test_no_documents(spark):
     assert pii.redact(private_table(spark).limit(0)).count() == 0
 
 
+def test_a_number_that_fails_the_checksum_is_no_card(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(400):
+        digits = "4" + "".join(map(str, rng.integers(0, 10, 14)))
+        good = next(d for d in "0123456789" if luhn(digits + d))
+        last = good if i % 2 else str((int(good) + 1) % 10)
+        rows.append((i, f"some words {digits}{last} and more, mail a{i}@b.com or a{i} at b dot com"))
+    found = pii.summary(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for r in found:
+        assert ("card:" in r["spans"]) == bool(r["doc_id"] % 2) == bool(r["n_card"])
+        assert r["spans"].count("email:") >= 1 and r["n_email"] == 1
+
+
 def test_em_finds_the_better_labelers():
     rng = np.random.default_rng(1)
     counts = {}
