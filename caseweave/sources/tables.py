@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from caseweave import fixed, schemas
 from caseweave.functions.text import as_boolean
 
+MAX_SPREAD_SPLITS = 64  # a few gigabytes at the usual size of a split
+
 _CSV = {"header": "true", "quote": '"', "escape": '"'}
 
 
@@ -68,10 +70,12 @@ def spread_few_splits(df: DataFrame, *key: str) -> DataFrame:
 
     Text work is bound by the processor, and a file with a single row group is a single task.
     Rows are then spread by hash of ``key``, the columns that identify a row.  A table with
-    enough splits is returned as it is, so nothing is shuffled at scale.
+    enough splits, or with more than :data:`MAX_SPREAD_SPLITS`, is returned as it is, so nothing is
+    shuffled at scale however many cores there are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores, *key) if splits < min(cores, MAX_SPREAD_SPLITS) else df
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
