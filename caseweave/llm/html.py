@@ -59,7 +59,6 @@ _HINTS = frozenset(
     " popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended"
     " comment comments disqus discussion reply replies respond pagination pager widget toolbar search form".split()
 )
-_ARTICLE_HINTS = frozenset("article content main body post entry story text".split())
 _PARAGRAPHS = frozenset("p pre td blockquote li dd h2 h3 h4 div section article".split())
 
 
