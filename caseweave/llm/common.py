@@ -40,11 +40,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return store_stage(df, name)
 
 
-def small(df: DataFrame, rows: int) -> bool:
-    """Whether a stored table has at most ``rows`` rows, read from its file footers."""
-    return df.count() <= rows
-
-
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 

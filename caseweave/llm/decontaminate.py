@@ -17,7 +17,6 @@ documents that repeat are judged one by one.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np

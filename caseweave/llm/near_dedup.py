@@ -21,7 +21,6 @@ rows that share a doc_id are told apart by their text; classes are named by thei
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np

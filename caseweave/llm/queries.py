@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from caseweave.llm import chat, decontaminate, html, near_dedup, packing, pii, quality, suffix_dedup, token_store, url_filter
 from caseweave.llm.common import read

@@ -23,7 +23,6 @@ key returns them all; an empty table makes a store without shards.
 
 from __future__ import annotations
 
-import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -35,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caseweave.llm.common import fresh, steps, texts
+from caseweave.llm.common import steps, texts
 from caseweave.llm.encoding import encoder, tokenizer_path
 from caseweave.llm.words import mix
 
