@@ -6,13 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from caseweave.session import store_stage
+
 MAX_HOT_KEYS = 512
 SKETCH_ITEMS = 100 * MAX_HOT_KEYS
 SKETCH_GROUPS = 256
 MAX_SALTS = 4096
 HOT_KEY_ROWS = 1_000_000
 
-_KEY, _SALT, _RANK = "_key", "_salt", "_rank"
+_KEY, _SALT, _SALTS, _RANK = "_key", "_salt", "_salts", "_rank"
 
 
 def hot_keys(df: DataFrame, key: Column, min_rows: int = HOT_KEY_ROWS) -> DataFrame:
@@ -65,22 +67,27 @@ def lookup_join(
     With ``first_by``, ``dims`` may hold several rows per key and the first in that order is
     used.  Copies are dropped before the shuffle, and the join reuses that shuffle.
     """
-    hot = hot_keys(facts, F.col(fact_key), hot_key_rows).scalar()  # <= MAX_HOT_KEYS entries
+    # at most MAX_HOT_KEYS rows, found once and broadcast to both sides
+    hot = store_stage(
+        hot_keys(facts, F.col(fact_key), hot_key_rows).select(F.explode("salts").alias(_KEY, _SALTS)),
+        "hot-keys",
+    )
     spread = F.xxhash64(F.col(spread_by))
+    n_salts = F.coalesce(F.col(_SALTS), F.lit(1))
 
-    def n_salts() -> Column:
-        return F.coalesce(F.try_element_at(hot, F.col(_KEY)), F.lit(1))
+    def with_salts(df: DataFrame, key: str) -> DataFrame:
+        return df.withColumn(_KEY, F.col(key)).join(F.broadcast(hot), _KEY, "left")
 
-    left = facts.withColumn(_KEY, F.col(fact_key)).withColumn(
+    left = with_salts(facts, fact_key).withColumn(
         _SALT,
         F.when(F.col(_KEY).isNull(), F.pmod(spread, F.lit(MAX_SALTS)))
-        .otherwise(F.pmod(spread, n_salts()))
+        .otherwise(F.pmod(spread, n_salts))
         .cast("int"),
-    )
+    ).drop(_SALTS)
     right = (
-        dims.withColumn(_KEY, F.col(dim_key))
-        .where(F.col(_KEY).isNotNull())
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), n_salts() - 1)))
+        with_salts(dims.where(F.col(dim_key).isNotNull()), dim_key)
+        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), n_salts - 1)))
+        .drop(_SALTS)
     )
     if first_by:
         first = W.partitionBy(_KEY, _SALT).orderBy(*first_by)
