@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caseweave.session import ship_package, store_stage
 
 #: Text bytes that a vectorised step handles at once; a longer single text is one step.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -40,6 +42,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return store_stage(df, name)
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a column ``name`` that identifies each row and stays the same when it is read again.
+
+    For a plain scan of Parquet files that is the file and the row's place in it; anything else is
+    written to the shared folder with a row number first.
+    """
+    if "_metadata" not in df.columns:
+        with contextlib.suppress(AnalysisException):
+            place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+            return df.select("*", place.alias(name))
+    return stored(df.withColumn(name, F.monotonically_increasing_id()), "rows")
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 

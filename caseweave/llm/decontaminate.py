@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseweave.llm.common import fresh, stored, union_all
+from caseweave.llm.common import stored, union_all
 from caseweave.llm.words import WORD_BYTES
 
 WINDOW = 10
@@ -164,31 +164,39 @@ def _join_spans(spans):
     return F.aggregate(ordered, empty, step)
 
 
-def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, key: str = "doc_id"
-) -> DataFrame:
-    """One row per document: key, n_words, spans (word ranges that are hit), items (ids, sorted)."""
+def _blocks(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int) -> list:
+    """The benchmark's words in blocks of bounded size: functions that broadcast one block each."""
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")), F.col("text").cast("string"))
     segments = stored(items.mapInArrow(_segments(window), "item string, words binary"), "patterns")
     total = segments.agg(F.sum(F.octet_length("words"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    kind = docs.schema[key].dataType.simpleString()
+    n = max(1, -(-total // block_bytes))
 
-    def block_rows(i: int):
-        rows = segments if blocks == 1 else segments.where(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == i)
+    def block(i: int):
+        rows = segments if n == 1 else segments.where(F.pmod(F.xxhash64("item", "words"), F.lit(n)) == i)
         return spark.sparkContext.broadcast([(r["item"], bytes(r["words"])) for r in rows.collect()])
 
+    return [lambda i=i: block(i) for i in range(n)]
+
+
+def find_contamination(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, key: str = "doc_id"
+) -> DataFrame:
+    """One row per document: key, n_words, spans (word ranges that are hit), items (ids, sorted)."""
+    blocks = _blocks(docs, benchmark, window, block_bytes)
+    kind = docs.schema[key].dataType.simpleString()
+
     texts = docs.select(F.col(key).alias("key"), F.col("text").cast("string").alias("text"))
-    if blocks == 1:
-        return texts.mapInArrow(_scan(block_rows(0), window), f"key {kind}, {_FOUND}").withColumnRenamed("key", key)
+    if len(blocks) == 1:
+        return texts.mapInArrow(_scan(blocks[0](), window), f"key {kind}, {_FOUND}").withColumnRenamed("key", key)
+    spark = docs.sparkSession
     numbered = stored(texts.withColumn("row", F.monotonically_increasing_id()), "documents")
     passes = [
         numbered.select("row", "text")
-        .mapInArrow(_scan(block_rows(i), window), f"key long, {_FOUND}")
+        .mapInArrow(_scan(block(), window), f"key long, {_FOUND}")
         .where(F.size("spans") > 0)
         .select(F.col("key").alias("row"), "spans", "items")
-        for i in range(blocks)
+        for block in blocks
     ]
     hits = (
         union_all(passes)
@@ -227,9 +235,30 @@ def judge(found: DataFrame) -> DataFrame:
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents in which no benchmark window occurs, with all their columns."""
-    (row,) = fresh(docs, "row_no")
-    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
-    found = find_contamination(numbered, benchmark, window, key=row)
-    return numbered.join(found.where(F.size("spans") > 0).select(row), row, "left_anti").select(*docs.columns)
+def _clean(rows, window: int, at: int):
+    """Passes on the rows whose text, column ``at``, holds no pattern."""
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = compile_patterns(rows.value, window)
+        for batch in batches:
+            keep = []
+            for value in batch.column(at):
+                text = words(value.as_py())
+                keep.append(not any(next(table.search(text), None) for table in tables))
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return clean
+
+
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The documents in which no benchmark window occurs, with all their columns; no join, one pass per block."""
+    at = docs.columns.index("text")
+    kept = docs
+    blocks = _blocks(docs, benchmark, window, block_bytes)
+    for i, block in enumerate(blocks):
+        kept = kept.mapInArrow(_clean(block(), window, at), docs.schema)
+        if i < len(blocks) - 1:  # the tables of one block are held at a time
+            kept = stored(kept, "kept")
+    return kept

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseweave.llm.common import fresh, ordered_starts, steps, stored, texts
+from caseweave.llm.common import fresh, numbered, ordered_starts, steps, stored, texts
 from caseweave.llm.words import mix, whole, windows, word_hashes
 
 SHINGLE = 5
@@ -399,15 +399,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "d
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents with one of each class: the one with the smallest doc_id; all their columns."""
-    row, place = fresh(docs, "row_no", "row_place")
+    (row,) = fresh(docs, "row_key")
+    rows = numbered(docs, row)
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(row))
-    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
-    # rows get a place in the order of ids, so that the smallest place of a class is its smallest id
-    classes = near_duplicates(numbered, threshold, key=row)
-    first = (
-        classes.join(numbered.select(row, "doc_id"), row)
-        .groupBy("class_id")
-        .agg(F.min(order)[row].alias(row))
-    )
-    dropped = classes.select(row).join(first, row, "left_anti")
-    return numbered.join(dropped, row, "left_anti").select(*docs.columns)
+    classes = near_duplicates(rows, threshold, key=row)
+    groups = stored(classes.where("class_size > 1").join(rows.select(row, "doc_id"), row), "groups")
+    first = groups.groupBy("class_id").agg(F.min(order)[row].alias(row))
+    dropped = stored(groups.select(row).join(first, row, "left_anti"), "dropped")
+    if dropped.count() * 300 <= BROADCAST_BYTES:
+        dropped = F.broadcast(dropped)
+    return rows.join(dropped, row, "left_anti").select(*docs.columns)

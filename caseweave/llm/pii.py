@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseweave.llm.common import fresh, stored
+from caseweave.llm.common import fresh
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_PROBABILITY = 0.9
@@ -208,9 +208,13 @@ def _classifier(rows: list[tuple[int, tuple[int, ...], tuple[int, ...], int]]) -
     return odds
 
 
-def _add_candidates(docs: DataFrame, spans: str, keep_text: bool = True) -> DataFrame:
-    """``docs`` with candidate spans, their votes and features, written once."""
-    holder = fresh(docs, "found")[0]
+def _add_candidates(docs: DataFrame, spans: str) -> DataFrame:
+    """``docs`` with candidate spans, their votes and features.
+
+    Read twice, once to learn and once to decide; finding candidates again costs less than keeping
+    a copy of the texts.
+    """
+    (holder,) = fresh(docs, "found")
     found = docs.withColumn(holder, candidates(F.col("text").cast("string")))
     voted = F.transform(
         holder,
@@ -219,8 +223,7 @@ def _add_candidates(docs: DataFrame, spans: str, keep_text: bool = True) -> Data
             _votes(s).alias("votes"), _features(s).alias("features"),
         ),
     )
-    dropped = [holder] if keep_text else [holder, "text"]
-    return stored(found.withColumn(spans, voted).drop(*dropped), "spans")
+    return found.withColumn(spans, voted).drop(holder)
 
 
 def train(found: DataFrame, spans: str) -> dict[str, float]:
@@ -256,9 +259,9 @@ def _accepted(spans: str, odds: dict[str, float]) -> Column:
     return F.array_sort(F.array_distinct(kept))
 
 
-def find_spans(docs: DataFrame, column: str = "pii_spans", keep_text: bool = True) -> DataFrame:
+def find_spans(docs: DataFrame, column: str = "pii_spans") -> DataFrame:
     """``docs`` with an array of spans (kind 0..3 as in ``KINDS``, first, last, strict), places in code points."""
-    found = _add_candidates(docs, column, keep_text)
+    found = _add_candidates(docs, column)
     return found.withColumn(column, _accepted(column, train(found, column)))
 
 
@@ -272,7 +275,7 @@ def listed(spans: Column) -> Column:
 
 def summary(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, counts of strict spans by kind, their digest, all spans."""
-    found = find_spans(docs.select("doc_id", "text"), "spans", keep_text=False)
+    found = find_spans(docs.select("doc_id", "text"), "spans")
     strict = F.filter("spans", lambda s: s["strict"])
 
     def count(kind: int) -> Column:

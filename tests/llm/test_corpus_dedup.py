@@ -12,6 +12,7 @@ import pytest
 import corpus_pipeline
 from caseweave.llm import decontaminate, near_dedup, suffix_dedup
 from caseweave.llm.common import read
+from caseweave.session import scratch_path
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -123,6 +124,12 @@ def test_one_of_each_class_stays(spark):
         own = [rows[i] for i in range(len(rows)) if classes[i] == c]
         expected.append(min(own, key=lambda r: (r[0] is None, r[0] or 0))[0])
     assert sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(map(str, expected))
+    # the same from files, where a row is known by its place
+    path = scratch_path(spark, "documents")
+    docs.write.parquet(path)
+    again = near_dedup.keep_one(spark.read.parquet(path))
+    assert again.columns == docs.columns
+    assert sorted(map(str, (r["doc_id"] for r in again.collect()))) == sorted(map(str, expected))
 
 
 def test_no_documents(spark):
@@ -323,6 +330,8 @@ def test_contaminated_documents_go(spark):
     assert clean.columns == frame.columns
     expected = [k for k, t in docs if not brute_hits([(k, t)], items, 10)[0][5]]
     assert sorted(map(str, (r["doc_id"] for r in clean.collect()))) == sorted(map(str, expected))
+    in_blocks = decontaminate.drop_contaminated(frame, bench, block_bytes=300)
+    assert sorted(map(str, (r["doc_id"] for r in in_blocks.collect()))) == sorted(map(str, expected))
     assert decontaminate.drop_contaminated(frame, bench.limit(0)).count() == len(docs)
     assert decontaminate.drop_contaminated(frame.limit(0), bench).count() == 0
 
