@@ -17,6 +17,8 @@ from caseweave.session import ship_package, store_stage
 
 #: Text bytes that a vectorised step handles at once; a longer single text is one step.
 STEP_BYTES = 1 << 20
+#: Rows of an Arrow batch in jobs that the operators run themselves.
+BATCH_ROWS = 500
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -37,9 +39,22 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of few rows while a job runs: a row may hold a long text or a large set."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back; later jobs start from the files."""
-    return store_stage(df, name)
+    with small_batches(df.sparkSession):
+        return store_stage(df, name)
 
 
 def numbered(df: DataFrame, name: str) -> DataFrame:

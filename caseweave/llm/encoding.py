@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Pieces that one cache generation holds; the last two generations are kept.
-CACHE_PIECES = 350_000
+CACHE_PIECES = 200_000
 
 _FOREIGN_SPACE = re.compile(
     rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from caseweave.llm.common import ordered_starts, steps, stored, texts
 from caseweave.llm.encoding import encoder, tokenizer_path
 
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 4 << 20
 CAPACITY = 2048
 
 Bin = tuple[int, ...]  # the lengths in a bin, descending

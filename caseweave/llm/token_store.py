@@ -34,13 +34,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caseweave.llm.common import steps, texts
+from caseweave.llm.common import small_batches, steps, texts
 from caseweave.llm.encoding import encoder, tokenizer_path
 from caseweave.llm.words import mix
 
 MAGIC = b"CWTOKEN1"
 BUCKET_KEYS = 4096
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 4 << 20
 
 
 def _file_system(uri: str):
@@ -174,10 +174,11 @@ def write_store(
     order = [F.col("k").asc_nulls_first(), F.col(by_text), F.col(tie)]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("k", "t")
     kind = docs.schema[key].dataType.simpleString()
-    ranged.mapInArrow(
-        _write_shard(path, tokenizer, end_id, "k", "t"),
-        f"key {kind}, shard int, file string, ordinal long, first long, n_ids long",
-    ).write.parquet(f"{path}/entries")
+    with small_batches(spark):
+        ranged.mapInArrow(
+            _write_shard(path, tokenizer, end_id, "k", "t"),
+            f"key {kind}, shard int, file string, ordinal long, first long, n_ids long",
+        ).write.parquet(f"{path}/entries")
     entries = spark.read.parquet(f"{path}/entries")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     (
