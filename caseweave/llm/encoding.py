@@ -18,7 +18,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Pieces that one cache generation holds; the last two generations are kept.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 350_000
+#: The same for the parts that pieces are made of, as far as the tokenizer's own pattern parts them.
+CACHE_PARTS = 20_000
 
 _FOREIGN_SPACE = re.compile(
     rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
@@ -50,16 +52,16 @@ def _byte_letters() -> dict[int, str]:
 class _Cache(dict):
     """Piece -> ids as bytes; a missing piece is looked up in the last generation, or encoded."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, size: int):
         super().__init__()
-        self.encode, self.old = encode, {}
+        self.encode, self.size, self.old = encode, size, {}
 
     def __missing__(self, piece: bytes) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
             ids = self.encode(piece)
         if len(piece) <= _LONG_PIECE:
-            if len(self) >= CACHE_PIECES:
+            if len(self) >= self.size:
                 self.old = dict(self)
                 self.clear()
             self[piece] = ids
@@ -83,7 +85,7 @@ class Encoder:
         self.parts = _PARTS.get(self.kind)
         letters = _byte_letters()
         self.letters = {b: "".join(letters[x] for x in chr(b).encode()) for b in range(256)}
-        self.cache, self.known = _Cache(self._piece), _Cache(self._part)
+        self.cache, self.known = _Cache(self._piece, CACHE_PIECES), _Cache(self._part, CACHE_PARTS)
 
     @staticmethod
     def _kind(spec: dict) -> str:
