@@ -2,8 +2,10 @@
 
 Lengths are whole numbers up to the capacity, so documents of one length are interchangeable. The plan
 is made for a histogram of lengths, never of more rows than the capacity: best fit decreasing, then
-exchanges one for one, two for one, or moves, between bins that are not full. Every exchange raises the
-sum of squared fills, so bins empty out or fill up and the search ends. A bin type stands for many equal
+exchanges between bins that are not full: the fuller one takes a length for nothing, for one or for two smaller
+ones, or two lengths for one. Every exchange raises the sum of squared fills, so the search ends, and it ends only
+when no two bins have an exchange left; possible sums are kept as bits, so that partners are found without trying
+all pairs. A bin type stands for many equal
 bins; the plan's size follows the capacity and not the number of documents. Documents then take their
 places by their rank among the documents of their length.
 
@@ -17,6 +19,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -104,71 +107,169 @@ def best_fit(lengths: dict[int, int], capacity: int) -> Counter[Bin]:
     return sum(open_bins.values(), Counter())
 
 
+def _smear(bits: int, room: int) -> int:
+    """The bits moved up by every step from 1 to ``room``."""
+    out, width = bits << 1, 1
+    while width < room:
+        more = min(width, room - width)
+        out |= out << more
+        width += more
+    return out
+
+
+class _Sums:
+    """A bin's lengths, and sums of two of them, as bits; what it could take as the fuller bin."""
+
+    __slots__ = ("singles", "pairs", "takes", "takes_for_one")
+
+    def __init__(self, bin_: Bin, capacity: int):
+        counts = Counter(bin_)
+        self.singles = sum(1 << x for x in counts)
+        self.pairs = 0
+        for x, n in counts.items():
+            self.pairs |= (self.singles if n > 1 else self.singles ^ (1 << x)) << x
+        room = capacity - sum(bin_)
+        self.takes = _smear(1 | self.singles | self.pairs, room)  # one length, for nothing, one or two
+        self.takes_for_one = _smear(self.singles, room)  # two lengths, for one
+
+    def takes_from(self, other: "_Sums") -> bool:
+        return bool(self.takes & other.singles or self.takes_for_one & other.pairs)
+
+
+def _parts(bin_: Bin, total: int) -> Bin:
+    """At most two lengths of the bin with this sum."""
+    if total == 0:
+        return ()
+    if total in bin_:
+        return (total,)
+    return next((x, total - x) for i, x in enumerate(bin_) if total - x in bin_[i + 1 :])
+
+
 def _exchange(a: Bin, b: Bin, capacity: int) -> tuple[Bin, Bin] | None:
-    """The exchange that fills ``a`` (the fuller bin) most from ``b``: a move, one for one or two for one."""
-    room = capacity - sum(a)
-    best, gain = None, 0
-    values_a, values_b = set(a), set(b)
-    pairs_a = {(x, y) for i, x in enumerate(a) for y in a[i + 1 :]}
-    pairs_b = {(x, y) for i, x in enumerate(b) for y in b[i + 1 :]}
-    for give, get in (
-        *(((), (y,)) for y in values_b),
-        *(((x,), (y,)) for x in values_a for y in values_b if x != y),
-        *((p, (y,)) for p in pairs_a for y in values_b),
-        *(((x,), p) for x in values_a for p in pairs_b),
-    ):
-        more = sum(get) - sum(give)
-        if gain < more <= room:
-            best, gain = (give, get), more
-            if more == room:
-                break
-    if best is None:
+    """The exchange that fills ``a`` (the fuller bin) most from ``b``: a move, one for one, two for one or one for two."""
+    own, other = _Sums(a, capacity), _Sums(b, capacity)
+    if not own.takes_from(other):
         return None
+    give = 1 | own.singles | own.pairs
+    for gain in range(capacity - sum(a), 0, -1):
+        if hit := (give << gain) & other.singles:
+            get = (hit.bit_length() - 1,)
+            out = _parts(a, get[0] - gain)
+            break
+        if hit := (own.singles << gain) & other.pairs:
+            total = hit.bit_length() - 1
+            get = next((x, total - x) for i, x in enumerate(b) if total - x in b[i + 1 :])
+            out = (total - gain,)
+            break
     left, right = list(a), list(b)
-    for x in best[0]:
+    for x in out:
         left.remove(x)
         right.append(x)
-    for y in best[1]:
+    for y in get:
         right.remove(y)
         left.append(y)
     return tuple(sorted(left, reverse=True)), tuple(sorted(right, reverse=True))
 
 
-def improve(bins: Counter[Bin], capacity: int, tries: int = 20_000) -> Counter[Bin]:
-    """Exchanges between bins that are not full, until none raises the squared fill.
+class _Underfull:
+    """The bin types that are not full, by fill; each fill has the bits of its types together.
 
-    ``tries`` bounds the pairs of bin types that are compared; the plan is whole after any of them.
+    A type that leaves does not clear its bits; they are made anew when a search meets bits without a type.
     """
-    done = Counter({b: n for b, n in bins.items() if sum(b) == capacity})
-    work = Counter({b: n for b, n in bins.items() if sum(b) < capacity})
-    stuck: set[tuple[Bin, Bin]] = set()
-    while tries > 0 and sum(work.values()) > 1:
-        order = sorted(work, key=lambda b: (sum(b), b))  # empty the emptiest into the fullest
-        found = None
-        for b in order:
-            for a in reversed(order):
-                if sum(a) < sum(b) or (a == b and work[a] < 2) or (a, b) in stuck:
-                    continue
-                tries -= 1
-                found = _exchange(a, b, capacity)
-                if found:
-                    break
-                stuck.add((a, b))
-                if tries <= 0:
-                    break
-            if found or tries <= 0:
-                break
-        if not found:
-            break
-        n = work[a] // 2 if a == b else min(work[a], work[b])
-        for old in (a, b):
-            work[old] -= n
-            if work[old] <= 0:
-                del work[old]
-        for new in found:
-            if new:
-                (done if sum(new) == capacity else work)[new] += n
-    return done + work
+
+    def __init__(self, capacity: int):
+        self.capacity = capacity
+        self.counts: Counter[Bin] = Counter()
+        self.fills: list[int] = []
+        self.types: dict[int, dict[Bin, _Sums]] = {}
+        self.bits: dict[int, list[int]] = {}
+
+    def add(self, bin_: Bin, n: int) -> None:
+        self.counts[bin_] += n
+        if self.counts[bin_] > n:
+            return
+        fill = sum(bin_)
+        if fill not in self.types:
+            insort(self.fills, fill)
+            self.types[fill], self.bits[fill] = {}, [0, 0, 0, 0]
+        sums = self.types[fill][bin_] = _Sums(bin_, self.capacity)
+        self._mark(fill, sums)
+
+    def remove(self, bin_: Bin, n: int) -> None:
+        self.counts[bin_] -= n
+        if self.counts[bin_] > 0:
+            return
+        fill = sum(bin_)
+        del self.counts[bin_], self.types[fill][bin_]
+        if not self.types[fill]:
+            del self.types[fill], self.bits[fill], self.fills[bisect_left(self.fills, fill)]
+
+    def _mark(self, fill: int, sums: _Sums) -> None:
+        self.bits[fill] = [
+            x | y for x, y in zip(self.bits[fill], (sums.singles, sums.pairs, sums.takes, sums.takes_for_one), strict=True)
+        ]
+
+    def _first(self, fill: int, bin_: Bin, fits) -> Bin | None:
+        for other, sums in self.types[fill].items():
+            if fits(sums) and (other != bin_ or self.counts[bin_] > 1):
+                return other
+        self.bits[fill] = [0, 0, 0, 0]
+        for sums in self.types[fill].values():
+            self._mark(fill, sums)
+        return None
+
+    def partners(self, bin_: Bin) -> tuple[Bin, Bin] | None:
+        """(fuller, emptier) with an exchange, one of them this bin: the fullest that takes, or the emptiest that gives."""
+        fill = sum(bin_)
+        own = self.types[fill][bin_]
+        at = bisect_left(self.fills, fill)
+        for other in reversed(self.fills[at:]):
+            _, _, takes, takes_for_one = self.bits[other]
+            if takes & own.singles or takes_for_one & own.pairs:
+                if found := self._first(other, bin_, lambda sums: sums.takes_from(own)):
+                    return found, bin_
+        for other in self.fills[: at + 1]:
+            singles, pairs, _, _ = self.bits[other]
+            if own.takes & singles or own.takes_for_one & pairs:
+                if found := self._first(other, bin_, own.takes_from):
+                    return bin_, found
+        return None
+
+
+def improve(bins: Counter[Bin], capacity: int) -> Counter[Bin]:
+    """Exchanges between bins that are not full, until no pair of them has one.
+
+    A bin type is compared when it is new, or when a second bin of it comes; the emptiest goes first.
+    """
+    done: Counter[Bin] = Counter()
+    work = _Underfull(capacity)
+    waiting: list[tuple[int, Bin]] = []
+
+    def put(bin_: Bin, n: int) -> None:
+        if sum(bin_) == capacity:
+            done[bin_] += n
+        elif bin_:
+            if work.counts[bin_] < 2:
+                heappush(waiting, (sum(bin_), bin_))
+            work.add(bin_, n)
+
+    for bin_, n in bins.items():
+        put(bin_, n)
+    while waiting:
+        bin_ = waiting[0][1]
+        found = work.partners(bin_) if bin_ in work.counts else None
+        if found is None:  # gone, or without an exchange with any other type
+            heappop(waiting)
+            continue
+        a, b = found
+        n = work.counts[a] // 2 if a == b else min(work.counts[a], work.counts[b])
+        new = _exchange(a, b, capacity)
+        work.remove(a, 2 * n if a == b else n)
+        if a != b:
+            work.remove(b, n)
+        for x in new:
+            put(x, n)
+    return done + work.counts
 
 
 def plan(lengths: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:

@@ -216,3 +216,28 @@ def test_random_packing_is_close_to_the_bound():
     places = packing.plan(lengths, 2048)
     bins = len({s + i for _, a, b, s, _ in places for i in range(b - a)})
     assert bins <= 1.01 * sum(k * v for k, v in lengths.items()) / 2048 + 1
+
+
+def exchanges(a, b, capacity):
+    """Whether a bin could take a length, or two, from one that isn't fuller, for nothing, one or two."""
+    two = lambda x: {x[i] + x[j] for i in range(len(x)) for j in range(i)}
+    room = capacity - sum(a)
+    single = any(0 < y - x <= room for x in {0, *a, *two(a)} for y in b)
+    return single or any(0 < y - x <= room for x in a for y in two(b))
+
+
+def test_no_exchange_is_left():
+    rng = random.Random(5)
+    lengths = {}
+    for _ in range(2000):
+        n = rng.randint(500, 900)
+        lengths[n] = lengths.get(n, 0) + 1
+    before = packing.best_fit(lengths, 2048)
+    after = packing.improve(before, 2048)
+    count = lambda bins: {x: sum(n * b.count(x) for b, n in bins.items()) for x in lengths}
+    assert count(after) == lengths
+    left = [b for b in after if sum(b) < 2048]
+    assert not [
+        (a, b) for a in left for b in left if sum(a) >= sum(b) and (a != b or after[a] > 1) and exchanges(a, b, 2048)
+    ]
+    assert sum(after.values()) < 0.97 * sum(before.values())
