@@ -36,7 +36,6 @@ THRESHOLD = 0.8
 BANDS, ROWS = 12, 3
 DF_BUCKETS = 1 << 18
 SMOOTHING = 0.5
-_MAX_COUNT = 256  # counts above it weigh the same
 _DRAWS = 1 << 16
 #: Texts of a block that one task compares with another block.
 BLOCK = 256
@@ -94,13 +93,12 @@ class Weights:
         # rounded, so that machines whose logarithms differ in the last bit agree
         self.idf = np.round(idf, 6)
         self.log_idf = np.round(np.log(self.idf), 6)
-        self.log_count = np.round(np.log(np.arange(1, _MAX_COUNT + 1)), 6)
 
     def log(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return self.log_idf[_bucket(grams)] + self.log_count[np.minimum(counts, _MAX_COUNT) - 1]
+        return self.log_idf[_bucket(grams)] + np.round(np.log(counts), 6)
 
     def plain(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return self.idf[_bucket(grams)] * np.minimum(counts, _MAX_COUNT)
+        return self.idf[_bucket(grams)] * counts
 
 
 class Sampler:

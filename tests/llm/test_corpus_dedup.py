@@ -112,6 +112,21 @@ def test_near_duplicate_classes(spark):
     assert sorted((str(r["doc_id"]), str(r["class_id"])) for r in found) == expected
 
 
+def test_lines_repeated_very_often_count_in_full(spark):
+    rng = random.Random(12)
+    line, shared = "total of all the rest ", prose(rng, 6000)
+    rows = [
+        (1, line * 2000 + prose(rng, 600)),  # alike for the line alone
+        (2, line * 2000 + prose(rng, 600)),
+        (3, shared + " " + line * 260),  # alike but for the line
+        (4, shared + " " + line * 1000),
+        (5, prose(rng, 300)),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(docs).collect()}
+    assert found == dict(zip(range(1, 6), brute_classes(rows), strict=True)) == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+
+
 def test_one_of_each_class_stays(spark):
     rows = near_rows()
     docs = spark.createDataFrame([(k, t, "x", 1) for k, t in rows], "doc_id long, text string, row_no string, h int")
