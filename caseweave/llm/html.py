@@ -31,7 +31,7 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)
 _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg math select object audio video canvas".split())
+_RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg annotation annotation-xml select object audio video canvas".split())
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td"
@@ -59,17 +59,24 @@ _HINTS = frozenset(
     " popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended"
     " comment comments disqus discussion reply replies respond pagination pager widget toolbar search form".split()
 )
+#: Hints that name sections of articles as well; these are kept if they read like prose.
+_WEAK = frozenset("discussion related form search share sharing social promotion login signup banner header footer".split())
+#: With these at the start or the end, a name tells of another element: with-sidebar, comments-open.
+_STATES = (frozenset("with has no without".split()), frozenset("open closed enabled disabled".split()))
+#: Elements whose class or id is no hint.
+_UNHINTED = frozenset("body html main p span h1 h2 h3 h4 h5 h6".split())
 _PARAGRAPHS = frozenset("p pre td blockquote li dd h2 h3 h4 div section article".split())
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "article", "chars", "link_chars", "points")
+    __slots__ = ("tag", "parent", "children", "dropped", "article", "chars", "link_chars", "points", "hints")
 
     def __init__(self, tag: str, parent: "_Node | None", dropped: bool, article: bool):
         self.tag, self.parent, self.dropped, self.article = tag, parent, dropped, article
         self.children: list = []
         self.chars = self.link_chars = 0
         self.points = 0.0
+        self.hints: frozenset[str] = frozenset()
 
 
 def _unwanted(tag: str, attributes: str) -> bool:
@@ -79,11 +86,7 @@ def _unwanted(tag: str, attributes: str) -> bool:
         return False
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
-        if name in ("class", "id"):
-            words = [w.lower() for w in _NAMES.findall(value)]
-            if _HINTS.intersection(words) and not (tag in ("body", "html", "main") or {"article"}.intersection(words)):
-                return True
-        elif name == "role" and value.lower() in _ROLES:
+        if name == "role" and value.lower() in _ROLES:
             return True
         elif name == "aria-hidden" and value.lower() == "true":
             return True
@@ -92,6 +95,42 @@ def _unwanted(tag: str, attributes: str) -> bool:
     return bool(re.search(r"(?:^|\s)hidden(?:\s|/?>|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", attributes)))
 
 
+def _hints(tag: str, attributes: str) -> frozenset[str]:
+    """The hint words in class and id."""
+    found: set[str] = set()
+    if tag in _UNHINTED or "=" not in attributes:
+        return frozenset()
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            names = [[w.lower() for w in _NAMES.findall(x)] for x in (a or b or c).split()]
+            if any("article" in words for words in names):
+                continue
+            for words in names:
+                if words and words[0] not in _STATES[0] and words[-1] not in _STATES[1]:
+                    found |= _HINTS.intersection(words)
+    return frozenset(found)
+
+
+def _drop_hinted(root: _Node) -> None:
+    """Drops hinted elements, unless they hold the page's article or, with weak hints only, read like prose."""
+    order = _score(root)
+    articles: set[int] = set()
+    for node in reversed(order):
+        if node.parent is not None and (node.article or id(node) in articles):
+            articles.add(id(node.parent))
+    page = max(1, root.chars - root.link_chars)
+    for node in order:
+        if node.parent is not None and node.parent.dropped:
+            node.dropped = True
+        elif node.hints and not node.dropped:
+            prose, density = node.chars - node.link_chars, node.link_chars / node.chars if node.chars else 1.0
+            whole = id(node) in articles or node.article or prose >= 0.9 * page
+            node.dropped = not (whole or node.hints <= _WEAK and prose >= 100 and density < 0.25)
+    for node in order:
+        node.chars = node.link_chars = 0
+        node.points = 0.0
+
+
 def parse(page: str) -> _Node:
     """The element tree; text is kept as strings among the children."""
     root = node = _Node("#root", None, False, False)
@@ -139,6 +178,8 @@ def parse(page: str) -> _Node:
         if tag in ("html", "body"):
             continue
         child = _Node(tag, node, node.dropped or _unwanted(tag, m[3]), tag in ("article", "main") or "main" in m[3] and bool(re.search(r"role\s*=\s*[\"']?main", m[3])))
+        if not child.dropped:
+            child.hints = _hints(tag, m[3])
         node.children.append(child)
         if tag not in _VOID and not (m[3].endswith("/>") and tag not in _BLOCK):
             node = child
@@ -228,10 +269,15 @@ def _blocks(nodes: list[_Node]) -> list[str]:
 
 
 def extract(page: str | None) -> str:
-    """The main text of one page."""
+    """The main text of one page; without regard to hints if they leave nothing."""
     if not page:
         return ""
     root = parse(page)
+    _drop_hinted(root)
+    return _main_text(root) or _main_text(parse(page))
+
+
+def _main_text(root: _Node) -> str:
     order = _score(root)
     scored = [n for n in order if n.points > 0 and not n.dropped]
     if not scored:

@@ -96,6 +96,29 @@ def test_main_text(page):
     assert html.extract(page) == PAGES[page]
 
 
+PROSE = "The results differ from those of earlier work, as the sample was larger, and all the items were read by two people."
+
+
+@pytest.mark.parametrize("name", ["content with-sidebar", "has-header", "comments-open", "search"])
+def test_hints_on_the_element_around_the_text(name):
+    page = f'<body><div class="ad">Buy now</div><div class="{name}"><p>{PROSE}</p><p>{PROSE}</p></div></body>'
+    assert html.extract(page) == f"{PROSE}\n{PROSE}"
+
+
+def test_parts_of_an_article_with_hints_in_their_names():
+    parts = [
+        f"<p>{PROSE}</p>", f'<section id="discussion"><h2>Discussion</h2><p>{PROSE}</p></section>',
+        '<h2 id="form-and-content">Form</h2>', f'<section id="related-work"><p>{PROSE}</p></section>',
+        f'<p id="search-methods">{PROSE}</p>', "<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>",
+    ]
+    left_out = [
+        f'<div id="comments"><p>{PROSE}</p></div>', f'<div class="ad">{PROSE}</div>',
+        f'<div class="related"><a href="/">{PROSE}</a></div>', '<div class="share">Share this</div>',
+    ]
+    page = f"<body><article>{''.join(parts)}{''.join(left_out)}</article></body>"
+    assert html.extract(page) == "\n".join([PROSE, "Discussion", PROSE, "Form", PROSE, PROSE, "So x=2 holds."])
+
+
 def test_deep_and_long_pages_end():
     assert html.extract("<div>" * 20000 + "x" + "</div>" * 20000) == "x"
     assert html.extract("<p>" + "word, " * 200000).count("word") == 200000
