@@ -3,7 +3,8 @@
 Texts are cut where the tokenizer itself always cuts, at white space, and each distinct piece is
 encoded once per worker: a bounded cache holds its ids. A text with white space that the cut can't
 reproduce is encoded whole, so the ids are those of the tokenizer on the whole text in every case.
-Strings like ``<|endoftext|>`` in a text are ordinary text.
+Strings like ``<|endoftext|>`` in a text give the ids that the tokenizer's plain call gives, those of the
+added tokens; with ``special_as_text`` they are ordinary text. A text that may hold one is encoded whole.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -71,14 +73,15 @@ class _Cache(dict):
 class Encoder:
     """``encode(utf8) -> numpy array of ids`` with the given tokenizer file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        self.added = self._added(spec)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.model, self.code = self.tokenizer.model, {2: "H", 4: "I"}[self.dtype.itemsize]
         self.kind = self._kind(spec)
@@ -92,6 +95,7 @@ class Encoder:
         """Where pieces may be cut: before single spaces, at all white space, or nowhere."""
         pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer") or {}
         plain = spec["model"].get("type") == "BPE" and not spec["model"].get("dropout")
+        plain = plain and all(t["content"].isascii() for t in spec.get("added_tokens") or [])
         if plain and not norm and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
             return "spaces"
         inner = [x["type"] for x in pre.get("pretokenizers", [])]
@@ -102,6 +106,22 @@ class Encoder:
                 return "words"
         return "whole"
 
+    @staticmethod
+    def _added(spec: dict) -> list[bytes]:
+        """What to look for in texts that may hold an added token, lower-cased: a normaliser may lower them."""
+        names = [t["content"].encode().lower() for t in spec.get("added_tokens") or []]
+        # the Kelvin sign is the one letter outside ASCII that becomes a single letter inside
+        return names + ["\u212a".encode()] * any(b"k" in n for n in names)
+
+    def _special(self, low: np.ndarray) -> Iterator[int]:
+        """Places of added tokens in lower-cased bytes."""
+        held = low.tobytes()
+        for name in self.added:
+            at = held.find(name)
+            while at >= 0:
+                yield at
+                at = held.find(name, at + 1)
+
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
@@ -134,6 +154,8 @@ class Encoder:
         foreign = set()
         if self.kind != "whole":
             found = [m.start() for m in _FOREIGN_SPACE.finditer(data)]
+            if not self.tokenizer.encode_special_tokens:
+                found += self._special(_LOWER[data])
             foreign = set((np.searchsorted(offsets, found, "right") - 1).tolist())
             for row in foreign:
                 cut[offsets[row] : offsets[row + 1]] = False
@@ -174,9 +196,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    """One encoder per worker and file, kept between tasks."""
-    return Encoder(path)
+def encoder(path: str, special_as_text: bool = False) -> Encoder:
+    """One encoder per worker, file and reading of special strings, kept between tasks."""
+    return Encoder(path, special_as_text)
 
 
 def tokenizer_path(name: str) -> str:

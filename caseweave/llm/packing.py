@@ -35,11 +35,11 @@ CAPACITY = 2048
 Bin = tuple[int, ...]  # the lengths in a bin, descending
 
 
-def _cut(tokenizer: str, end_id: int, capacity: int, with_ids: bool):
+def _cut(tokenizer: str, end_id: int, capacity: int, with_ids: bool, special_as_text: bool):
     """Encodes documents and cuts the long ones; the first piece takes the remainder."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, special_as_text)
         for batch in batches:
             for rows in steps(batch, "text", ENCODE_BYTES):
                 ids, starts = enc.encode_rows(*texts(rows.column("text")))
@@ -305,13 +305,19 @@ def _seat(places: list[tuple[int, int, int, int, int]]):
 
 
 def pack(
-    docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, capacity: int = CAPACITY, with_ids: bool = True
+    docs: DataFrame,
+    tokenizer: str | None = None,
+    end_id: int = 0,
+    capacity: int = CAPACITY,
+    with_ids: bool = True,
+    special_as_text: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset.
 
     ``ids`` are little-endian, 16 bits wide if the vocabulary allows it and else 32; null without
     ``with_ids``. They stay where they were written while places are found, and are joined last.
-    ``sequences`` puts them together. The checksum is that of 32-bit ids in any case.
+    ``sequences`` puts them together. The checksum is that of 32-bit ids in any case. With ``special_as_text``
+    the tokenizer's special strings in a text are ordinary text.
     """
     spark = docs.sparkSession
     tokenizer = tokenizer or tokenizer_path("byte_bpe_50k.json")
@@ -319,7 +325,7 @@ def pack(
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
     pieces = stored(
         docs.select("doc_id", F.col("text").cast("string").alias("text"))
-        .mapInArrow(_cut(tokenizer, end_id, capacity, with_ids), f"{schema}, ids binary")
+        .mapInArrow(_cut(tokenizer, end_id, capacity, with_ids, special_as_text), f"{schema}, ids binary")
         .withColumn("row", F.monotonically_increasing_id()),
         "pieces",
     )

@@ -91,12 +91,12 @@ def find_slots(h1: np.ndarray, h2: np.ndarray, sizes: np.ndarray, bits: np.ndarr
     return slots
 
 
-def _write_shard(path: str, tokenizer: str, end_id: int, key: str, text: str):
+def _write_shard(path: str, tokenizer: str, end_id: int, key: str, text: str, special_as_text: bool):
     """Encodes a partition into one shard file and reports its documents."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, out = TaskContext.get().partitionId(), None
-        enc, firsts, total = encoder(tokenizer), [], 0
+        enc, firsts, total = encoder(tokenizer, special_as_text), [], 0
         fs, folder = _file_system(path)
         name = f"{shard:06d}-{uuid.uuid4().hex}.ids"
         for batch in batches:
@@ -163,9 +163,18 @@ _BUCKET = (
 
 
 def write_store(
-    docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 1, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    path: str,
+    tokenizer: str | None = None,
+    end_id: int = 1,
+    key: str = "doc_id",
+    text: str = "text",
+    special_as_text: bool = False,
 ) -> None:
-    """Encode ``docs`` and write a store at ``path``, which must not exist yet."""
+    """Encode ``docs`` and write a store at ``path``, which must not exist yet.
+
+    With ``special_as_text`` the tokenizer's special strings in a text are ordinary text.
+    """
     spark = docs.sparkSession
     tokenizer = tokenizer or tokenizer_path("word_bpe_49k.json")
     tie, by_text = "tie", "by_text"
@@ -176,7 +185,7 @@ def write_store(
     kind = docs.schema[key].dataType.simpleString()
     with small_batches(spark):
         ranged.mapInArrow(
-            _write_shard(path, tokenizer, end_id, "k", "t"),
+            _write_shard(path, tokenizer, end_id, "k", "t", special_as_text),
             f"key {kind}, shard int, file string, ordinal long, first long, n_ids long",
         ).write.parquet(f"{path}/entries")
     entries = spark.read.parquet(f"{path}/entries")

@@ -10,9 +10,10 @@ import pytest
 from test_corpus_dedup import brute_classes, brute_covered
 from test_corpus_rules import brute_counts, brute_spans, brute_url, sha
 from test_corpus_text import check_packing
+from tokenizers import Tokenizer
 
 from caseweave.llm.common import read
-from caseweave.llm.encoding import Encoder, tokenizer_path
+from caseweave.llm.encoding import tokenizer_path
 from caseweave.llm.queries import ORACLE, QUERIES, URL_RULES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -35,10 +36,10 @@ def test_ten_operators_are_registered():
 
 
 def test_token_store(spark, documents):
-    enc = Encoder(tokenizer_path("word_bpe_49k.json"))
+    plain = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
     expected, start = [], 0
     for key, text in sorted(documents):
-        ids = [*enc.tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        ids = [*plain.encode(text or "", add_special_tokens=False).ids, 1]
         expected.append((key, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert sorted(map(tuple, QUERIES["op1_token_store"](spark, SF_DIR).collect())) == expected

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from caseweave.llm import packing, token_store
 from caseweave.llm.common import ordered_starts, steps, stored, texts
@@ -17,7 +18,8 @@ from caseweave.llm.words import whole, windows, word_hashes
 from caseweave.session import scratch_path
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-ODD = ["a b\u00a0 c", "x\u2003\n y", "a  b", " \t \t b", "İΣß é e\u0301", "<|endoftext|> a", "", None, " ", "\x1c\x1d a", "9" * 500, "don't I'LL"]
+SPECIAL = ["a <|endoftext|> b", "<|EndOfText|>", "x<|startoftext|><|endoftext|>y z", "<|endof", "text|> <|endoftext|>"]
+ODD = [*SPECIAL, "a b\u00a0 c", "x\u2003\n y", "a  b", " \t \t b", "İΣß é e\u0301", "<|endoftext|> a", "", None, " ", "\x1c\x1d a", "9" * 500, "don't I'LL"]
 
 
 def lower(text):
@@ -59,17 +61,25 @@ def test_windows_do_not_cross_texts():
     assert np.flatnonzero(keep).tolist() == [0, 5] and runs[0] == runs[5]
 
 
+def fresh_tokenizer(name):
+    return Tokenizer.from_file(tokenizer_path(name))
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
-def test_encoder_equals_the_tokenizer(name):
-    enc = Encoder(tokenizer_path(name))
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_encoder_equals_the_tokenizer(name, special_as_text):
+    enc, plain = Encoder(tokenizer_path(name), special_as_text), fresh_tokenizer(name)
+    if special_as_text:
+        plain.encode_special_tokens = True
+    parts = [*"aB1 \n\t.,é'ßÉ\u00a0\u0301\u2003\x1c漢🙂s", "<|endoftext|>", "<|startoftext|>", "<|", "|>"]
 
     @settings(max_examples=150, deadline=None)
-    @given(st.lists(st.text(alphabet=st.sampled_from(list("aB1 \n\t.,é'ßÉ\u00a0\u0301\u2003\x1c漢🙂s")), max_size=25), max_size=6))
+    @given(st.lists(st.lists(st.sampled_from(parts), max_size=25).map("".join), max_size=6))
     def same(values):
         values = [*values, *ODD]
         ids, starts = enc.encode_rows(*as_rows(values))
         for i, value in enumerate(values):
-            expected = enc.tokenizer.encode(value or "", add_special_tokens=False).ids
+            expected = plain.encode(value or "", add_special_tokens=False).ids
             assert ids[starts[i] : starts[i + 1]].tolist() == expected, value
 
     same()
@@ -79,8 +89,8 @@ DOCS = [(5, "hello big world"), (2, None), (2, "b b"), (2, "b b"), (None, "null
 
 
 def expected_store(rows):
-    enc = Encoder(tokenizer_path("word_bpe_49k.json"))
-    coded = [(k, [*enc.tokenizer.encode(t or "", add_special_tokens=False).ids, 1]) for k, t in rows]
+    plain = fresh_tokenizer("word_bpe_49k.json")
+    coded = [(k, [*plain.encode(t or "", add_special_tokens=False).ids, 1]) for k, t in rows]
     out = []
     for k in sorted({k for k, _ in coded}, key=lambda k: (k is not None, k)):
         out.append((k, sorted(zlib.crc32(np.array(ids, "<u4").tobytes()) for kk, ids in coded if kk == k)))
@@ -137,8 +147,8 @@ def test_ordered_starts_splits_a_hot_group(spark):
 
 
 def check_packing(rows, docs, capacity):
-    enc = Encoder(tokenizer_path("byte_bpe_50k.json"))
-    coded = sorted((str(k), tuple([*enc.tokenizer.encode(t or "", add_special_tokens=False).ids, 0])) for k, t in docs)
+    plain = fresh_tokenizer("byte_bpe_50k.json")
+    coded = sorted((str(k), tuple([*plain.encode(t or "", add_special_tokens=False).ids, 0])) for k, t in docs)
     pieces = {}
     for r in rows:
         pieces.setdefault(r["sequence_id"], []).append(r)
