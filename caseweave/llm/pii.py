@@ -11,7 +11,8 @@ if the classifier gives it at least ``MIN_PROBABILITY``.
 What leaves the executors is a table of counts with a fixed number of possible rows.
 
 Defined cases: a null text is empty and has no spans; numbers in very long runs of digits are one candidate, as the
-patterns say; repeated rows are judged one by one; with no candidates at all nothing is learned and none is added.
+patterns say; repeated rows are judged one by one; with no candidates at all nothing is learned and none is added;
+the time for a text grows as its length and, but for a logarithm, as its matches.
 """
 
 from __future__ import annotations
@@ -53,33 +54,47 @@ _CONTEXT = (
 )
 _AGAINST = r"(?i)\b(?:version|release|build|section|order|invoice|token|isbn|serial|id|hash|no)\b[\x20:.#=\"]*$"
 _BEFORE = 40
+#: Code points of the chunks that a text is taken apart into when spans in it are replaced.
+CHUNK = 1024
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(numbers: Column, join) -> Column:
+    """Running sums or maxima of an array, by doubling: a round per power of two below its size, each linear."""
+    rounds = F.ceil(F.log2(F.greatest(F.size(numbers), F.lit(1)))).cast("int")
+    powers = F.transform(F.array_repeat(F.lit(1), rounds), lambda one, k: F.call_function("shiftleft", one, k))
+    step = lambda done, far: F.transform(done, lambda x, i: join(x, F.get(done, i - far)))
+    return F.aggregate(powers, numbers, step)
 
 
 def _found(text: Column, pattern: str, kind: int, strict: bool, valid) -> Column:
     """The valid matches of a pattern as spans, with the text just before each."""
-    pieces = F.split(text, pattern, -1)
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    empty = F.expr("cast(array() as array<struct<kind: int, first: int, last: int, strict: boolean, value: string, before: string>>)")
+    zipped = F.arrays_zip(
+        F.split(text, pattern, -1).alias("piece"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value")
+    )
+
+    def spans(pieces):
+        sizes = F.transform(pieces, lambda x: F.length(x["piece"]) + F.coalesce(F.length(x["value"]), F.lit(0)))
+        return _let(_running(sizes, lambda a, b: a + F.coalesce(b, F.lit(0))), lambda ends: F.transform(pieces, span(ends)))
 
-    def step(acc, x):
-        first = acc["at"] + F.length(x["piece"])
-        last = first + F.length(x["value"])
-        span = F.struct(
+    def span(ends):
+        return lambda x, i: F.struct(
             F.lit(kind).alias("kind"),
-            first.alias("first"),
-            last.alias("last"),
+            (F.get(ends, i) - F.length(x["value"])).alias("first"),
+            F.get(ends, i).alias("last"),
             (valid(x["value"]) if strict is None else F.lit(strict)).alias("strict"),
             x["value"].alias("value"),
             F.right(x["piece"], F.lit(_BEFORE)).alias("before"),
         )
-        keep = x["value"].isNotNull() & (_plausible(x["value"]) if strict is None else valid(x["value"]))
-        return F.struct(
-            F.coalesce(last, first).alias("at"),
-            F.when(keep, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"),
-        )
 
-    zipped = F.arrays_zip(pieces.alias("piece"), values.alias("value"))
-    return F.aggregate(zipped, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
+    def keep(x):
+        return x["value"].isNotNull() & (_plausible(x["value"]) if strict is None else valid(x["value"]))
+
+    return F.filter(_let(zipped, spans), keep)
 
 
 def _digits(value: Column) -> Column:
@@ -256,7 +271,9 @@ def _accepted(spans: str, odds: dict[str, float]) -> Column:
         F.filter(spans, wanted),
         lambda s: F.struct(s["kind"].alias("kind"), s["first"].alias("first"), s["last"].alias("last"), s["strict"].alias("strict")),
     )
-    return F.array_sort(F.array_distinct(kept))
+    # neighbours are compared: array_distinct compares structs all with all
+    new = lambda ordered: F.filter(ordered, lambda x, i: (i == 0) | (x != F.get(ordered, i - 1)))
+    return _let(F.sort_array(kept), new)
 
 
 def find_spans(docs: DataFrame, column: str = "pii_spans") -> DataFrame:
@@ -294,18 +311,28 @@ def redact(docs: DataFrame) -> DataFrame:
     found = find_spans(docs, spans)
     text = F.col("text").cast("string")
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last"), s["kind"].alias("kind"))))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-
-    def step(acc, s):
-        added = F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, s["first"] - acc["at"]), names[s["kind"]]))
-        return F.struct(
-            F.greatest(acc["at"], s["last"]).alias("at"),
-            F.when(s["first"] >= acc["at"], added).otherwise(acc["out"]).alias("out"),
-        )
+    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last"), s["kind"].alias("kind"))))
+
+    def part(chunks, begin, end):
+        """The text from ``begin`` to ``end``; only the chunks that hold it are touched."""
+        first = F.floor(begin / CHUNK).cast("int")
+        n = F.greatest(F.ceil(end / CHUNK).cast("int") - first, F.lit(0))
+        return F.substring(F.array_join(F.slice(chunks, first + 1, n), ""), begin - first * CHUNK + 1, end - begin)
+
+    def without(chunks, ordered, done):
+        """``done``: for each span the furthest end of it and all before it."""
+
+        def piece(s, i):
+            at = F.coalesce(F.get(done, i - 1), F.lit(0))
+            return F.when(s["first"] >= at, F.concat(part(chunks, at, s["first"]), names[s["kind"]]))
+
+        rest = part(chunks, F.element_at(done, -1), F.length(text))
+        return F.concat(F.array_join(F.transform(ordered, piece), ""), rest)
 
-    rebuilt = F.aggregate(
-        ordered, start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
+    ends = lambda spans: _running(F.transform(spans, lambda s: s["last"]), lambda a, b: F.greatest(a, b))
+    rebuilt = _let(
+        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)),
+        lambda chunks: _let(ordered, lambda spans: _let(ends(spans), lambda done: without(chunks, spans, done))),
     )
     out = found.withColumn("text", F.when(F.size(spans) > 0, rebuilt).otherwise(text))
     if "n_chars" in docs.columns:

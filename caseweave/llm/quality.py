@@ -5,11 +5,13 @@ statistics) is grown on two thirds of the rows by information gain, pruned on th
 it is precise enough there; the rows it covers are set aside. The rules are applied in order as one Spark
 conditional expression. Statistics are computed for every word of every text.
 
-Fitting reads at most ``max_rows`` labelled rows, chosen by a hash of their id; all else covers all data.
+Fitting reads at most ``max_rows`` labels, chosen by a hash of their id, and one text for each; all else covers all
+data.
 
 Defined cases: a null or empty text has no words, fails the base rules and is not kept; labels that are null,
 or of unknown documents, are ignored; without rejects among the labels no rule is learned and only the base
-rules decide; repeated rows are judged one by one and repeated labels count as often as they occur.
+rules decide; repeated rows are judged one by one and repeated labels count as often as they occur; of rows that share
+a doc_id the one with the smallest counts stands for the label when rules are learned.
 """
 
 from __future__ import annotations
@@ -187,13 +189,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, min_precis
     known = labels.where("doc_id is not null and quality is not null").select("doc_id", F.col("quality").cast("int"))
     drawn = stored(known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_rows), "labels")
     texts = docs.select("doc_id", "text").join(F.broadcast(drawn.select("doc_id").distinct()), "doc_id", "left_semi")
+    counts = F.min(F.struct(*COUNTS)).alias("counts")  # one row a label, so that max_rows bounds what is collected
     rows = (
         text_counts(texts)
+        .groupBy("doc_id")
+        .agg(counts)
+        .select("doc_id", "counts.*")
         .where(~base_failed())  # what is rejected anyway teaches nothing
         .join(F.broadcast(drawn), "doc_id")
         .select("quality", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(1 << 20)).alias("fold"), *(c.alias(k) for k, c in statistics().items()))
         .orderBy("fold", "quality", *statistics())
-        .limit(4 * max_rows)  # repeated ids in documents give more than one row a label
         .collect()
     )
     if not rows:
