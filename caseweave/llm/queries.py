@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseweave.llm import chat, decontaminate, html, near_dedup, packing, pii, quality, suffix_dedup, token_store, url_filter
+from caseweave.llm import (
+    chat,
+    decontaminate,
+    filter_audit,
+    html,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    suffix_dedup,
+    token_store,
+    url_filter,
+)
 from caseweave.llm.common import read
 from caseweave.session import scratch_path
 
@@ -76,6 +88,10 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_passages(read(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -89,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_filter,
         op9_packing,
         op10_repeated_passages,
+        op12_filter_audit,
     )
 }
 
@@ -162,4 +179,50 @@ ORACLE: dict[str, str] = {
             CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
         FROM r
     """,
+    "op12_filter_audit": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), low AS (
+            SELECT t, min(doc_id) AS first_id FROM d GROUP BY t
+        ), m AS (
+            SELECT doc_id, part,
+                CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+                + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+                + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 4 ELSE 0 END
+                + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+                + CASE WHEN doc_id > first_id THEN 16 ELSE 0 END AS mask
+            FROM d JOIN low USING (t)
+        ), l AS (
+            SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+            FROM labels GROUP BY doc_id
+        ), cell AS (
+            SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+            FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask
+        ), f(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+        o AS (
+            SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+                [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+            FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+                AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5
+        ), s AS (
+            SELECT filter_order, k AS step, bits[k] AS bit, CAST(coalesce(list_sum(bits[1 : k - 1]), 0) AS BIGINT) AS applied
+            FROM o, unnest([1, 2, 3, 4, 5]) AS u(k)
+        ), r AS (
+            SELECT part, filter_order, step, bit,
+                sum(CASE WHEN (mask & (applied | bit)) = 0 THEN n ELSE 0 END) AS kept,
+                sum(CASE WHEN (mask & bit) <> 0 AND (mask & applied) = 0 THEN n ELSE 0 END) AS removed,
+                sum(CASE WHEN (mask & bit) <> 0 AND (mask & applied) <> 0 THEN n ELSE 0 END) AS redundant,
+                sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+                sum(CASE WHEN (mask & bit) <> 0 AND (mask & applied) = 0 THEN good ELSE 0 END) AS good_lost,
+                sum(CASE WHEN (mask & bit) <> 0 AND (mask & applied) = 0 THEN toxic ELSE 0 END) AS toxic_lost
+            FROM s, cell GROUP BY ALL
+        )
+        SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+            CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+            CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+            CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+        FROM r
+    """,
 }
