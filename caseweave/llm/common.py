@@ -40,11 +40,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 
 @contextlib.contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
     """Arrow batches of few rows while a job runs: a row may hold a long text or a large set."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
-    spark.conf.set(name, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
     try:
         yield
     finally:

@@ -18,6 +18,7 @@ from caseweave.llm import (
     suffix_dedup,
     token_store,
     url_filter,
+    window_dedup,
 )
 from caseweave.llm.common import read
 from caseweave.session import scratch_path
@@ -92,6 +93,11 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op13_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = window_dedup.remove_repeats(read(spark, sf_dir, "documents"), with_text=False)
+    return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_packing,
         op10_repeated_passages,
         op12_filter_audit,
+        op13_repeated_windows,
     )
 }
 
@@ -225,4 +232,23 @@ ORACLE: dict[str, str] = {
             CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
         FROM r
     """,
+    "op13_repeated_windows": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), win AS (
+            SELECT r, doc_id, i, array_to_string(w[i : i + 12], ' ') AS k FROM d, unnest(range(1, len(w) - 11)) AS u(i)
+        ), low AS (
+            SELECT k, min(doc_id) AS first_id FROM win GROUP BY k HAVING min(doc_id) < max(doc_id) OR bool_or(doc_id IS NULL)
+        ), gone AS (
+            SELECT DISTINCT r, j FROM win JOIN low USING (k), unnest(range(i, i + 13)) AS u(j)
+            WHERE first_id < doc_id OR (doc_id IS NULL AND first_id IS NOT NULL)
+        ), places AS (
+            SELECT r, count(*) AS n, list(j) AS js FROM gone GROUP BY r
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+            sha256(array_to_string(
+                CASE WHEN n IS NULL THEN w ELSE list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: NOT list_contains(js, x[2])).list_transform(lambda x: x[1]) END,
+            ' ')) AS kept_sha256
+        FROM d LEFT JOIN places USING (r)
+    """,
 }

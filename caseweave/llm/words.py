@@ -50,9 +50,14 @@ def _ranges(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarra
     return (sums[end] - sums[begin]) * _power(_INVERSE, len(values) + 1)[begin]
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of every word, and for each text the index of its first word (one more at the end)."""
-    low = WORD_BYTES[data]
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, table: np.ndarray = WORD_BYTES
+) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word, and for each text the index of its first word (one more at the end).
+
+    ``table`` gives what each byte counts as, 0 between words.
+    """
+    low = table[data]
     inside = np.zeros(len(data) + 2, bool)
     inside[1:-1] = low != 0
     begin = inside[1:-1] & ~inside[:-2]
