@@ -63,13 +63,16 @@ def hash_number(key: Column) -> Column:
     return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint")
 
 
-def with_vectors(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
-    """Messages with a vector each: the given vectors, dealt out by hash of the message id."""
+def with_vectors(spark: SparkSession, sf_dir: str, df: DataFrame, how: str = "inner") -> DataFrame:
+    """Messages with a vector each: the given vectors, dealt out by hash of the message id.
+
+    A message without an id has none, and stays with ``how="left"``.
+    """
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     n_vectors = vectors.agg(F.count(F.lit(1)).alias("n")).scalar()
     return (
         df.withColumn("vec_id", F.pmod(hash_number(F.col("message_id")), n_vectors))
-        .join(vectors, "vec_id")
+        .join(vectors, "vec_id", how)
         .drop("vec_id")
     )
 

@@ -278,14 +278,17 @@ def handled_from_text(spark, sf):
 
 
 def stream_decisions(spark, sf):
-    """Every user turn as an incoming message, decided by the streaming front end."""
+    """Every user turn as an incoming message, decided by the streaming front end.
+
+    One in five comes without an id, and one in three a second time with another text.
+    """
     _, index = _handled_inputs(spark, sf)
     shared = broadcast_index(index, "message_id", payload=CASE_COLUMNS)
     rules = rule_provider("message", D.RULES)
     folder = scratch_path(spark, "stream")
 
     def handle(batch):
-        messages = D.with_vectors(spark, sf, batch)
+        messages = D.with_vectors(spark, sf, batch, "left")
         return handle_messages(
             messages, index if shared is None else shared, rules, exclude_self=True, brand=D.BRAND
         )
@@ -295,10 +298,14 @@ def stream_decisions(spark, sf):
         .option("pathGlobFilter", "conversations.parquet")
         .parquet(sf)
     )
-    messages = turns.where(F.col("role") == "user").select(
-        (F.col("conv_id") * TURNS_PER_CONVERSATION + F.col("turn")).alias("message_id"),
-        clean_text(F.col("text")).alias("message"),
+    number = F.col("conv_id") * TURNS_PER_CONVERSATION + F.col("turn")
+    text = clean_text(F.col("text"))
+    arrived = F.array(
+        F.struct(F.when(number % 5 != 0, number).alias("message_id"), text.alias("message")),
+        F.struct(F.when(number % 3 == 0, number).alias("message_id"), F.concat(F.lit("again: "), text).alias("message")),
     )
+    arrived = F.when(number % 3 == 0, arrived).otherwise(F.slice(arrived, 1, 1))
+    messages = turns.where(F.col("role") == "user").select(F.explode(arrived).alias("m")).select("m.*")
     decide_stream(messages, handle, f"{folder}/sink", f"{folder}/checkpoint").awaitTermination()
     return decided(spark, f"{folder}/sink").withColumn(
         "top_similarity", F.round("top_similarity", 6)
@@ -373,7 +380,7 @@ def _handle_sql(source: str) -> str:
     labelled AS MATERIALIZED (
         SELECT m.message_id, m.message, {D.sql_intent("m.message")} AS intent,
                coalesce(b.top_similarity, 0.0) AS top_similarity, coalesce(b.reply, '') AS reply
-        FROM {source} m JOIN best b USING (message_id)),
+        FROM {source} m JOIN best b ON m.message_id IS NOT DISTINCT FROM b.message_id),
     sure AS MATERIALIZED (SELECT *, {D.sql_confidence("intent")} AS confidence FROM labelled)
     SELECT message_id, message, intent, confidence, trim(reply) AS drafted_reply,
            round(top_similarity, 6) AS top_similarity,
@@ -513,12 +520,18 @@ ORACLE = {
         messages AS MATERIALIZED (SELECT message_id, customer_msg_clean AS message FROM cases),
         {_handle_sql("messages")}""",
     "q48_stream_decisions": f"""{D.PAIR_CTES}, {D.CASES}, {D.INDEX},
+        turns AS MATERIALIZED (
+            SELECT tweet_id, {D.sql_clean("text")} AS message FROM tweets WHERE inbound),
+        arrived AS MATERIALIZED (
+            SELECT CASE WHEN tweet_id % 5 <> 0 THEN tweet_id END AS message_id, message FROM turns
+            UNION ALL SELECT tweet_id, 'again: ' || message FROM turns WHERE tweet_id % 3 = 0),
+        told AS MATERIALIZED (
+            SELECT message_id, min(message) AS message FROM arrived WHERE message_id IS NOT NULL GROUP BY message_id
+            UNION ALL SELECT message_id, message FROM arrived WHERE message_id IS NULL),
         messages AS MATERIALIZED (
-            SELECT t.tweet_id AS message_id, {D.sql_clean("t.text")} AS message,
-                   e.embedding::DOUBLE[] AS embedding
-            FROM tweets t JOIN embeddings e
-              ON e.vec_id = {D.sql_hash("t.tweet_id")} % (SELECT count(*) FROM embeddings)
-            WHERE t.inbound),
+            SELECT t.message_id, t.message, e.embedding::DOUBLE[] AS embedding
+            FROM told t LEFT JOIN embeddings e
+              ON e.vec_id = {D.sql_hash("t.message_id")} % (SELECT count(*) FROM embeddings)),
         {D.sql_retrieved("messages")},
         {_handle_sql("messages")}""",
 }

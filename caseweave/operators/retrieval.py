@@ -6,12 +6,16 @@ similarities exist only as a matrix inside a task, which returns the best ``k``
 * An index whose measured size is below a limit (the normal case: an index is a sample of a
   fixed number of past cases) is broadcast.  Messages are then read, scored and passed on in one
   map-only stage.
-* A larger index is cut into blocks, and so are the queries.  Each task scores one block of
-  queries against one block of the index; the best ``k`` per block are merged per query.
+* A larger index is cut into cells around pivots, each with the largest angle between the pivot and
+  a member, and cells into blocks of bounded size; queries are cut by their nearest pivot.  A task
+  scores one block of queries against one block of the index.  No member of a cell is nearer to a
+  query than the angle to the pivot less the cell's own, so a cell is skipped for a query if that
+  bound cannot reach its ``k``-th score so far.  Cells are visited in rounds, the nearest first.
 
 Similarities are rounded to nine decimals before they are ranked, and ties go to the smaller id,
-so the result depends neither on the order of summation nor on the block layout.  Zero vectors
-have no similarity and are never retrieved.
+so the result depends neither on the order of summation nor on the block layout.  Indexed rows that
+share an id and a score come in any order.  Zero vectors have no similarity and are never
+retrieved.  Ids may be of any type that can be ordered.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -37,6 +42,12 @@ MAX_BROADCAST_BYTES = 64 << 20
 BLOCK_BYTES = 32 << 20
 SCORE_DECIMALS = 9
 _CELLS = 4 << 20  # similarities held at a time by one task
+#: Pivots are sent to every task; beyond this, cells are larger and cut into more blocks.
+PIVOT_BYTES = 8 << 20
+PIVOTS_PER_BLOCK = 4
+#: Cells that a query visits after those that its first ``k`` cases come from, by round; then all that are left.
+ROUND_CELLS = (8,)
+ANGLE_SLACK = 1e-6  # larger than the error of an angle between nearly equal vectors
 
 
 # ----------------------------------------------------------------------------------------------
@@ -100,11 +111,23 @@ def _make_kernel():
         rows[usable] /= norms[usable, None]
         return rows, usable
 
-    def best(queries, usable, query_ids, known, index, index_ids, k, exclude_self):
+    def own_places(query_ids, index_ids):
+        """Where each query's id is in the ascending ``index_ids``: first and last place + 1."""
+        unique = pc.unique(index_ids)
+        code = pc.index_in(query_ids, value_set=unique)
+        known = code.is_valid().to_numpy(zero_copy_only=False)
+        code = code.fill_null(0).to_numpy(zero_copy_only=False)
+        runs = pc.index_in(index_ids, value_set=unique).to_numpy(zero_copy_only=False)
+        if not len(runs):
+            return np.zeros(len(code), np.int64), np.zeros(len(code), np.int64)
+        first = np.searchsorted(runs, code, "left")
+        return first, np.where(known, np.searchsorted(runs, code, "right"), first)
+
+    def best(queries, usable, query_ids, index, index_ids, k, exclude_self):
         """Positions (n, k) and similarities of the best k; -inf marks an empty place.
 
         ``index_ids`` is ascending, so the first maximum is the one with the smallest id.
-        ``known`` marks the queries that have an id; the others exclude nothing.
+        A query without an id excludes nothing.
         """
         n, m = len(queries), len(index)
         k = min(k, m)
@@ -112,6 +135,8 @@ def _make_kernel():
         scores = np.full((n, k), -np.inf)
         if m == 0 or k == 0 or queries.shape[1] == 0:
             return places, scores
+        if exclude_self:
+            own_first, own_last = own_places(query_ids, index_ids)
         step = max(1, cells // m)
         for start in range(0, n, step):
             part = slice(start, start + step)
@@ -119,9 +144,8 @@ def _make_kernel():
             sims[~usable[part]] = -np.inf
             rows = np.arange(len(sims))
             if exclude_self:
-                first = np.searchsorted(index_ids, query_ids[part], "left")
-                last = np.searchsorted(index_ids, query_ids[part], "right")
-                same = known[part] & (last > first)
+                first, last = own_first[part].copy(), own_last[part]
+                same = last > first
                 while same.any():  # once, unless the index repeats an id
                     sims[rows[same], first[same]] = -np.inf
                     first = first + 1
@@ -151,13 +175,14 @@ class BroadcastIndex:
     ids_and_vectors: object  # pyspark Broadcast of (ids, unit vectors, payload)
     payload: T.StructType  # case columns returned with each neighbour
     id_name: str
+    id_type: T.DataType
 
     @property
     def result_type(self) -> T.ArrayType:
         return T.ArrayType(
             T.StructType(
                 [
-                    T.StructField(self.id_name, T.LongType()),
+                    T.StructField(self.id_name, self.id_type),
                     *self.payload.fields,
                     T.StructField("similarity", T.DoubleType()),
                 ]
@@ -165,11 +190,17 @@ class BroadcastIndex:
         )
 
 
+def _id(df: DataFrame, key: str) -> Column:
+    """An id column in its own type; whole numbers of any width are one type."""
+    integral = isinstance(df.schema[key].dataType, T.IntegralType)
+    return F.col(key).cast("bigint") if integral else F.col(key)
+
+
 def _index_columns(index: DataFrame, key: str, vector: str, payload: list[str]) -> DataFrame:
     """Key, vector (in its stored precision) and payload of the rows that can be compared."""
-    return index.select(
-        F.col(key).cast("bigint").alias(key), vector, *payload
-    ).where(F.col(key).isNotNull() & _has_direction(F.col(vector)))
+    return index.select(_id(index, key).alias(key), vector, *payload).where(
+        F.col(key).isNotNull() & _has_direction(F.col(vector))
+    )
 
 
 def _has_direction(vector: Column) -> Column:
@@ -208,13 +239,13 @@ def broadcast_index(
     vectors = table.column(vector)
     vectors = vectors.chunk(0) if vectors.num_chunks else pa.array([], vectors.type)
     value = (
-        table.column(key).to_numpy(),
+        table.column(key).combine_chunks(),
         unit_rows(vectors)[0],
         {out: table.column(name).combine_chunks() for out, name in payload.items()},
     )
     session = index.sparkSession
     return BroadcastIndex(
-        session.sparkContext.broadcast(value), T.StructType(fields), key
+        session.sparkContext.broadcast(value), T.StructType(fields), key, columns.schema[key].dataType
     )
 
 
@@ -237,15 +268,11 @@ def neighbours(
         index_ids, index_rows, columns = shared.value
         for vectors, ids in batches:
             rows, usable = unit_rows(vectors)
-            query_ids = ids.fill_null(-1).to_numpy(zero_copy_only=False)
-            known = ids.is_valid().to_numpy(zero_copy_only=False)
-            places, scores = best(
-                rows, usable, query_ids, known, index_rows, index_ids, k, exclude_self
-            )
+            places, scores = best(rows, usable, ids, index_rows, index_ids, k, exclude_self)
             found = np.isfinite(scores)
             offsets = np.concatenate([[0], np.cumsum(found.sum(axis=1))]).astype(np.int32)
             taken = pa.array(places[found])
-            values = [pa.array(index_ids).take(taken)]
+            values = [index_ids.take(taken)]
             values += [columns[name].take(taken) for name in names]
             values.append(pa.array(scores[found]))
             cases = pa.StructArray.from_arrays(values, names=[id_name, *names, "similarity"])
@@ -253,89 +280,215 @@ def neighbours(
 
     # declared non-deterministic so that the optimizer never evaluates it a second time, for
     # example to filter empty arrays before they are exploded
-    return score.asNondeterministic()(vector, query_id.cast("bigint"))
+    return score.asNondeterministic()(vector, query_id.try_cast(index.id_type))
 
 
 # ----------------------------------------------------------------------------------------------
 # large index: blocks
 # ----------------------------------------------------------------------------------------------
-def _blocks(df: DataFrame, dims: int, block_bytes: int) -> int:
-    rows = df.count()
-    return max(1, math.ceil(rows * dims * 8 / block_bytes))
+@dataclass
+class _Cells:
+    """Cells of the index around pivots: unit vectors, the angle of the farthest member, members."""
 
+    pivots: np.ndarray
+    reach: np.ndarray
+    size: np.ndarray
 
-def _blocked_top_k(
-    queries: DataFrame, index: DataFrame, k: int, exclude_self: bool, block_bytes: int
-) -> DataFrame:
-    """(row, query_id, rank, case_row, index_id, similarity): the best ``k`` per query row.
 
-    ``queries`` (row, query_id, vector) and ``index`` (case_row, index_id, vector) are stored
-    tables with unique row numbers; ids may repeat, and a query's id may be NULL.
+def _choose_pivots(index: DataFrame, n_rows: int, dims: int, block_bytes: int) -> np.ndarray:
+    """Some index vectors, drawn by a hash of their row number; one if the index is one block."""
+    unit_rows, _ = _make_kernel()
+    blocks = math.ceil(n_rows * dims * 8 / block_bytes)
+    n = 1 if blocks <= 1 else min(PIVOTS_PER_BLOCK * blocks, n_rows, max(1, PIVOT_BYTES // (8 * dims)))
+    drawn = index.orderBy(F.xxhash64("case_row"), "case_row").limit(n).select("vector").toArrow()
+    return unit_rows(drawn.column("vector").combine_chunks())[0]
 
-    Block sizes follow from memory: a task holds one block of queries, one block of the index
-    and a bounded slice of their similarities.  Blocks are hashes of row numbers, so they are even.
+
+def _nearest_pivot(pivots):
+    """Adds to each row the pivot nearest to its vector, and the similarity to it."""
+    unit_rows, _ = _make_kernel()
+    cells = _CELLS
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, _ = unit_rows(batch.column("vector"))
+            cell, near = np.zeros(len(rows), np.int32), np.zeros(len(rows))
+            step = max(1, cells // len(pivots.value))
+            for start in range(0, len(rows), step):
+                part = slice(start, start + step)
+                sims = rows[part] @ pivots.value.T
+                cell[part] = sims.argmax(axis=1)
+                near[part] = sims.max(axis=1)
+            columns = {c: batch.column(c) for c in batch.schema.names}
+            yield pa.record_batch({**columns, "cell": cell, "near": near})
+
+    return assign
+
+
+def _in_blocks(df: DataFrame, row: str, block: str, dims: int, block_bytes: int) -> tuple[DataFrame, DataFrame, list, int]:
+    """``df`` with a block number; the blocks of each cell; members and reach of each cell; how many blocks there are.
+
+    A cell that is larger than a block is cut by a hash of the row number, so blocks have bounded size.
     """
-    dims = index.agg(F.max(F.size("vector"))).first()[0] or 1
-    query_blocks = _blocks(queries, dims, block_bytes)
-    index_blocks = _blocks(index, dims, block_bytes)
-    left = queries.withColumns(
-        {
-            "qb": F.pmod(F.xxhash64("row"), F.lit(query_blocks).cast("bigint")),
-            "ib": F.explode(F.sequence(F.lit(0), F.lit(index_blocks - 1))),
-        }
-    )
-    right = index.withColumns(
-        {
-            "ib": F.pmod(F.xxhash64("case_row"), F.lit(index_blocks)).cast("int"),
-            "qb": F.explode(
-                F.sequence(F.lit(0).cast("bigint"), F.lit(query_blocks - 1).cast("bigint"))
-            ),
-        }
-    )
+    counted = df.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("near").alias("near")).collect()
+    parts, first, table = {}, 0, []
+    for r in sorted(counted, key=lambda r: r["cell"]):
+        parts[r["cell"]] = math.ceil(r["n"] * dims * 8 / block_bytes)
+        table.append((r["cell"], first, parts[r["cell"]]))
+        first += parts[r["cell"]]
+    blocks = df.sparkSession.createDataFrame(table, f"cell int, first_{block} int, n_{block} int")
+    number = F.col(f"first_{block}") + F.pmod(F.xxhash64(row), F.col(f"n_{block}")).cast("int")
+    # one row per pivot, and pivots have a bounded size
+    placed = df.join(F.broadcast(blocks), "cell").withColumn(block, number)
+    return placed.drop(f"first_{block}", f"n_{block}", "near"), blocks, counted, first
+
+
+def _plan_round(cells, k: int, round_no: int):
+    """For each query the cells to visit in a round: the next ones by their bound that can still matter."""
+    unit_rows, _ = _make_kernel()
+    held, slack, sizes = _CELLS, ANGLE_SLACK, ROUND_CELLS
+
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = cells.value
+        for batch in batches:
+            rows, _ = unit_rows(batch.column("vector"))
+            least = batch.column("least").fill_null(-np.inf).to_numpy(zero_copy_only=False)
+            wanted: list[list[int]] = []
+            step = max(1, held // len(index.pivots))
+            for start in range(0, len(rows), step):
+                part = slice(start, start + step)
+                angle = np.arccos(np.clip(rows[part] @ index.pivots.T, -1.0, 1.0)) - index.reach - slack
+                bound = np.cos(np.clip(angle, 0.0, np.pi))
+                order = np.argsort(-bound, axis=1, kind="stable")
+                # the first round takes cells until they hold k cases and the query itself
+                enough = np.cumsum(index.size[order], axis=1) > k
+                begin = np.where(enough.any(axis=1), enough.argmax(axis=1) + 1, order.shape[1])
+                end = begin if round_no == 0 else begin + sum(sizes[:round_no])
+                if round_no > len(sizes):
+                    end = np.full(len(order), order.shape[1])
+                begin = 0 * begin if round_no == 0 else begin + sum(sizes[: round_no - 1])
+                place = np.arange(order.shape[1])
+                matters = np.take_along_axis(bound, order, axis=1) >= least[part, None] - 1e-9
+                visit = (place >= begin[:, None]) & (place < end[:, None]) & matters
+                wanted += [row[keep].tolist() for row, keep in zip(order, visit, strict=True)]
+            columns = {c: batch.column(c) for c in batch.schema.names if c != "least"}
+            yield pa.record_batch({**columns, "cells": pa.array(wanted, pa.list_(pa.int32()))})
+
+    return plan
+
+
+def _score_blocks(k: int, exclude_self: bool):
+    """The best ``k`` cases of one block of the index for each query of one block of queries."""
     unit_rows, best = _make_kernel()
 
     def score(left_table: pa.Table, right_table: pa.Table) -> pa.Table:
         right_table = right_table.sort_by([("index_id", "ascending"), ("case_row", "ascending")])
-        index_ids = right_table.column("index_id").to_numpy()
+        index_ids = right_table.column("index_id").combine_chunks()
         ids = left_table.column("query_id").combine_chunks()
-        known = ids.is_valid().to_numpy(zero_copy_only=False)
-        query_ids = ids.fill_null(-1).to_numpy(zero_copy_only=False)
-
-        def rows_of(table):
-            chunks = table.column("vector").combine_chunks()
-            return unit_rows(chunks)
-
-        queries_, usable = rows_of(left_table)
-        cases, _ = rows_of(right_table)
-        if len(queries_) and len(cases):
-            places, scores = best(
-                queries_, usable, query_ids, known, cases, index_ids, k, exclude_self
-            )
+        queries, usable = unit_rows(left_table.column("vector").combine_chunks())
+        cases, _ = unit_rows(right_table.column("vector").combine_chunks())
+        if len(queries) and len(cases):
+            places, scores = best(queries, usable, ids, cases, index_ids, k, exclude_self)
         else:
-            places = np.zeros((len(queries_), 0), dtype=np.int64)
-            scores = np.zeros((len(queries_), 0))
+            places = np.zeros((len(queries), 0), dtype=np.int64)
+            scores = np.zeros((len(queries), 0))
         found = np.isfinite(scores)
         row, _ = np.nonzero(found)
-        taken = places[found]
+        taken = pa.array(places[found])
         return pa.table(
             {
                 "row": left_table.column("row").take(pa.array(row)),
                 "query_id": ids.take(pa.array(row)),
-                "case_row": right_table.column("case_row").take(pa.array(taken)),
-                "index_id": pa.array(index_ids[taken], pa.int64()),
+                "case_row": right_table.column("case_row").take(taken),
+                "index_id": index_ids.take(taken),
                 "similarity": pa.array(scores[found], pa.float64()),
             }
         )
 
-    partial = (
-        left.groupBy("qb", "ib")
-        .cogroup(right.groupBy("qb", "ib"))
-        .applyInArrow(
-            score, "row bigint, query_id bigint, case_row bigint, index_id bigint, similarity double"
-        )
+    return score
+
+
+def _blocked_top_k(
+    queries: DataFrame, index: DataFrame, k: int, exclude_self: bool, block_bytes: int, shipped: dict | None = None
+) -> DataFrame:
+    """(row, query_id, rank, case_row, index_id, similarity): the best ``k`` per query row.
+
+    ``queries`` (row, query_id, vector) and ``index`` (case_row, index_id, vector) are stored
+    tables with unique row numbers; ids may repeat, and a query's id may be NULL.
+
+    Block sizes follow from memory: a task holds one block of queries, one block of the index
+    and a bounded slice of their similarities.  ``shipped`` takes down how many block pairs there are
+    (``all``) and how many are compared in each round (``rounds``).
+    """
+    spark = queries.sparkSession
+    query_type, index_type = (df.schema[c].dataType for df, c in ((queries, "query_id"), (index, "index_id")))
+    found = (
+        f"row bigint, query_id {index_type.simpleString()}, case_row bigint, index_id {index_type.simpleString()},"
+        " similarity double"
     )
+    dims, n_rows = index.agg(F.max(F.size("vector")), F.count(F.lit(1))).first()
+    ids = queries.select("row", F.col("query_id").alias("own_id"))
+    if not n_rows or not k:
+        empty = spark.createDataFrame([], f"{found}, rank int")
+        return empty.withColumn("query_id", F.lit(None).cast(query_type))
+
+    pivots = spark.sparkContext.broadcast(_choose_pivots(index, n_rows, dims, block_bytes))
+
+    def placed(df: DataFrame, name: str) -> DataFrame:
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+        return store_stage(df.mapInArrow(_nearest_pivot(pivots), f"{kinds}, cell int, near double"), name)
+
+    cases, blocks, counted, n_cases = _in_blocks(placed(index, "cells"), "case_row", "ib", dims, block_bytes)
+    own = queries.select("row", F.col("query_id").try_cast(index_type).alias("query_id"), "vector")
+    asked, _, _, n_asked = _in_blocks(placed(own, "queries"), "row", "qb", dims, block_bytes)
+    size, near = np.zeros(len(pivots.value), np.int64), np.ones(len(pivots.value))
+    for r in counted:
+        size[r["cell"]], near[r["cell"]] = r["n"], r["near"]
+    reach = np.arccos(np.clip(near, -1.0, 1.0)) + ANGLE_SLACK
+    reach[size == 0] = -2 * np.pi  # an empty cell is the last to be visited
+    cells = spark.sparkContext.broadcast(_Cells(pivots.value, reach, size))
+
+    asked = asked.select("row", "query_id", "vector", "qb")
     order = W.partitionBy("row").orderBy(F.col("similarity").desc(), "index_id", "case_row")
-    return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    best = None
+    for round_no in range(len(ROUND_CELLS) + 2):
+        if best is None:
+            waiting = asked.withColumn("least", F.lit(None).cast("double"))
+        else:
+            full = best.groupBy("row").agg(F.min("similarity").alias("least"), F.count(F.lit(1)).alias("n"))
+            waiting = asked.join(full.where(F.col("n") == k).select("row", "least"), "row", "left")
+        planned = waiting.mapInArrow(
+            _plan_round(cells, k, round_no),
+            f"row bigint, query_id {index_type.simpleString()}, vector {own.schema['vector'].dataType.simpleString()}, qb int, cells array<int>",
+        ).where(F.size("cells") > 0)
+        planned = store_stage(planned, "planned")
+        if planned.isEmpty():
+            continue  # a later round has other cells
+        left = planned.select("row", "query_id", "vector", "qb", F.explode("cells").alias("cell"))
+        numbers = F.sequence(F.col("first_ib"), F.col("first_ib") + F.col("n_ib") - 1)
+        left = left.join(F.broadcast(blocks), "cell").withColumn("ib", F.explode(numbers))
+        pairs = store_stage(left.select("qb", "ib").distinct(), "pairs")
+        if shipped is not None:
+            shipped.setdefault("rounds", []).append(pairs.count())
+            shipped["all"] = n_cases * n_asked
+        right = cases.select("case_row", "index_id", "vector", "ib").join(pairs, "ib")
+        partial = (
+            left.select("row", "query_id", "vector", "qb", "ib").groupBy("qb", "ib")
+            .cogroup(right.groupBy("qb", "ib"))
+            .applyInArrow(_score_blocks(k, exclude_self), found)
+        )
+        merged = partial if best is None else best.unionByName(partial)
+        ranked = merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        best = store_stage(ranked.drop("rank"), "best")
+        if len(pivots.value) == 1:
+            break
+    if best is None:
+        best = spark.createDataFrame([], found)
+    ranked = best.withColumn("rank", F.row_number().over(order))
+    if query_type == index_type:
+        return ranked
+    # the query's own id, in its own type
+    return ranked.drop("query_id").join(ids, "row").withColumnRenamed("own_id", "query_id")
 
 
 def _numbered(df: DataFrame, name: str) -> DataFrame:
@@ -363,7 +516,7 @@ def top_k_similar(
     if small is not None:
         found = neighbours(small, F.col(query_vector), F.col(query_key), k, exclude_self)
         return (
-            queries.select(F.col(query_key).alias("query_id"), found.alias("found"))
+            queries.select(_id(queries, query_key).alias("query_id"), found.alias("found"))
             .select("query_id", F.posexplode("found").alias("position", "case"))
             .select(
                 "query_id",
@@ -386,7 +539,7 @@ def top_k_similar(
 
 def _query_columns(queries: DataFrame, key: str, vector: str) -> DataFrame:
     return queries.select(
-        F.col(key).cast("bigint").alias("query_id"), F.col(vector).alias("vector")
+        _id(queries, key).alias("query_id"), F.col(vector).alias("vector")
     ).where(_has_direction(F.col("vector")))
 
 
@@ -428,7 +581,7 @@ def retrieve_similar(
     numbered = _numbered(messages, "_row")
     rows = numbered.select(
         F.col("_row").alias("row"),
-        F.col(key).cast("bigint").alias("query_id"),
+        _id(numbered, key).alias("query_id"),
         F.col(vector).alias("vector"),
     ).where(_has_direction(F.col("vector")))
     names = list(dict.fromkeys(cases.values()))

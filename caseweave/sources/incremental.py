@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from caseweave.operators.labelling import split_valid
 from caseweave.session import scratch_path, store_stage
-from caseweave.sources.tables import append
+from caseweave.sources.commits import Transaction, read_log
 
 _PART, _RANK = "_part", "_rank"
 
@@ -27,10 +27,8 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_done(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """What an earlier run has written; an empty table if there was none."""
-    if table_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+    """What earlier runs have committed; an empty table if there was none."""
+    return read_log(spark, path, schema)
 
 
 def record_labels(
@@ -38,6 +36,8 @@ def record_labels(
 ) -> DataFrame:
     """Append labels made by hand: valid values only, and no row that is labelled already.
 
+    The rows are committed together; if someone else records one of the keys meanwhile, none are
+    (:class:`~caseweave.sources.commits.CommitConflict`).
     A row without a key is rejected, and of several rows with one key all but the first in the
     order of all their columns.  Returns the rejected rows with the columns that are not valid.
     """
@@ -45,9 +45,9 @@ def record_labels(
     order = W.partitionBy(key).orderBy(*[F.col(c) for c in labels.columns])
     ranked = valid.withColumn(_RANK, F.row_number().over(order))
     usable = F.col(key).isNotNull() & (F.col(_RANK) == 1)
-    done = read_done(labels.sparkSession, path, labels.schema)
+    table = Transaction(labels.sparkSession, path, labels.schema, key)
     ranked = store_stage(ranked, "labels")  # before the table that it is compared with changes
-    append(pending(ranked.where(usable).drop(_RANK), done, key), path)
+    table.append(pending(ranked.where(usable).drop(_RANK), table.read(), key))
     repeated = ranked.where(~usable).drop(_RANK)
     return rejected.unionByName(repeated.withColumn("invalid_columns", F.array(F.lit(key))))
 
@@ -60,18 +60,20 @@ def run_resumable(
     schema: T.StructType,
     n_parts: int = 1,
 ) -> DataFrame:
-    """Process the rows not yet in ``path`` and append them, in ``n_parts`` separate writes.
+    """Process the rows not yet in ``path`` and append them, in ``n_parts`` separate commits.
 
-    An interrupted run loses at most the parts it had not finished, and a new run processes only the
-    keys that are missing; rows that a broken write left behind count as done, none are written twice.  With several parts the pending rows are stored once, by
-    part, so that every part reads only its own rows.  ``schema`` is that of the result and
-    contains the key.
+    An interrupted run loses at most the part it was writing, of which nothing is seen, and a new run
+    processes only the keys that are missing.  A run that finds that another one has committed some of its
+    keys stops (:class:`~caseweave.sources.commits.CommitConflict`); no row is written twice.  With several parts
+    the pending rows are stored once, by part, so that every part reads only its own rows.  ``schema`` is
+    that of the result and contains the key.
     """
     spark = source.sparkSession
-    todo = pending(source, read_done(spark, path, schema), key)
+    table = Transaction(spark, path, schema, key)
+    todo = pending(source, table.read(), key)
     if n_parts == 1:
-        append(process(todo).select(*schema.names), path)
-        return read_done(spark, path, schema)
+        table.append(process(todo))
+        return table.read()
 
     staged = scratch_path(spark, "pending")
     slices = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // n_parts)
@@ -82,5 +84,5 @@ def run_resumable(
     for number in range(n_parts):
         folder = f"{staged}/{_PART}={number}"
         if table_exists(spark, folder):
-            append(process(rows.parquet(folder)).select(*schema.names), path)
-    return read_done(spark, path, schema)
+            table.append(process(rows.parquet(folder)))
+    return table.read()

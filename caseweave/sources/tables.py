@@ -8,10 +8,11 @@ from pyspark.sql import types as T
 
 from caseweave import fixed, schemas
 from caseweave.functions.text import as_boolean
+from caseweave.sources import commits
+from caseweave.sources.csv_records import CSV, read_csv
 
 MAX_SPREAD_SPLITS = 64  # a few gigabytes at the usual size of a split
 
-_CSV = {"header": "true", "quote": '"', "escape": '"'}
 
 
 def _id(df: DataFrame, name: str) -> Column:
@@ -35,33 +36,39 @@ def normalise_tweets(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_tweets_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_tweets_csv(
+    spark: SparkSession, path: str, multi_line: bool = True, whole_files: bool = False
+) -> DataFrame:
     """Raw message export.  Columns are matched by header name; others are not read.
 
     All files of one export have the same columns in the same order, whatever that order is; a file
     with another header is an error, never misread.  Read exports of different layouts one by one.
 
-    Messages contain line breaks, so files are read whole by default, one task per file.  For
-    large inputs provide many files, or store the result once with :func:`overwrite`; a file too
-    large for one task has to be cut at its records first, or exported without line breaks and read
-    with ``multi_line=False``, which splits files.
+    Messages contain line breaks.  Files are cut into splits all the same
+    (:mod:`caseweave.sources.csv_records`); a file whose quotes break the rules of CSV is an error then.  With
+    ``whole_files`` Spark reads each file in one task and takes stray quotes as they are.  An export without
+    line breaks can be read with ``multi_line=False``, in one pass.
     """
-    header = spark.read.options(**_CSV).csv(path).columns
+    header = spark.read.options(**CSV).csv(path).columns
     missing = [c for c in fixed.RAW_COLUMNS if c not in header]
     if missing:
         raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    reader = spark.read.schema(schema).options(**_CSV, enforceSchema="false")
+    if multi_line and not whole_files:
+        return normalise_tweets(read_csv(spark, path, schema, check_header=True).select(*fixed.RAW_COLUMNS))
+    reader = spark.read.schema(schema).options(**CSV, enforceSchema="false")
     return normalise_tweets(reader.option("multiLine", multi_line).csv(path).select(*fixed.RAW_COLUMNS))
 
 
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
 ) -> DataFrame:
-    """Stored table with its declared schema."""
+    """Stored table with its declared schema; of a table with a commit log, what is committed."""
+    if fmt == "parquet" and commits.has_log(spark, path):
+        return commits.read_log(spark, path, schema)
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        return reader.options(**_CSV).option("multiLine", True).csv(path)
+        return read_csv(spark, path, schema)
     return reader.format(fmt).load(path)
 
 
@@ -83,13 +90,20 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Add rows to a table; creates it if it does not exist."""
-    _writer(df, fmt).mode("append").save(path)
+    """Add rows to a table; creates it if it does not exist.
+
+    Parquet tables get a commit log (:mod:`caseweave.sources.commits`): readers see all of the rows or none, and
+    :func:`read_table` reads what is committed.  Text files have none; a broken write leaves a part of the rows.
+    """
+    if fmt == "parquet":
+        commits.add_rows(df, path)
+    else:
+        _writer(df, fmt).mode("append").save(path)
 
 
 def _writer(df: DataFrame, fmt: str):
     writer = df.write.format(fmt)
-    return writer.options(**_CSV) if fmt == "csv" else writer
+    return writer.options(**CSV) if fmt == "csv" else writer
 
 
 def save_vectors(df: DataFrame, path: str) -> None:

@@ -180,3 +180,81 @@ def test_repeated_batch_replaces_its_rows(spark, tmp_path, world):
     shutil.copytree(f"{folder}/checkpoint", copy, ignore=shutil.ignore_patterns("commits"))
     got = run(spark, world, folder, "crashed")
     assert sorted(r.message_id for r in got.collect()) == list(range(1, 6))
+
+
+def test_messages_without_id_are_all_decided(spark, tmp_path, world):
+    folder = str(tmp_path)
+    for part in ([(None, "a"), (None, "a"), (1, "z")], [(None, "a"), (1, "b"), (2, "y"), (2, "x")]):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        found = run(spark, world, folder)
+    rows = sorted((r.message_id or 0, r.message) for r in found.collect())
+    assert rows == [(0, "a"), (0, "a"), (0, "a"), (1, "z"), (2, "x")]
+    # without its checkpoint nothing with an id is decided twice
+    again = run(spark, world, folder, "another")
+    assert again.where("message_id is not null").count() == 2
+
+
+def test_state_is_keys_only(spark, tmp_path, world):
+    """The bytes of state do not depend on the texts, and a seen key adds nothing."""
+    sizes = {}
+    for name, text in (("short", "a"), ("long", "word " * 5000)):
+        folder = tmp_path / name
+        for _ in range(2):
+            rows = [(i, text) for i in range(200)] + [(None, text)] * 5
+            spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        query = decide_stream(stream(spark, folder), world, f"{folder}/sink", f"{folder}/checkpoint")
+        query.awaitTermination()
+        states = [p.stateOperators[0] for p in query.recentProgress if p.numInputRows]
+        assert {s.numRowsTotal for s in states} == {200}
+        files = [f for f in (folder / "checkpoint" / "state").rglob("*.delta")]
+        sizes[name] = sum(f.stat().st_size for f in files)
+    assert sizes["long"] < 1.05 * sizes["short"]
+
+
+@pytest.mark.parametrize("step", ["before the write", "before the commit", "after the commit"])
+def test_crash_at_each_step(spark, tmp_path, world, monkeypatch, step):
+    from caseweave.sources import commits
+    from caseweave.streaming import messages as module
+
+    folder = str(tmp_path)
+    for ids in (range(1, 6), range(4, 9)):
+        messages(spark, ids).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    calls = []
+
+    def crash(real):
+        def run_once(*args, **kwargs):
+            if len(calls) == 0 and step == "before the write" or len(calls) == 0 and step == "before the commit":
+                calls.append(1)
+                raise RuntimeError("crash")
+            out = real(*args, **kwargs)
+            if len(calls) == 0:
+                calls.append(1)
+                raise RuntimeError("crash")
+            return out
+
+        return run_once
+
+    with monkeypatch.context() as m:
+        if step == "before the commit":
+            m.setattr(commits, "_commit", crash(commits._commit))
+        else:
+            m.setattr(module, "commit_once", crash(module.commit_once))
+        with pytest.raises(Exception, match="crash"):
+            run(spark, world, folder)
+    found = run(spark, world, folder)
+    assert sorted(r.message_id for r in found.collect()) == list(range(1, 9))
+
+
+def test_keys_are_forgotten_after_a_time(spark, tmp_path, world):
+    folder = str(tmp_path)
+    schema = f"{SCHEMA}, at timestamp"
+    day = lambda d: __import__("datetime").datetime(2024, 1, d)
+    query = None
+    for d in (1, 2, 20, 25):
+        spark.createDataFrame([(1, "again", day(d))], schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        incoming = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        query = decide_stream(
+            incoming, lambda b: world(b.drop("at")), f"{folder}/sink", f"{folder}/checkpoint", keep_for=("at", "3 days")
+        )
+        query.awaitTermination()
+    assert 1 < decided(spark, f"{folder}/sink").count() < 4

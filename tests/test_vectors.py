@@ -1,8 +1,11 @@
+from collections import defaultdict
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from caseweave.functions import vectors as V
+from caseweave.operators import retrieval as R
 from caseweave.operators.clustering import (
     cluster_sizes, mean_centres, model_centres, nearest_per_cluster, run_clustering,
 )
@@ -121,6 +124,71 @@ def test_repeated_and_missing_ids_and_odd_vectors(spark, limits):
     assert top.count() == 8 and top.where("query_id is null").count() == 2
 
 
+def clustered(n, n_centres, dims=16, seed=3, spread=0.05):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(n_centres, dims))
+    return (centres[rng.integers(0, n_centres, n)] + spread * rng.normal(size=(n, dims))).astype("float32")
+
+
+def blocked(spark, rows, queries, k, block_bytes, exclude_self=False):
+    """Ranked ids per query, and the shipped block pairs of each round."""
+    def stored(values, names):
+        table = [(i, i, [float(x) for x in v]) for i, v in enumerate(values)]
+        return spark.createDataFrame(table, f"{names[0]} long, {names[1]} long, vector array<float>")
+
+    shipped = {}
+    found = R._blocked_top_k(
+        stored(queries, ("row", "query_id")), stored(rows, ("case_row", "index_id")), k, exclude_self, block_bytes, shipped
+    )
+    got = defaultdict(list)
+    for r in found.orderBy("row", "rank").collect():
+        assert r["rank"] == len(got[r["row"]]) + 1
+        got[r["row"]].append((r["index_id"], r["similarity"]))
+    return got, shipped
+
+
+@pytest.mark.parametrize("exclude_self", [False, True])
+def test_pruned_blocks_give_all_neighbours(spark, exclude_self):
+    """On clusters most pairs of blocks are never compared; on random vectors none can be left out. Same rows."""
+    rng = np.random.default_rng(0)
+    for rows, prunes in ((clustered(1200, 24), True), (rng.normal(size=(600, 16)).astype("float32"), False)):
+        rows[7] = rows[3]
+        queries = rows[:400]
+        got, shipped = blocked(spark, rows, queries, 4, 16 * 8 * 60, exclude_self)
+        unit = rows.astype("float64") / np.linalg.norm(rows.astype("float64"), axis=1)[:, None]
+        sims = np.round(unit[:400] @ unit.T, 9)
+        if exclude_self:
+            sims[np.arange(400), np.arange(400)] = -np.inf
+        for i in range(400):
+            order = np.lexsort((np.arange(len(rows)), -sims[i]))[:4]
+            assert np.allclose([s for _, s in got[i]], sims[i][order], atol=2e-9)
+            if np.min(np.abs(np.diff(np.sort(sims[i])[::-1][:5]))) > 1e-8:
+                assert [x for x, _ in got[i]] == order.tolist()
+        if prunes:
+            assert sum(shipped["rounds"]) < 0.2 * shipped["all"]
+        assert len(shipped["rounds"]) <= 3
+
+
+def test_one_cell_larger_than_a_block_is_cut(spark):
+    rows = clustered(500, 1, spread=1e-4)
+    got, _ = blocked(spark, rows, rows[:50], 3, 16 * 8 * 40)
+    assert len(got) == 50 and all(len(v) == 3 for v in got.values())
+
+
+@pytest.mark.parametrize("limits", [{}, BLOCKED])
+def test_ids_of_other_types(spark, limits):
+    rows = [(f"m{i:02d}", f"t{i}", f"r{i}", [float(np.cos(i)), float(np.sin(i))]) for i in range(40)]
+    index = spark.createDataFrame(rows, TEXTS.replace("message_id long", "message_id string"))
+    top = top_k_similar(index, index, "message_id", "message_id", 2, True, **limits).where("rank = 1")
+    assert dict(top.schema["query_id"].jsonValue())["type"] == top.schema["index_id"].jsonValue()["type"] == "string"
+    angles = lambda i: min((j for j in range(40) if j != i), key=lambda j: (-round(np.cos(i - j), 6), j))
+    assert {r.query_id: r.index_id for r in top.collect()} == {f"m{i:02d}": f"m{angles(i):02d}" for i in range(40)}
+    # queries whose ids are of another type: numbers that name no case, and one that does
+    numbers = spark.createDataFrame([(5, [1.0, 0.0]), (None, [0.0, 1.0])], "message_id int, embedding array<float>")
+    found = top_k_similar(numbers, index.withColumn("message_id", F.substring("message_id", 3, 2)).where("message_id < '9'"), "message_id", "message_id", 1, True, **limits)
+    assert sorted(str(r.query_id) for r in found.collect()) == ["5", "None"]
+
+
 def test_index_size_is_checked(spark):
     df = frame(spark, vectors())
     assert broadcast_index(df, "message_id", max_bytes=100) is None
