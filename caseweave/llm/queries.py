@@ -11,6 +11,7 @@ from caseweave.llm import (
     decontaminate,
     filter_audit,
     html,
+    lexical,
     near_dedup,
     packing,
     pii,
@@ -89,6 +90,11 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_passages(read(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical.search_all(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -111,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_filter,
         op9_packing,
         op10_repeated_passages,
+        op11_ranked_search,
         op12_filter_audit,
         op13_repeated_windows,
     )
@@ -186,6 +193,35 @@ ORACLE: dict[str, str] = {
             CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
         FROM r
     """,
+    "op11_ranked_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), q AS (
+            SELECT DISTINCT item_id,
+                unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ), s AS (
+            SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d
+        ), m AS (
+            SELECT r, doc_id, CAST(50 + (50 * len(w) * n_docs) // n_terms AS BIGINT) AS m FROM d, s WHERE len(w) > 0
+        ), tf AS (
+            SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term
+        ), wt AS (
+            SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+            FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), s
+        ), sc AS (
+            SELECT item_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+            FROM q JOIN wt USING (term) JOIN tf USING (term) JOIN m USING (r) GROUP BY item_id, r
+        ), ranked AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+            FROM sc JOIN m USING (r) WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+    """,
     "op12_filter_audit": r"""
         WITH d AS (
             SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,

@@ -70,6 +70,15 @@ def _unpack(data: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(width, n).T).view(dtype).reshape(n)
 
 
+def _heads(a: np.ndarray, *more: np.ndarray) -> np.ndarray:
+    """Where sorted rows differ from the row before."""
+    new = np.ones(len(a), bool)
+    new[1:] = a[1:] != a[:-1]
+    for b in more:
+        new[1:] |= b[1:] != b[:-1]
+    return new
+
+
 # ---------------------------------------------------------------------------------------- chunks
 def _chunked(window: int, chunk_bytes: int):
     """Rows of (chunk, ids, sizes, data, n_windows): the texts of some documents, compressed together."""
@@ -197,10 +206,11 @@ def _sketch_answers(group: pa.Table) -> pa.Table:
     """Merges the shares of one slice of one sketch row; a bit per cell and chunk: counted twice or more."""
     parts = [np.cumsum(_unpack(x.as_py(), np.uint32).astype(np.uint64)) for x in group.column("share")]
     merged = np.sort(np.concatenate(parts))
-    often = np.unique(merged[1:][merged[1:] == merged[:-1]])
+    often = merged[1:][merged[1:] == merged[:-1]]
+    often = often[_heads(often)]
     answers = []
     for part in parts:
-        own = part[np.append(True, part[1:] != part[:-1])]
+        own = part[_heads(part)]
         at = np.minimum(np.searchsorted(often, own), max(0, len(often) - 1))
         answers.append(np.packbits(often[at] == own if len(often) else np.zeros(len(own), bool)).tobytes())
     return pa.table(
@@ -208,22 +218,14 @@ def _sketch_answers(group: pa.Table) -> pa.Table:
     )
 
 
-def _marked(values: np.ndarray, bits: int, layout: _Layout, answers: dict[int, bytes]) -> np.ndarray:
-    """The distinct sorted values whose bit is set; ``answers``: slice -> bits of its values."""
+def _bits(values: np.ndarray, bits: int, layout: _Layout, answers: dict[int, bytes]) -> np.ndarray:
+    """The answered bit of each of the distinct sorted values; ``answers``: slice -> bits of its values."""
     cut = layout.cut(values, bits)
     flags = np.zeros(len(values), bool)
     for i in np.flatnonzero(np.diff(cut)).tolist():
         n = int(cut[i + 1] - cut[i])
         flags[cut[i] : cut[i + 1]] = np.unpackbits(np.frombuffer(answers[i], np.uint8), count=n).astype(bool)
-    return values[flags]
-
-
-def _contains(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
-    if not len(sorted_values):
-        return np.zeros(len(x), bool)
-    at = np.searchsorted(sorted_values, x)
-    at[at == len(sorted_values)] = 0
-    return sorted_values[at] == x
+    return flags
 
 
 def _candidates(w: _Windows, layout: _Layout, answers: dict[int, dict[int, bytes]]) -> np.ndarray:
@@ -231,7 +233,10 @@ def _candidates(w: _Windows, layout: _Layout, answers: dict[int, dict[int, bytes
     pick = np.ones(len(w.key), bool)
     for step in range(DEPTH):
         cells = layout.cells(w.key, step)
-        pick &= _contains(_marked(np.unique(cells), layout.bits, layout, answers.get(step, {})), cells)
+        order = np.argsort(cells)
+        cells = cells[order]
+        new = _heads(cells)
+        pick[order] &= _bits(cells[new], layout.bits, layout, answers.get(step, {}))[np.cumsum(new) - 1]
     return np.flatnonzero(pick)
 
 
@@ -242,8 +247,7 @@ class _Exact:
         key, second, ids = w.key[pick], w.second(pick), w.ids[w.owner(pick)]
         order = np.lexsort((ids, second, key))
         key, second = key[order], second[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (second[1:] != second[:-1])
+        new = _heads(key, second)
         self.pick, self.ids = pick[order], ids[order]
         self.group = np.cumsum(new) - 1
         self.key, self.second, self.first = key[new], second[new], self.ids[new]
@@ -293,8 +297,7 @@ def _exact_answers(group: pa.Table) -> pa.Table:
     del keys, seconds, firsts
     order = np.lexsort((first, second, key))
     key, second, ids = key[order], second[order], first[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (second[1:] != second[:-1])
+    new = _heads(key, second)
     low = ids[new][np.cumsum(new) - 1]
     later = np.zeros(len(key), bool)
     later[order] = ids > low
@@ -318,11 +321,7 @@ def _removed(layout: _Layout, window: int, with_text: bool):
             w = _Windows(row["ids"], row["sizes"], row["data"], window)
             answers = _answers_of(told)
             exact = _Exact(w, _candidates(w, layout, answers))
-            elsewhere = np.zeros(len(exact.key), bool)
-            cut = layout.cut(exact.key, 64)
-            for i in np.flatnonzero(np.diff(cut)).tolist():
-                bits = np.frombuffer(answers[DEPTH][i], np.uint8)
-                elsewhere[cut[i] : cut[i + 1]] = np.unpackbits(bits, count=int(cut[i + 1] - cut[i])).astype(bool)
+            elsewhere = _bits(exact.key, 64, layout, answers.get(DEPTH, {}))
             goes = elsewhere[exact.group] | (exact.ids > exact.first[exact.group])
             at = w.at[exact.pick[goes]]
             edge = np.zeros(len(w.words) + 1, np.int32)
