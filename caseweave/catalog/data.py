@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caseweave import fixed, schemas
 from caseweave.functions.keywords import add_keyword_intent, rule_decision
 from caseweave.functions.text import clean_text, fill_text
+from caseweave.operators import clustering
 from caseweave.plans.prepare import clean_pairs
 from caseweave.sources.conversations import TURNS_PER_CONVERSATION, tweets_from_turns
 from caseweave.sources.tables import read_table, spread_few_splits
@@ -291,6 +292,108 @@ def sql_retrieved(
     FROM nearest n JOIN idx i ON i.message_id = n.case_id)"""
 
 
+def sql_embedded(name: str, source: str, key: str, text: str, n_features: int) -> str:
+    """CTE ``name(key, vector, norm)``: hashed words weighted by rarity, of unit length."""
+    words = f"unnest(regexp_extract_all(lower(coalesce({text}, '')), {q(fixed.NONSPACE_CLASS + '+')}))"
+    return f"""
+    {name}_words AS MATERIALIZED (
+        SELECT key, {sql_hash("word")} % {n_features} AS feature, count(*) AS n
+        FROM (SELECT {key} AS key, {words} AS word FROM {source}) GROUP BY ALL),
+    {name}_weights AS MATERIALIZED (
+        SELECT feature, ln(((SELECT count(*) FROM {source}) + 1)::DOUBLE / (count(*) + 1)) AS weight
+        FROM {name}_words GROUP BY feature),
+    {name}_values AS MATERIALIZED (
+        SELECT key, feature, n * weight AS value, sqrt(sum((n * weight) ** 2) OVER (PARTITION BY key)) AS norm
+        FROM {name}_words JOIN {name}_weights USING (feature)),
+    {name} AS MATERIALIZED (
+        SELECT s.key, list(coalesce((v.value / nullif(v.norm, 0))::FLOAT, 0::FLOAT)::DOUBLE ORDER BY s.feature) AS vector,
+               coalesce(max(v.norm), 0.0) AS norm
+        FROM (SELECT {key} AS key, feature FROM {source}, range({n_features}) AS f(feature)) s
+        LEFT JOIN {name}_values v ON v.key = s.key AND v.feature = s.feature
+        GROUP BY s.key)"""
+
+
+def sql_kmeans(points: str, steps: int, seed: int = fixed.DISCOVERY_SEED) -> str:
+    """CTEs ``km_centres(cluster, x)`` and ``km_assigned(key, cluster, far)`` of ``points(key, x)``.
+
+    The same draws, reductions and steps for every start as in ``operators.clustering``, with room for
+    ``steps`` of the latter; those after the last that moves a centre change nothing.
+    """
+    k, starts = fixed.N_CLUSTERS, fixed.N_CLUSTER_STARTS
+    far = f"round(list_distance(p.x, c.x) ** 2, {clustering.DECIMALS})"
+    factors = ", ".join(
+        f"({r}, {s}, {a}, {b})"
+        for r in range(clustering.INIT_ROUNDS + 1)
+        for s in range(starts)
+        for a, b in [clustering.draw_factors(seed, s, r)]
+    )
+    parts = [
+        f"km_points AS MATERIALIZED (SELECT key, {sql_hash('key')} AS hash, x FROM {points})",
+        f"""km_chances AS MATERIALIZED (
+            SELECT r, s, key, x, ((hash * a + b) % {clustering._PRIME})::DOUBLE / {clustering._PRIME} AS u
+            FROM km_points, (VALUES {factors}) AS f(r, s, a, b))""",
+        """km_drawn0 AS MATERIALIZED (
+            SELECT s, 0 AS idx, x FROM km_chances WHERE r = 0
+            QUALIFY row_number() OVER (PARTITION BY s ORDER BY u, key) = 1)""",
+    ]
+    for r in range(1, clustering.INIT_ROUNDS + 1):
+        parts += [
+            f"""km_far{r} AS MATERIALIZED (
+                SELECT s, key, min({far}) AS far FROM km_points p, km_drawn{r - 1} c GROUP BY s, key)""",
+            f"""km_drawn{r} AS MATERIALIZED (
+                SELECT s, idx, x FROM km_drawn{r - 1} UNION ALL
+                SELECT s, {r} * 1000000 + row_number() OVER (PARTITION BY s ORDER BY u, key) AS idx, x
+                FROM (SELECT c.s, c.key, c.x, c.u, f.far, sum(f.far) OVER (PARTITION BY c.s) AS total
+                      FROM km_chances c JOIN km_far{r} f ON f.s = c.s AND f.key = c.key WHERE c.r = {r})
+                WHERE u * (total / {clustering.OVERSAMPLING * k}) < far)""",
+        ]
+    last = clustering.INIT_ROUNDS
+    parts += [
+        f"""km_near AS MATERIALIZED (
+            SELECT c.s, c.idx FROM km_points p, km_drawn{last} c
+            QUALIFY row_number() OVER (PARTITION BY c.s, p.key ORDER BY {far}, c.idx) = 1)""",
+        f"""km_weighed AS MATERIALIZED (
+            SELECT d.s, d.idx, d.x, count(n.idx) AS w FROM km_drawn{last} d LEFT JOIN km_near n ON n.s = d.s AND n.idx = d.idx
+            GROUP BY d.s, d.idx, d.x)""",
+        """km_first0 AS MATERIALIZED (
+            SELECT s, 0 AS cluster, x FROM km_weighed QUALIFY row_number() OVER (PARTITION BY s ORDER BY w DESC, idx) = 1)""",
+    ]
+    for j in range(1, k):
+        parts.append(
+            f"""km_first{j} AS MATERIALIZED (
+                SELECT * FROM km_first{j - 1} UNION ALL
+                SELECT s, {j} AS cluster, x FROM (
+                    SELECT p.s, p.idx, p.x, p.w * min({far}) AS score
+                    FROM km_weighed p JOIN km_first{j - 1} c ON c.s = p.s GROUP BY p.s, p.idx, p.x, p.w)
+                WHERE score > 0
+                QUALIFY row_number() OVER (PARTITION BY s ORDER BY score DESC, idx) = 1)"""
+        )
+    parts.append(f"km_step0 AS MATERIALIZED (SELECT * FROM km_first{k - 1})")
+    near = f"""SELECT p.key, c.s, c.cluster, {far} AS far FROM km_points p, {{centres}} c
+            QUALIFY row_number() OVER (PARTITION BY c.s, p.key ORDER BY {far}, c.cluster) = 1"""
+    for t in range(1, steps + 1):
+        parts.append(
+            f"""km_step{t} AS MATERIALIZED (
+                SELECT c.s, c.cluster, coalesce(m.x, c.x) AS x
+                FROM km_step{t - 1} c LEFT JOIN (
+                    SELECT s, cluster, list(v ORDER BY i) AS x FROM (
+                        SELECT a.s, a.cluster, i, avg(p.x[i]) AS v
+                        FROM ({near.format(centres=f"km_step{t - 1}")}) a
+                        JOIN km_points p ON p.key = a.key, unnest(range(1, len(p.x) + 1)) AS d(i) GROUP BY ALL)
+                    GROUP BY s, cluster) m ON m.s = c.s AND m.cluster = c.cluster)"""
+        )
+    return ", ".join(
+        [
+            *parts,
+            f"km_all AS MATERIALIZED ({near.format(centres=f'km_step{steps}')})",
+            """km_best AS MATERIALIZED (
+                SELECT s FROM km_all GROUP BY s ORDER BY round(sum(far), 6), s LIMIT 1)""",
+            f"km_centres AS MATERIALIZED (SELECT cluster, x FROM km_step{steps} WHERE s = (SELECT s FROM km_best))",
+            "km_assigned AS MATERIALIZED (SELECT key, cluster, far FROM km_all WHERE s = (SELECT s FROM km_best))",
+        ]
+    )
+
+
 PAIR_CTES = f"WITH {TWEETS}, {RAW_PAIRS}, {CLEAN_PAIRS}"
 CASE_CTES = f"{PAIR_CTES}, {CASES}, {INDEX}, {sql_retrieved()}"
 

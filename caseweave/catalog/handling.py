@@ -106,14 +106,18 @@ def cluster_representatives(spark, sf):
     )
 
 
+#: Steps that the SQL twins of k-means have room for.
+KMEANS_STEPS, DISCOVERY_STEPS = 32, 20
+
+
 def kmeans_sizes(spark, sf):
-    assigned, _ = run_clustering(D.table(spark, sf, "embeddings"))
+    assigned, _ = run_clustering(D.table(spark, sf, "embeddings"), key="vec_id", tolerance=0.0)
     return cluster_sizes(assigned)
 
 
 def kmeans_checks(spark, sf):
     """What must hold of any clustering: every row assigned, and to its nearest centre."""
-    assigned, model = run_clustering(D.table(spark, sf, "embeddings"))
+    assigned, model = run_clustering(D.table(spark, sf, "embeddings"), key="vec_id")
     centres = [[float(x) for x in c] for c in model.clusterCenters()]  # as many as clusters
     point = F.col("embedding").cast("array<double>")
     distances = F.array(*(V.euclidean(point, F.lit(c)) for c in centres))
@@ -128,7 +132,7 @@ def kmeans_checks(spark, sf):
 
 def discovered(spark, sf):
     """Typical messages of the clusters of a sample of the documents."""
-    found = discover_intents(D.documents(spark, sf), key="message_id")
+    found = discover_intents(D.documents(spark, sf), key="message_id", tolerance=0.0)
     return found.examples.select(
         "cluster", "rank", "message_id", F.round("distance", 4).alias("distance")
     )
@@ -255,7 +259,12 @@ def embedded_index(spark, sf):
     model = fit_embedder(docs, "customer_msg_clean")
     index = build_index(docs, lambda df: embed(df, "customer_msg_clean", model), "message_id")
     norm = F.when(F.abs(F.col("norm") - 1) < 1e-4, 1.0).when(F.col("norm") == 0, 0.0)
-    return index.select("message_id", F.size("embedding").alias("n_dims"), norm.alias("norm"))
+    # every value counts, with its place
+    whole = F.transform("embedding", lambda x, i: F.round(x.cast("double") * 1_000_000).cast("bigint") * (i + 1))
+    return index.select(
+        "message_id", F.size("embedding").alias("n_dims"), norm.alias("norm"),
+        F.aggregate(whole, F.lit(0).cast("bigint"), lambda total, x: total + x).alias("checksum"),
+    )
 
 
 def handled_from_text(spark, sf):
@@ -370,7 +379,7 @@ _BODY = D.sql_unfence("raw")
 _KNOWN = D.sql_in(list(fixed.INTENTS))
 
 
-def _handle_sql(source: str) -> str:
+def _handle_sql(source: str, decimals: int = 6) -> str:
     """Result columns for ``source(message_id, message, embedding)`` and the index ``idx``."""
     return f"""
     best AS MATERIALIZED (
@@ -383,7 +392,7 @@ def _handle_sql(source: str) -> str:
         FROM {source} m JOIN best b ON m.message_id IS NOT DISTINCT FROM b.message_id),
     sure AS MATERIALIZED (SELECT *, {D.sql_confidence("intent")} AS confidence FROM labelled)
     SELECT message_id, message, intent, confidence, trim(reply) AS drafted_reply,
-           round(top_similarity, 6) AS top_similarity,
+           round(top_similarity, {decimals}) AS top_similarity,
            {D.sql_decision("intent", "confidence", "top_similarity")}
     FROM sure"""
 
@@ -437,6 +446,23 @@ ORACLE = {
                (row_number() OVER (PARTITION BY cluster ORDER BY distance, vec_id))::INTEGER AS rank
         FROM distances
         QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY distance, vec_id) <= 8""",
+    "q22_kmeans_sizes": f"""WITH km AS MATERIALIZED (SELECT vec_id AS key, embedding::DOUBLE[] AS x FROM embeddings),
+        {D.sql_kmeans("km", KMEANS_STEPS)}
+        SELECT cluster, count(*) AS n_rows FROM km_assigned GROUP BY cluster""",
+    "q22_discover_intents": f"""WITH {D.DOCS},
+        drawn AS MATERIALIZED (
+            SELECT message_id, customer_msg_clean FROM docs
+            ORDER BY {D.sql_sample_order(fixed.DISCOVERY_SEED, "message_id")}, message_id
+            LIMIT {fixed.DISCOVERY_SAMPLE_SIZE}),
+        {D.sql_embedded("embedded", "drawn", "message_id", "customer_msg_clean", N_FEATURES)},
+        km AS MATERIALIZED (SELECT key, vector AS x FROM embedded),
+        {D.sql_kmeans("km", DISCOVERY_STEPS)},
+        ranked AS (
+            SELECT a.cluster, a.key AS message_id, round(list_distance(k.x, c.x), 9) AS distance
+            FROM km_assigned a JOIN km k ON k.key = a.key JOIN km_centres c ON c.cluster = a.cluster)
+        SELECT cluster, row_number() OVER (PARTITION BY cluster ORDER BY distance, message_id)::INTEGER AS rank,
+               message_id, round(distance, 4) AS distance
+        FROM ranked QUALIFY rank <= {fixed.EXAMPLES_PER_CLUSTER}""",
     "q22_kmeans_checks": f"""
         SELECT count(*) AS n_rows, count(*) AS n_assigned,
                least(count(*), {fixed.N_CLUSTERS})::BIGINT AS n_clusters, 0::BIGINT AS n_misplaced
@@ -445,11 +471,24 @@ ORACLE = {
         SELECT message_id, true AS complete FROM docs
         ORDER BY {D.sql_sample_order(fixed.DISCOVERY_SEED, "message_id")}, message_id
         LIMIT {fixed.DISCOVERY_SAMPLE_SIZE}""",
-    "q30_embed_index": f"""WITH {D.DOCS}
-        SELECT message_id, {N_FEATURES} AS n_dims,
-               CASE WHEN {D.sql_words("customer_msg_clean")} > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS norm
-        FROM docs ORDER BY {D.sql_sample_order(fixed.INDEX_SEED, "message_id")}, message_id
-        LIMIT {fixed.INDEX_SAMPLE_SIZE}""",
+    "q30_embed_index": f"""WITH {D.DOCS},
+        {D.sql_embedded("embedded", "docs", "message_id", "customer_msg_clean", N_FEATURES)},
+        chosen AS (
+            SELECT message_id FROM docs ORDER BY {D.sql_sample_order(fixed.INDEX_SEED, "message_id")}, message_id
+            LIMIT {fixed.INDEX_SAMPLE_SIZE})
+        SELECT c.message_id, len(vector)::INTEGER AS n_dims, CASE WHEN norm > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS norm,
+               list_sum(list_transform(vector, lambda x, i: round(x * 1000000)::BIGINT * i))::BIGINT AS checksum
+        FROM chosen c JOIN embedded e ON e.key = c.message_id""",
+    "q30_handle_embedded": f"""{D.PAIR_CTES},
+        texts AS MATERIALIZED (
+            SELECT brand_tweet_id AS message_id, customer_msg_clean, brand_reply_clean FROM clean_pairs),
+        {D.sql_embedded("embedded", "texts", "message_id", "customer_msg_clean", N_FEATURES)},
+        cases AS MATERIALIZED (
+            SELECT t.*, e.vector AS embedding, e.norm FROM texts t JOIN embedded e ON e.key = t.message_id),
+        {D.INDEX},
+        {D.sql_retrieved(allowed="m.message_id <> i.message_id AND m.norm > 0 AND i.norm > 0")},
+        messages AS MATERIALIZED (SELECT message_id, customer_msg_clean AS message FROM cases),
+        {_handle_sql("messages", 4)}""",
     "q23_classify_prompt": f"""{D.PAIR_CTES}
         SELECT brand_tweet_id AS message_id, {D.sql_fill(
             fixed.CLASSIFY_PROMPT, {**D.PROMPT_CONSTANTS, "message": "customer_msg_clean"}
@@ -501,7 +540,9 @@ ORACLE = {
         FROM sized""",
     "q27_grounded_prompt": f"""{D.CASE_CTES},
         examples AS MATERIALIZED (
-            SELECT message_id, string_agg({_EXAMPLE}, '' ORDER BY rank) AS examples
+            SELECT message_id, {" || ".join(
+                f"coalesce(max({_EXAMPLE}) FILTER (rank = {i + 1}), '')" for i in range(fixed.RETRIEVED_PER_MESSAGE)
+            )} AS examples
             FROM found GROUP BY message_id)
         SELECT m.message_id, {D.sql_fill(
             fixed.REPLY_PROMPT,

@@ -3,23 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseweave import fixed
 from caseweave.functions.prompts import classify_batch_prompt, classify_prompt
 from caseweave.functions.responses import parse_label, parse_label_batch
+from caseweave.operators.numbering import number_rows
 from caseweave.operators.providers import Provider
 
 #: Buckets that messages are numbered in. A run fixes the number and keeps it: a message's batch then
 #: depends on the other members of its bucket only, however large the table is or becomes.
 N_BUCKETS = 8
-ROWS_PER_BUCKET = 30_000  # that a task numbers comfortably
-
-
-def buckets_for(n_rows: int) -> int:
-    """A number of buckets for a run over about ``n_rows`` messages; keep it when the run resumes."""
-    return max(N_BUCKETS, -(-n_rows // ROWS_PER_BUCKET))
 
 
 def classify(
@@ -45,19 +39,17 @@ def message_batches(
 ) -> DataFrame:
     """Batches of messages with their prompt: ``(bucket, batch, items, prompt)``.
 
-    Messages are numbered inside ``n_buckets`` hash buckets, by key.  The caller fixes their number
-    (see :func:`buckets_for`), so another message changes the batches of its own bucket only.
+    Messages are numbered inside ``n_buckets`` hash buckets, by key.  The caller fixes their number,
+    so another message changes the batches of its own bucket only.  Numbering is distributed
+    (:mod:`caseweave.operators.numbering`): a task's share does not depend on the number of buckets.
     ``items`` is an array of ``struct<index, key, message>`` with at most ``batch_size`` members.
     ``key`` identifies a message.
     """
     digits = F.substring(F.md5(F.col(key).cast("string")), 1, 8)
     bucket = F.pmod(F.conv(digits, 16, 10).cast("bigint"), F.lit(n_buckets).cast("bigint"))
-    number = F.row_number().over(W.partitionBy("bucket").orderBy("key")) - 1
+    messages = df.select(F.col(key).alias("key"), F.col(text).alias("message"), bucket.alias("bucket"))
     return (
-        df.select(
-            F.col(key).alias("key"), F.col(text).alias("message"), bucket.alias("bucket")
-        )
-        .withColumn("number", number)
+        number_rows(messages, "bucket", "key", "number")
         .withColumn("batch", F.floor(F.col("number") / batch_size))
         .groupBy("bucket", "batch")
         .agg(

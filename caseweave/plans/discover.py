@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from caseweave import fixed
 from caseweave.operators.clustering import (
-    cluster_sizes, model_centres, nearest_per_cluster, run_clustering,
+    TOLERANCE, cluster_sizes, model_centres, nearest_per_cluster, run_clustering,
 )
 from caseweave.operators.embedding import embed, fit_embedder
 from caseweave.operators.sampling import sample_exact
@@ -32,13 +32,15 @@ def discover_intents(
     n_starts: int = fixed.N_CLUSTER_STARTS,
     n_examples: int = fixed.EXAMPLES_PER_CLUSTER,
     max_iter: int = fixed.MAX_CLUSTER_ITERATIONS,
+    tolerance: float = TOLERANCE,
 ) -> Discovery:
     """Cluster a sample of messages and list the messages nearest to each centre."""
     sample = store_stage(sample_exact(pairs, n, seed, key), "sample")
     embedded = store_stage(embed(sample, text, fit_embedder(sample, text)), "discovery")
     assigned, model = run_clustering(
-        embedded, n_clusters, seed, n_starts, max_iter=max_iter
+        embedded, n_clusters, seed, n_starts, max_iter=max_iter, key=key, tolerance=tolerance
     )
+    assigned = store_stage(assigned, "assigned")
     nearest = nearest_per_cluster(
         assigned, model_centres(assigned, model), "cluster", key, n_examples
     )

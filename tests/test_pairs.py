@@ -4,7 +4,7 @@ from pyspark.sql import Row
 
 from caseweave import schemas
 from caseweave.operators.filters import drop_short
-from caseweave.operators.lookup import hot_keys, lookup_join
+from caseweave.operators.lookup import hot_keys, key_filter, lookup_join, only_wanted
 from caseweave.operators.pairs import (
     add_clean, filter_brand_replies, keep_first, reconstruct_pairs, reply_outcomes,
     stage_counts,
@@ -114,8 +114,7 @@ def test_one_parent_with_a_third_of_all_replies(spark, plan_of):
     copies = [(7, "u", True, "z", "a later copy", None, None)] * 50
     tweets = tweets_frame(spark, customers + copies + replies)
     brand = filter_brand_replies(tweets, "B")
-    salts = hot_keys(brand, F.col("in_response_to_tweet_id"), min_rows=50).first().salts
-    assert list(salts) == [7] and salts[7] >= 6
+    assert [tuple(r) for r in hot_keys(brand, F.col("in_response_to_tweet_id"), min_rows=50).collect()] == [(7, 7)]
     split = reconstruct_pairs(tweets, brand, hot_key_rows=50)
     plain = reconstruct_pairs(tweets, brand)
     assert split.count() == 900
@@ -126,6 +125,30 @@ def test_one_parent_with_a_third_of_all_replies(spark, plan_of):
     assert "WindowGroupLimit" in plan and "Partial" in plan and "CartesianProduct" not in plan
 
 
+def test_more_hot_keys_than_any_list_of_fixed_size(spark):
+    facts = spark.range(20_000).select("id", (F.col("id") % 2000).alias("k"))
+    dims = spark.range(2500).select(F.col("id").alias("d"), F.concat(F.lit("t"), F.col("id")).alias("text"))
+    assert hot_keys(facts, F.col("k"), min_rows=10).count() == 2000
+    joined = lookup_join(facts, dims, "k", "d", "id", hot_key_rows=10)
+    assert joined.count() == 20_000 and joined.where("text <> concat('t', k)").count() == 0
+
+
+def test_rows_that_nobody_points_at_are_dropped_at_the_scan(spark, plan_of):
+    """What is shuffled follows the replies, not the table of parents."""
+    replies = spark.range(300).select("id", (F.col("id") * 97).alias("k"))
+    wanted, n_bits, n = key_filter(replies, "k")
+    parents = spark.range(30_000).select(F.col("id").alias("d"), F.repeat(F.lit("x"), 100).alias("text"))
+    left = only_wanted(parents, "d", wanted, n_bits)
+    assert n == 300 and 300 <= left.count() < 400
+    assert left.join(replies, left["d"] == replies["k"]).count() == 300
+    assert "Exchange hashpartitioning" not in plan_of(left)
+    for how, rows in (("inner", 300), ("left", 310)):
+        facts = replies.unionByName(spark.range(10).select(F.col("id") + 1000, F.lit(None).cast("long").alias("k")).toDF("id", "k"))
+        assert lookup_join(facts, parents, "k", "d", "id", how).count() == rows
+    none = spark.range(0).select("id", F.col("id").alias("k"))
+    assert lookup_join(none, parents, "k", "d", "id").count() == 0
+
+
 def test_left_lookup_spreads_missing_keys(spark):
     facts = spark.range(1000).select("id", F.expr("if(id % 2 = 0, id, null)").alias("k"))
     dims = spark.range(100).select(F.col("id").alias("d"), F.lit("x").alias("v"))

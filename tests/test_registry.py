@@ -27,7 +27,7 @@ def duck():
 def test_every_twin_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
     own = {name for name in QUERIES if name.startswith("q")}  # others are tested with their operators
-    assert own - set(ORACLE) == {"q22_kmeans_sizes", "q22_discover_intents", "q30_handle_embedded"}
+    assert own <= set(ORACLE)
 
 
 @pytest.mark.parametrize("name", [name for name in QUERIES if name.startswith("q") or name in ORACLE])

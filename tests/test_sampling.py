@@ -3,6 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from caseweave.operators import sampling
 from caseweave.operators.sampling import sample_exact, sample_per_group, sample_prefix
 
 
@@ -19,6 +20,28 @@ def test_exact_size_and_same_rows(spark, n, partitions):
     assert got == expected(1000, n, 42)
 
 
+@pytest.mark.parametrize("slot_rows", [1, 10_000])
+@pytest.mark.parametrize("n", [1, 50, 999, 1000, 5000])
+def test_large_samples_are_the_same_rows(spark, plan_of, monkeypatch, n, slot_rows):
+    """Found by refining the slot of the last row; nothing is limited in one task."""
+    monkeypatch.setattr(sampling, "ONE_TASK_ROWS", 0)
+    monkeypatch.setattr(sampling, "SLOT_ROWS", slot_rows)
+    df = spark.range(1000).repartition(5)
+    chosen = sample_exact(df, n, 42, "id")
+    assert [r.id for r in chosen.collect()] == expected(1000, n, 42)
+    assert "TakeOrdered" not in plan_of(chosen)
+
+
+def test_large_samples_of_repeated_keys(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "ONE_TASK_ROWS", 0)
+    df = spark.range(300).select((F.col("id") % 3).alias("id"), F.lit("x").alias("text"))
+    for n in (0, 1, 100, 101, 250, 300, 400):
+        got = sample_exact(df, n, 7, "id").collect()
+        assert len(got) == min(n, 300)
+    few = sample_exact(spark.createDataFrame([("a",), (None,), ("b",)], "id string"), 2, 1, "id")
+    assert few.count() == 2
+
+
 def test_prefix_and_seeds(spark):
     df = spark.range(500)
     whole = [r.id for r in sample_exact(df, 100, 7, "id").collect()]

@@ -5,11 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseweave.functions import vectors as V
+from caseweave.operators import clustering as C
 from caseweave.operators import retrieval as R
 from caseweave.operators.clustering import (
     cluster_sizes, mean_centres, model_centres, nearest_per_cluster, run_clustering,
 )
-from caseweave.operators.embedding import embed, embed_with, fit_embedder
+from caseweave.operators.embedding import (
+    embed, embed_with, fit_embedder, load_embedder, save_embedder, word_feature,
+)
 from caseweave.operators.retrieval import (
     add_norm, broadcast_index, build_index, partial_index, retrieve_similar, sample_index,
     top_k_similar, top_similarity,
@@ -256,6 +259,88 @@ def test_user_embedder(spark):
     assert [list(r.embedding) for r in got] == [[i, 1.0] for i in range(5)]
 
 
+def test_embedders_of_parts_add_up(spark, tmp_path):
+    texts = [f"word{i % 7} word{i % 3} Battery\u00a0{i}" for i in range(40)] + ["", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "message_id long, t string")
+    whole = fit_embedder(df, "t", 64)
+    assert whole == fit_embedder(df.where("message_id < 13"), "t", 64) + fit_embedder(df.where("message_id >= 13"), "t", 64)
+    save_embedder(spark, whole, str(tmp_path / "model"))
+    assert load_embedder(spark, str(tmp_path / "model")) == whole
+    # values by hand
+    words = [[w for w in (t or "").lower().replace("\u00a0", " ").split(" ") if w] for t in texts]
+    found = [{word_feature(w, 64) for w in ws} for ws in words]
+    for r in embed(df, "t", whole).collect():
+        values = np.zeros(64)
+        for w in words[r.message_id]:
+            feature = word_feature(w, 64)
+            values[feature] += np.log((len(texts) + 1) / (sum(feature in f for f in found) + 1))
+        norm = np.linalg.norm(values)
+        assert np.allclose(r.embedding, values / norm if norm else values, atol=1e-6)
+    with pytest.raises(ValueError, match="features"):
+        whole + fit_embedder(df, "t", 32)
+    assert fit_embedder(df.limit(0), "t", 4).n_docs == 0
+
+
+def brute_kmeans(rows, keys, k, seed, starts):
+    """All starts, one after another, in plain numpy."""
+    import hashlib
+
+    hashes = np.array([int(hashlib.md5(str(x).encode()).hexdigest()[:8], 16) for x in keys])
+    far = lambda c: np.round(((rows[:, None, :] - c[None]) ** 2).sum(2), 9)
+    best = None
+    for s in range(starts):
+        chance = lambda r: (hashes * C.draw_factors(seed, s, r)[0] + C.draw_factors(seed, s, r)[1]) % C._PRIME / C._PRIME
+        order = lambda r, at: [i for i in sorted(at, key=lambda i: (chance(r)[i], keys[i]))]
+        drawn = order(0, range(len(rows)))[:1]
+        for r in (1, 2):
+            d = far(rows[drawn]).min(1)
+            drawn = drawn + order(r, np.flatnonzero(chance(r) * (d.sum() / (2 * k)) < d))
+        weight = np.bincount(far(rows[drawn]).argmin(1), minlength=len(drawn))
+        centres = C._reduced(rows[drawn], weight, k)
+        while True:
+            at = far(centres).argmin(1)
+            moved = np.array([rows[at == j].mean(0) if (at == j).any() else c for j, c in enumerate(centres)])
+            if np.allclose(moved, centres, atol=1e-12):
+                break
+            centres = moved
+        cost = round(float(far(centres).min(1).sum()), 6)
+        if best is None or cost < best[0]:
+            best = cost, centres
+    return best
+
+
+@pytest.mark.parametrize("partitions", [1, 6])
+def test_all_starts_together_equal_one_after_another(spark, partitions):
+    rows = clustered(150, 6, dims=3, spread=0.4).astype("float64")
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "k long, embedding array<double>")
+    assigned, model = run_clustering(df.repartition(partitions), 4, seed=5, n_starts=6, key="k", tolerance=0.0)
+    cost, centres = brute_kmeans(rows, list(range(150)), 4, 5, 6)
+    assert np.allclose(model.centres, centres) and abs(model.cost - cost) < 1e-5
+    own = {r.k: r.cluster for r in assigned.collect()}
+    nearest = np.linalg.norm(rows[:, None] - centres[None], axis=2).argmin(1)
+    assert [own[i] for i in range(150)] == nearest.tolist()
+
+
+def test_starts_share_their_jobs(spark, monkeypatch):
+    """Ten starts take the jobs of the longest of them, not the sum of all."""
+    df = frame(spark, clustered(200, 8))
+    jobs = []
+    real = C._one_job
+    monkeypatch.setattr(C, "_one_job", lambda *a: jobs.append(1) or real(*a))
+    _, model = run_clustering(df, 8, n_starts=10, key="message_id")
+    assert len(jobs) == model.steps + C.INIT_ROUNDS + 2
+
+
+def test_points_that_cannot_be_clustered(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, [0.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [nan, 1.0]), (5, [5.0, 0.0])], "i long, embedding array<float>")
+    assigned, model = run_clustering(df, 4, n_starts=2, key="i")
+    got = {r.i: r.cluster for r in assigned.collect()}
+    assert len(model.centres) == 2 and got[1] == got[2] != got[5] and got[3] is got[4] is None
+    none, model = run_clustering(df.where("i = 3"), 2)
+    assert none.first().cluster is None and len(model.centres) == 0
+
+
 def test_clusters(spark, plan_of):
     rng = np.random.default_rng(1)
     centres = np.array([[0, 0], [10, 0], [0, 10]])
