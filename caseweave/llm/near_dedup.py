@@ -1,15 +1,19 @@
 """Near-duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
 A text is its weighted set of shingles (``SHINGLE`` words; a shorter text is one shingle): a shingle weighs its count
-times an inverse document frequency, ``ln(1 + N / (df + SMOOTHING * N))``. Document frequencies are counted over all
-documents in ``DF_BUCKETS`` hash buckets, so the table that every task gets has one fixed size; the smoothing keeps the
-weights alike at every size and keeps a large group of copies from making its own shingles weightless.
+times an inverse document frequency, ``ln(1 + 1 / (share + SMOOTHING))``, with the share of the documents that hold it.
+Shares of ``FREQUENT`` and more are counted exactly; below it all shingles weigh the same, as hardly any do otherwise. A
+document's weights therefore do not depend on the size of the table, and the frequent shingles, which every task gets, are
+at most ``1 / FREQUENT`` times as many as an average document has. They are found in two passes: counts in ``DF_BUCKETS``
+hash buckets leave few buckets that can hold one, at any size, unless documents have very many shingles; those in the
+buckets that are left are counted one by one. The smoothing keeps a large group of near copies from making its own shingles weightless, which
+would part the copies.
 
 Consistent weighted sampling draws ``BANDS * ROWS`` samples (shingle, level) per text: two texts agree on a sample
 with a probability equal to their weighted Jaccard similarity. Texts that agree on a whole band are candidates.
 Equal texts are one class from the start and take part once. Within a bucket of a band, texts are first compared with
 the bucket's leader and not all with all, which links most of a large group. Where candidates still fall into several
-components, they are put in blocks of ``BLOCK`` texts, by component, and pairs of blocks that share a bucket are
+components, they are put in blocks of ``BLOCK`` texts and ``BLOCK_SHINGLES`` shingles, by component, and pairs of blocks that share a bucket are
 compared in one task each, unless both hold one and the same component. A task skips pairs that are linked already and
 reports only links that join components. So no candidate pair that would join two components is left out, and no
 group is listed pair by pair. Each comparison computes the exact weighted Jaccard similarity of the two whole texts.
@@ -34,11 +38,12 @@ from caseweave.llm.words import mix, whole, windows, word_hashes
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 3
-DF_BUCKETS = 1 << 18
+DF_BUCKETS = 1 << 20
+FREQUENT = 0.01
 SMOOTHING = 0.5
 _DRAWS = 1 << 16
-#: Texts of a block that one task compares with another block.
-BLOCK = 256
+#: Texts of a block that one task compares with another block, and their shingles but for the last text's.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 20
 #: Bytes of a list of text keys up to which it is sent to every task.
 BROADCAST_BYTES = 32 << 20
 
@@ -85,20 +90,80 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch({"bucket": used.astype(np.int32), "df": counts[used]})
 
 
+def _members(buckets):
+    """How many of a task's documents hold each shingle of the given buckets (a broadcast bit per bucket)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+        def merged(parts) -> tuple[np.ndarray, np.ndarray]:
+            grams, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(grams, kind="stable")
+            grams, counts = grams[order], counts[order]
+            first = np.flatnonzero(np.append(True, grams[1:] != grams[:-1])) if len(grams) else np.zeros(0, np.int64)
+            return grams[first], np.add.reduceat(counts, first) if len(first) else counts
+
+        def rows() -> pa.RecordBatch:
+            return pa.record_batch({"gram": held[0].view(np.int64), "df": held[1]})
+
+        for batch in batches:
+            parts = [held]
+            for texts_ in steps(batch, "text"):
+                grams, _, _ = shingle_sets(*texts(texts_.column("text")))
+                own = np.sort(grams[buckets.value[_bucket(grams)]])
+                parts.append((own, np.ones(len(own), np.int64)))
+            held = merged(parts)
+            if len(held[0]) > 1 << 20:
+                yield rows()
+                held = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        yield rows()
+
+    return count
+
+
+def frequent_shingles(texts_: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """The number of documents, and the shingles that ``FREQUENT`` or more of them hold (ascending) with their counts."""
+    spark = texts_.sparkSession
+    n = texts_.count()
+    tables = stored(texts_.mapInArrow(_frequencies, "bucket int, df long"), "frequencies")
+    df = np.zeros(DF_BUCKETS, np.int64)  # of fixed size
+    for r in tables.groupBy("bucket").agg(F.sum("df").alias("df")).toArrow().to_batches():
+        df[r.column("bucket").to_numpy()] = r.column("df").to_numpy()
+    # a bucket's count is no less than that of any of its shingles
+    least = max(2, int(np.ceil(FREQUENT * n)))
+    wanted = df >= least
+    if not wanted.any():
+        return n, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    sent = spark.sparkContext.broadcast(wanted)
+    counted = stored(texts_.mapInArrow(_members(sent), "gram long, df long"), "members")
+    often = counted.groupBy("gram").agg(F.sum("df").alias("df")).where(F.col("df") >= least).toArrow()
+    grams, counts = often.column("gram").to_numpy().view(np.uint64), often.column("df").to_numpy()
+    order = np.argsort(grams)
+    return n, grams[order], counts[order]
+
+
 class Weights:
-    """Log weights of shingles, from the table of document frequencies."""
+    """Log weights of shingles: those of the frequent ones, and one for all others."""
 
-    def __init__(self, df: np.ndarray, n: int):
-        idf = np.log1p(max(1, n) / (df + SMOOTHING * max(1, n)))
+    def __init__(self, n: int, grams: np.ndarray, df: np.ndarray):
+        self.grams = grams
+        share = np.append(df / max(1, n), 0.0)  # the last is that of all other shingles
         # rounded, so that machines whose logarithms differ in the last bit agree
-        self.idf = np.round(idf, 6)
+        self.idf = np.round(np.log1p(1 / (share + SMOOTHING)), 6)
         self.log_idf = np.round(np.log(self.idf), 6)
 
+    def _at(self, grams: np.ndarray) -> np.ndarray:
+        if not len(self.grams):
+            return np.zeros(len(grams), np.int64)
+        at = np.searchsorted(self.grams, grams)
+        at[at == len(self.grams)] = 0
+        return np.where(self.grams[at] == grams, at, len(self.grams))
+
     def log(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return self.log_idf[_bucket(grams)] + np.round(np.log(counts), 6)
+        return self.log_idf[self._at(grams)] + np.round(np.log(counts), 6)
 
     def plain(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return self.idf[_bucket(grams)] * counts
+        return self.idf[self._at(grams)] * counts
 
 
 class Sampler:
@@ -130,7 +195,7 @@ class Sampler:
 
 
 def _signatures(weights, key: str):
-    """For each row: key, text key and band hashes. A text that a task meets again isn't sampled again."""
+    """For each row: key, text key, shingles and band hashes. A text that a task meets again isn't sampled again."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler, w, seen = Sampler(), weights.value, {}
@@ -150,12 +215,13 @@ def _signatures(weights, key: str):
                     bands = mix(bands + drawn[:, r::ROWS])
                 full = iter(bands)
                 for h, size in zip(rows.column("h").to_pylist(), np.diff(starts), strict=True):
-                    seen[h] = next(full).tobytes() if size else None
+                    seen[h] = (int(size), next(full).tobytes() if size else None)
             yield pa.record_batch(
                 {
                     "key": batch.column(key),
                     "h": batch.column("h"),
-                    "bands": pa.array([None if h is None else seen[h] for h in names], pa.binary()),
+                    "n_shingles": pa.array([0 if h is None else seen[h][0] for h in names], pa.int64()),
+                    "bands": pa.array([None if h is None else seen[h][1] for h in names], pa.binary()),
                 }
             )
             if len(seen) > 100_000:
@@ -318,13 +384,14 @@ def _linked(members: DataFrame, classes: DataFrame, keyed: DataFrame, weights, t
     families = components(pairs).withColumnRenamed("root", "family")
     state = families.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
     mixed = state.groupBy("family").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    state = stored(state.join(mixed.select("family"), "family", "left_semi").withColumn("one", F.lit(1)), "state")
+    state = state.join(mixed.select("family"), "family", "left_semi").join(classes.select("h", "n_shingles"), "h")
+    state = stored(state.withColumn("one", F.lit(1)), "state")
     if state.isEmpty():
         return roots
-    placed = ordered_starts(state, ["family"], ["root", "h"], {"place": "one"})
-    placed = stored(
-        placed.select("family", "h", "root", F.floor(F.col("place") / BLOCK).cast("long").alias("block")), "placed"
-    )
+    placed = ordered_starts(state, ["family"], ["root", "h"], {"place": "one", "shingles": "n_shingles"})
+    # the number rises where either count passes a whole block, so a block exceeds neither
+    block = F.floor(F.col("place") / BLOCK) + F.floor(F.col("shingles") / BLOCK_SHINGLES)
+    placed = stored(placed.select("family", "h", "root", block.cast("long").alias("block")), "placed")
     spread = stored(members.join(placed, "h").select("bucket", "family", "block").distinct(), "spread")
     met = (
         spread.withColumnRenamed("block", "i")
@@ -363,17 +430,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "d
     keyed = docs.select(F.col(key).alias("key"), F.col("text").cast("string").alias("text"))
     keyed = keyed.withColumn("h", F.unhex(F.md5("text")))
 
-    tables = stored(keyed.select("text").mapInArrow(_frequencies, "bucket int, df long"), "frequencies")
-    df = np.zeros(DF_BUCKETS, np.int64)  # of fixed size
-    for r in tables.groupBy("bucket").agg(F.sum("df").alias("df")).toArrow().to_batches():
-        df[r.column("bucket").to_numpy()] = r.column("df").to_numpy()
-    weights = spark.sparkContext.broadcast(Weights(df, keyed.count()))
+    weights = spark.sparkContext.broadcast(Weights(*frequent_shingles(keyed.select("text"))))
 
     signed = stored(
-        keyed.mapInArrow(_signatures(weights, "key"), f"key {kind}, h binary, bands binary"), "signatures"
+        keyed.mapInArrow(_signatures(weights, "key"), f"key {kind}, h binary, n_shingles long, bands binary"), "signatures"
     )
     classes = stored(
-        signed.where("h is not null").groupBy("h").agg(F.min("key").alias("low"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")),
+        signed.where("h is not null").groupBy("h").agg(F.min("key").alias("low"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles")),
         "classes",
     )
     numbers = F.sequence(F.lit(0), F.lit(BANDS - 1))

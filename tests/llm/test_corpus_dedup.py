@@ -10,7 +10,9 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from caseweave.llm import decontaminate, near_dedup, suffix_dedup
+from test_corpus_rules import brute_counts, brute_redact
+from test_corpus_text import check_packing
+from caseweave.llm import decontaminate, near_dedup, pii, quality, suffix_dedup
 from caseweave.llm.common import read
 from caseweave.session import scratch_path
 
@@ -47,11 +49,12 @@ def shingles(text):
 
 
 def brute_classes(rows, threshold=0.8):
-    """Classes by all pairs of distinct texts; document frequencies without hash buckets."""
+    """Classes by all pairs of distinct texts."""
     sets = [shingles(t) for _, t in rows]
     df = Counter(s for x in sets for s in x)
     n = len(rows)
-    weight = {s: math.log1p(n / (d + near_dedup.SMOOTHING * n)) for s, d in df.items()}
+    least = max(2, math.ceil(near_dedup.FREQUENT * n))
+    weight = {s: math.log1p(1 / ((d / n if d >= least else 0) + near_dedup.SMOOTHING)) for s, d in df.items()}
     parent = list(range(n))
 
     def root(i):
@@ -159,7 +162,7 @@ def test_samples_agree_as_often_as_texts_are_alike():
     grams = np.sort(rng.integers(0, 1 << 63, 3000, dtype=np.uint64))
     a, b = grams[:2500], grams[500:]
     sampler = near_dedup.Sampler(samples=400)
-    weights = near_dedup.Weights(np.zeros(near_dedup.DF_BUCKETS), 10)
+    weights = near_dedup.Weights(10, np.zeros(0, np.uint64), np.zeros(0, np.int64))
     one = np.ones(2500, np.int64)
     x = sampler.draw(a, weights.log(a, one), np.array([0, 2500]))
     y = sampler.draw(b, weights.log(b, one), np.array([0, 2500]))
@@ -380,5 +383,73 @@ def test_pipeline_stages(spark):
     assert {r["doc_id"] for r in last.select("doc_id").distinct().collect()} == set(after)
 
 
+def brute_statistics(text):
+    """What quality rules look at, by plain counting."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    n_words, n_chars, n_symbols, n_dup, n_repeat = brute_counts(text)
+    lines = [x for x in text.split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+    share = lambda a, b: a / max(b, 1)
+    return n_words, n_repeat, {
+        "mean_word": share(n_chars, n_words), "symbol_share": share(n_symbols, n_chars), "dup_line_share": share(n_dup, len(lines)),
+        "repeat_share": share(n_repeat, n_words), "upper_share": share(len(re.findall("[A-Z]", text)), n_chars),
+        "mark_share": share(text.count("!") + text.count("?"), n_chars), "digit_share": share(len(re.findall("[0-9]", text)), n_chars),
+        "same_share": share(sum(a == b for a, b in zip(w, w[1:])), n_words),
+    }
+
+
+def brute_kept(text, rules):
+    n_words, n_repeat, x = brute_statistics(text or "")
+    if n_words < 50 or 100 * n_repeat > 50 * n_words:
+        return False
+    return not any(all(x[name] <= t if op == "<=" else x[name] > t for name, op, t in rule) for rule in rules)
+
+
 def test_pipeline_run(spark):
-    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+    """All rows of the pipeline against the same stages in plain Python; models and spans are the operators' own."""
+    sf = "/root/testdata/sf0.001"
+    table = read(spark, sf, "documents")
+    rules = quality.fit(table, read(spark, sf, "labels"))
+    docs = sorted((r["doc_id"], r["text"]) for r in table.collect() if brute_kept(r["text"], rules))
+    assert 0 < len(docs) < table.count() and rules
+    first = set(brute_classes(docs))
+    docs = [(k, t) for k, t in docs if k in first]
+    items = [(r["item_id"], r["text"]) for r in read(spark, sf, "benchmark").collect()]
+    hit = {r[0] for r in brute_hits(docs, items, 10) if r[5]}
+    docs = [(k, t) for k, t in docs if str(k) not in hit]
+    spans = {r["doc_id"]: r["spans"] for r in pii.summary(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    clean = [(k, brute_redact(t, spans[k])) for k, t in docs]
+    assert clean != docs
+    check_packing(corpus_pipeline.run(spark, sf).collect(), clean, 2048)
+
+
+def test_pipeline_without_documents(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = read(spark, sf, "documents").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf)
+        assert docs.count() == 0
+
+
+def test_weights_do_not_depend_on_the_size_of_the_table(spark):
+    """Rare shingles weigh the same however many there are, frequent ones by their share."""
+    rng = random.Random(6)
+    weights = []
+    for n in (300, 3000):
+        docs = [(i, prose(rng, 80) + (" the same few words of all" if i % 3 == 0 else "")) for i in range(n)]
+        n_docs, grams, df = near_dedup.frequent_shingles(spark.createDataFrame(docs, "doc_id long, text string").select("text"))
+        shares = Counter(s for _, t in docs for s in shingles(t))
+        assert n_docs == n and sorted(df.tolist()) == sorted(d for d in shares.values() if d >= max(2, math.ceil(0.01 * n)))
+        w = near_dedup.Weights(n_docs, grams, df)
+        other = np.array([12345], np.uint64)
+        weights.append((float(w.plain(other, np.ones(1))[0]), float(w.plain(grams[np.argmax(df)][None], np.ones(1))[0])))
+    assert weights[0] == weights[1] and weights[0][0] > 1.3 * weights[0][1]
+
+
+def test_blocks_are_bounded_by_shingles(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 500)
+    rows = near_rows()
+    docs = spark.createDataFrame([(k, t) for k, t in rows], "doc_id long, text string")
+    found = near_dedup.near_duplicates(docs).collect()
+    assert sorted((str(r["doc_id"]), str(r["class_id"])) for r in found) == sorted(
+        (str(k), str(c)) for (k, _), c in zip(rows, brute_classes(rows))
+    )
