@@ -8,13 +8,15 @@ scripts, styles and reader comments inside are left out.
 
 Defined cases: a null or empty page, or one without text, gives an empty text; unclosed, crossed and stray tags
 are read as browsers do for the common cases; a page cut off in mid-tag loses that tag only; repeated rows and
-null ids are extracted one by one.
+null ids are extracted one by one. A sibling of the best container with under a fifth of its points is left out unless it
+is a paragraph, heading or quote. A form, header, label or fieldset around most of the page's prose is kept.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,7 +50,9 @@ _ENDS = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-_DROPPED = frozenset("head nav header footer aside form button input menu dialog label fieldset".split())
+_DROPPED = frozenset("head nav footer aside button input menu dialog".split())
+#: Elements that are dropped like the above unless they hold the page's article or most of its prose.
+_WRAPPERS = frozenset("form header label fieldset".split())
 _ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split()
 )
@@ -97,9 +101,9 @@ def _unwanted(tag: str, attributes: str) -> bool:
 
 def _hints(tag: str, attributes: str) -> frozenset[str]:
     """The hint words in class and id."""
-    found: set[str] = set()
+    found: set[str] = {f"<{tag}>"} if tag in _WRAPPERS else set()
     if tag in _UNHINTED or "=" not in attributes:
-        return frozenset()
+        return frozenset(found)
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         if name.lower() in ("class", "id"):
             names = [[w.lower() for w in _NAMES.findall(x)] for x in (a or b or c).split()]
@@ -111,21 +115,37 @@ def _hints(tag: str, attributes: str) -> frozenset[str]:
     return frozenset(found)
 
 
-def _drop_hinted(root: _Node) -> None:
-    """Drops hinted elements, unless they hold the page's article or, with weak hints only, read like prose."""
+def _drop_hinted(root: _Node, by_name: bool = True) -> None:
+    """Drops hinted elements, unless they hold the page's article or, with weak hints only, read like prose.
+
+    A form, header, label or fieldset stays if it is around paragraphs that are most of the page's prose, and in no
+    article. Without ``by_name`` the words in class and id are no hints.
+    """
     order = _score(root)
-    articles: set[int] = set()
+    articles: set[int] = set()  # elements around an article
+    paragraphs: set[int] = set()  # and around a paragraph
     for node in reversed(order):
-        if node.parent is not None and (node.article or id(node) in articles):
-            articles.add(id(node.parent))
+        if node.parent is not None:
+            if node.article or id(node) in articles:
+                articles.add(id(node.parent))
+            if node.tag == "p" or id(node) in paragraphs:
+                paragraphs.add(id(node.parent))
     page = max(1, root.chars - root.link_chars)
+    within: set[int] = set()  # elements inside an article
     for node in order:
-        if node.parent is not None and node.parent.dropped:
+        up = node.parent
+        if up is not None and (up.article or id(up) in within):
+            within.add(id(node))
+        if up is not None and up.dropped:
             node.dropped = True
         elif node.hints and not node.dropped:
             prose, density = node.chars - node.link_chars, node.link_chars / node.chars if node.chars else 1.0
-            whole = id(node) in articles or node.article or prose >= 0.9 * page
-            node.dropped = not (whole or node.hints <= _WEAK and prose >= 100 and density < 0.25)
+            holds = id(node) in articles or node.article
+            if node.tag in _WRAPPERS:
+                most = prose >= 0.5 * page and density < 0.25 and id(node) in paragraphs and id(node) not in within
+                node.dropped = not (holds or most)
+            elif by_name:
+                node.dropped = not (holds or prose >= 0.9 * page or node.hints <= _WEAK and prose >= 100 and density < 0.25)
     for node in order:
         node.chars = node.link_chars = 0
         node.points = 0.0
@@ -135,6 +155,17 @@ def parse(page: str) -> _Node:
     """The element tree; text is kept as strings among the children."""
     root = node = _Node("#root", None, False, False)
     at, n = 0, len(page)
+    opened: Counter[str] = Counter()  # tags of the open elements; an end tag without one is passed over at once
+
+    def leave(up: _Node) -> _Node:
+        """Close all elements down to ``up`` and it too."""
+        at = node
+        while at is not up:
+            opened[at.tag] -= 1
+            at = at.parent
+        opened[up.tag] -= 1
+        return up.parent
+
     while at < n:
         m = _TAG.search(page, at)
         if m is None:
@@ -147,34 +178,36 @@ def parse(page: str) -> _Node:
             continue
         tag = m[2].lower()
         if m[1]:
+            if not opened[tag]:
+                continue
             up = node
             while up.tag not in (tag, "#root"):
                 if tag not in _BLOCK and up.tag in _BLOCK:  # an inline end tag doesn't close blocks
                     break
                 up = up.parent
             if up.tag == tag:
-                node = up.parent
+                node = leave(up)
             continue
         if tag in _RAW:
             if not m[3].endswith("/>") or tag not in ("svg", "math"):
                 end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
                 at = end.end() if end else n
             continue
-        if tag in _ENDS_P:
+        if tag in _ENDS_P and opened["p"]:
             up = node
             while up.tag not in ("p", "#root", "button", "td", "th", "table") and (up.tag not in _BLOCK or up.tag == "p"):
                 up = up.parent
             if up.tag == "p":
-                node = up.parent
+                node = leave(up)
         if tag in _ENDS:
             closed, scope = _ENDS[tag]
             up, found = node, None
-            while up.tag not in scope and up.tag != "#root":
+            while any(map(opened.__getitem__, closed)) and up.tag not in scope and up.tag != "#root":
                 if up.tag in closed:
                     found = up
                 up = up.parent
             if found is not None:
-                node = found.parent
+                node = leave(found)
         if tag in ("html", "body"):
             continue
         child = _Node(tag, node, node.dropped or _unwanted(tag, m[3]), tag in ("article", "main") or "main" in m[3] and bool(re.search(r"role\s*=\s*[\"']?main", m[3])))
@@ -183,6 +216,7 @@ def parse(page: str) -> _Node:
         node.children.append(child)
         if tag not in _VOID and not (m[3].endswith("/>") and tag not in _BLOCK):
             node = child
+            opened[tag] += 1
     return root
 
 
@@ -211,13 +245,12 @@ def _score(root: _Node) -> list[_Node]:
         own[id(node)] = [commas]
         if node.tag not in _BLOCK and node.parent is not None:
             continue
+    block: dict[int, _Node] = {}  # the block that each element's text belongs to
     for node in order:  # commas of inline descendants belong to their paragraph
-        if node.dropped or node.tag in _BLOCK or node.parent is None:
-            continue
-        up = node.parent
-        while up.tag not in _BLOCK and up.parent is not None:
-            up = up.parent
-        own[id(up)][0] += own[id(node)][0]
+        inline = node.parent is not None and node.tag not in _BLOCK
+        block[id(node)] = block[id(node.parent)] if inline else node
+        if inline and not node.dropped:
+            own[id(block[id(node)])][0] += own[id(node)][0]
     for node in order:
         if node.dropped or node.tag not in _PARAGRAPHS or node.parent is None:
             continue
@@ -272,9 +305,13 @@ def extract(page: str | None) -> str:
     """The main text of one page; without regard to hints if they leave nothing."""
     if not page:
         return ""
-    root = parse(page)
-    _drop_hinted(root)
-    return _main_text(root) or _main_text(parse(page))
+    for by_name in (True, False):
+        root = parse(page)
+        _drop_hinted(root, by_name)
+        text = _main_text(root)
+        if text:
+            return text
+    return ""
 
 
 def _main_text(root: _Node) -> str:

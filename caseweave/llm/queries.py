@@ -132,8 +132,8 @@ ORACLE: dict[str, str] = {
             UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
         ), g AS (
             SELECT conv_id, count(*) AS n_turns,
-                string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
-                coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '') AS loss,
+                string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, md5(text)) AS turns,
+                coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, md5(text)), '') AS loss,
                 sum(10 + length({_ESCAPED.format("role")}) + 9 + length({_ESCAPED.format("text")}) + 5) AS formatted_chars
             FROM c GROUP BY conv_id
         )

@@ -12,6 +12,7 @@ from test_corpus_rules import brute_counts, brute_spans, brute_url, sha
 from test_corpus_text import check_packing
 from tokenizers import Tokenizer
 
+from caseweave.llm import html
 from caseweave.llm.common import read
 from caseweave.llm.encoding import tokenizer_path
 from caseweave.llm.queries import ORACLE, QUERIES, URL_RULES
@@ -59,6 +60,13 @@ def test_main_text(spark, pages):
         assert r["text"] == "\n".join(filter(None, blocks)) and r["n_chars"] == len(r["text"])
 
 
+def test_main_text_without_article_tags(pages):
+    """The scoring alone finds the text that the given pages mark as article."""
+    for page in pages.values():
+        plain = re.sub(r"<(/?)article\b[^>]*>", r"<\1div>", page["html"])
+        assert html.extract(plain) == html.extract(page["html"]), page["page_id"]
+
+
 def test_quality_rules(spark, documents):
     rows = {r["doc_id"]: r for r in QUERIES["op5_quality_rules"](spark, SF_DIR).collect()}
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

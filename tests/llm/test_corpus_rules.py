@@ -37,7 +37,7 @@ def test_chat_round_trip(spark):
     found = {r["conv_id"]: r for r in chat.digest(turns).collect()}
     assert len(found) == len({r[0] for r in rows})
     for conv, row in found.items():
-        own = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
+        own = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", hashlib.md5((r[3] or "").encode()).hexdigest()))
         replies = "".join(r[3] or "" for r in own if r[2] == "assistant")
         assert row["n_turns"] == len(own)
         assert row["turns_sha256"] == sha("".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in own))
@@ -49,7 +49,8 @@ def test_every_reply_is_an_example_with_its_whole_context(spark):
     rows, df = chat_table(spark)
     path = scratch_path(spark, "chats")
     chat.write_chats(df, path)
-    examples = chat.example_texts(spark, path, spark.createDataFrame([(1,), (9,)], "conv_id long")).collect()
+    examples = chat.example_texts(spark, path, spark.createDataFrame([(1,), (9,), (None,)], "conv_id long")).collect()
+    assert [r["text"][r["loss_start"] : r["loss_end"]] for r in examples if r["conv_id"] is None] == ["null id"]
     assert sum(r["conv_id"] == 1 for r in examples) == 2 and sum(r["conv_id"] == 9 for r in examples) == 200
     for r in examples:
         reply = r["text"][r["loss_start"] : r["loss_end"]]
@@ -120,6 +121,25 @@ def test_parts_of_an_article_with_hints_in_their_names():
     assert html.extract(page) == "\n".join([PROSE, "Discussion", PROSE, "Form", PROSE, PROSE, "So x=2 holds."])
 
 
+def test_a_form_around_the_page_keeps_its_article():
+    form = f'<form action="/x"><header>Site</header><p>{PROSE}</p><p>{PROSE}</p><label>Your name</label></form>'
+    assert html.extract(f"<body>{form}<footer>f</footer></body>") == f"{PROSE}\n{PROSE}"
+    assert html.extract(f"<body><form><nav>m</nav><article><p>{PROSE}</p></article></form></body>") == PROSE
+    # a form that is one, in or beside the text
+    for page in (f"<article><p>{PROSE}</p><form><p>{PROSE} {PROSE}</p></form></article>", f"<div><p>{PROSE}</p></div><form><label>{PROSE}</label></form>"):
+        assert html.extract(page) == PROSE
+    assert html.extract("<form>Search <label>here</label><input></form>") == ""
+
+
+def test_very_many_inline_tags_take_linear_time():
+    began = time.monotonic()
+    assert html.extract("<p>" + "<b>" * 100_000 + "x" + "</b>" * 100_000) == "x"
+    assert html.extract("<p>" + "<b>" * 100_000 + "x" + "</i>" * 100_000) == "x"
+    assert html.extract("<div>" + "<b>" * 50_000 + "<div>y</div>" * 50_000).count("y") == 50_000
+    assert html.extract("<b><li>" * 30_000 + "z") == "z"
+    assert time.monotonic() - began < 30
+
+
 def test_deep_and_long_pages_end():
     assert html.extract("<div>" * 20000 + "x" + "</div>" * 20000) == "x"
     assert html.extract("<p>" + "word, " * 200000).count("word") == 200000
