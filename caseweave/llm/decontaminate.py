@@ -6,12 +6,13 @@ ends no pattern prefix lets it pass over the whole pattern length less the block
 the block is the last one of some patterns; those are compared with the text. Patterns of one length share
 a table, so short items don't shorten the jumps of the others.
 
-The benchmark is searched in blocks of bounded size (``BLOCK_BYTES`` of words each): one block is one pass
-over the documents; with several, documents get a row number first and the hits of all passes are merged
-by it. Nothing else of the benchmark leaves its executors.
+The benchmark is searched in blocks of bounded size (``BLOCK_BYTES`` of words each), one after another: a block is one
+pass over the documents, its patterns are sent out for that pass and then taken back; with several, documents get a row
+number first and the hits of all passes are merged by it. Nothing else of the benchmark leaves its executors.
 
 Defined cases: a null or empty text has no words and no hits; an item without words is no pattern; items are
-told apart by item_id, so repeated rows of one id count once, and a null id is shown as ``null``; rows of
+told apart by item_id as text, so repeated rows of one id count once, and a null id is shown as ``null`` and is one
+item with the id ``null``; rows of
 documents that repeat are judged one by one.
 """
 
@@ -191,13 +192,12 @@ def find_contamination(
         return texts.mapInArrow(_scan(blocks[0](), window), f"key {kind}, {_FOUND}").withColumnRenamed("key", key)
     spark = docs.sparkSession
     numbered = stored(texts.withColumn("row", F.monotonically_increasing_id()), "documents")
-    passes = [
-        numbered.select("row", "text")
-        .mapInArrow(_scan(block(), window), f"key long, {_FOUND}")
-        .where(F.size("spans") > 0)
-        .select(F.col("key").alias("row"), "spans", "items")
-        for block in blocks
-    ]
+    passes = []
+    for block in blocks:  # the patterns of one block are held at a time
+        rows = block()
+        found = numbered.select("row", "text").mapInArrow(_scan(rows, window), f"key long, {_FOUND}")
+        passes.append(stored(found.where(F.size("spans") > 0).select(F.col("key").alias("row"), "spans", "items"), "hits"))
+        rows.destroy()
     hits = (
         union_all(passes)
         .groupBy("row")
@@ -258,7 +258,9 @@ def drop_contaminated(
     kept = docs
     blocks = _blocks(docs, benchmark, window, block_bytes)
     for i, block in enumerate(blocks):
-        kept = kept.mapInArrow(_clean(block(), window, at), docs.schema)
+        rows = block()
+        kept = kept.mapInArrow(_clean(rows, window, at), docs.schema)
         if i < len(blocks) - 1:  # the tables of one block are held at a time
             kept = stored(kept, "kept")
+            rows.destroy()
     return kept
