@@ -81,10 +81,10 @@ class Encoder:
             spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
-        self.added = self._added(spec)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.model, self.code = self.tokenizer.model, {2: "H", 4: "I"}[self.dtype.itemsize]
         self.kind = self._kind(spec)
+        self.added = [] if special_as_text else self._added(spec)
         self.parts = _PARTS.get(self.kind)
         letters = _byte_letters()
         self.letters = {b: "".join(letters[x] for x in chr(b).encode()) for b in range(256)}
@@ -106,16 +106,18 @@ class Encoder:
                 return "words"
         return "whole"
 
-    @staticmethod
-    def _added(spec: dict) -> list[bytes]:
-        """What to look for in texts that may hold an added token, lower-cased: a normaliser may lower them."""
-        names = [t["content"].encode().lower() for t in spec.get("added_tokens") or []]
-        # the Kelvin sign is the one letter outside ASCII that becomes a single letter inside
-        return names + ["\u212a".encode()] * any(b"k" in n for n in names)
-
-    def _special(self, low: np.ndarray) -> Iterator[int]:
-        """Places of added tokens in lower-cased bytes."""
-        held = low.tobytes()
+    def _added(self, spec: dict) -> list[bytes]:
+        """What to look for in texts that may hold an added token; lower-cased where a normaliser lowers texts."""
+        names = [t["content"].encode() for t in spec.get("added_tokens") or []]
+        if self.kind == "words":
+            names = [n.lower() for n in names]
+            # the Kelvin sign is the one letter outside ASCII that becomes a single letter inside
+            names += ["\u212a".encode()] * any(b"k" in n for n in names)
+        return names
+
+    def _special(self, data: np.ndarray) -> Iterator[int]:
+        """Places of added tokens."""
+        held = data.tobytes() if self.added else b""
         for name in self.added:
             at = held.find(name)
             while at >= 0:
@@ -152,17 +154,16 @@ class Encoder:
         if self.kind != "whole":
             cut[1:] = space[1:] & ~space[:-1]
         foreign = set()
+        low = _LOWER[data] if self.kind == "words" else data
         if self.kind != "whole":
             found = [m.start() for m in _FOREIGN_SPACE.finditer(data)]
-            if not self.tokenizer.encode_special_tokens:
-                found += self._special(_LOWER[data])
+            found += self._special(low)
             foreign = set((np.searchsorted(offsets, found, "right") - 1).tolist())
             for row in foreign:
                 cut[offsets[row] : offsets[row + 1]] = False
         cut[offsets[:-1][offsets[:-1] < len(data)]] = True
         cuts = np.append(np.flatnonzero(cut), len(data))
         if self.kind == "words":
-            low = _LOWER[data]
             for row in foreign:
                 low[offsets[row] : offsets[row + 1]] = data[offsets[row] : offsets[row + 1]]
             data = low

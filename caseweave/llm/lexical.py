@@ -41,7 +41,9 @@ from caseweave.llm.common import stored, union_all
 from caseweave.llm.words import WORD_BYTES
 
 TOP = 50
-SEGMENT_DOCS = 1 << 14
+SEGMENT_DOCS = 1 << 13
+#: Tasks that segments are dealt out to, one each as long as there are no more segments.
+SEGMENT_TASKS = 8192
 QUERY_BYTES = 4 << 20
 VOCABULARY_BYTES = 16 << 20
 
@@ -60,6 +62,7 @@ class Index:
     frequencies: DataFrame
     n_docs: int
     n_terms: int
+    segments: int
     key: str
 
 
@@ -139,6 +142,10 @@ def _build_segment(docs: pa.Table) -> pa.Table:
     )
 
 
+def _by_segment(rows: DataFrame, segments: int):
+    return rows.repartition(min(segments, SEGMENT_TASKS), "segment").groupBy("segment")
+
+
 def build_index(
     docs: DataFrame, vocabulary: DataFrame | None = None, key: str = "doc_id", segment_docs: int = SEGMENT_DOCS
 ) -> Index:
@@ -159,12 +166,12 @@ def build_index(
     placed = vectors.where(F.size("terms") > 0).select(
         F.pmod(F.xxhash64("row"), F.lit(segments)).cast("long").alias("segment"), normaliser.cast("long").alias("m"), "key", "terms", "tfs"
     )
-    strata = placed.groupBy("segment").applyInArrow(
+    strata = _by_segment(placed, segments).applyInArrow(
         _build_segment,
         f"segment long, m long, keys array<{kind}>, ranks array<int>, postings array<struct<term: string, tf: int, docs: array<int>>>",
     )
     frequencies = vectors.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return Index(stored(strata, "strata"), stored(frequencies, "frequencies"), n_docs, n_terms or 0, key)
+    return Index(stored(strata, "strata"), stored(frequencies, "frequencies"), n_docs, n_terms or 0, segments, key)
 
 
 # ---------------------------------------------------------------------------------------- searching
@@ -313,7 +320,7 @@ def search(index: Index, items: DataFrame, top: int = TOP, key: str = "item_id",
             continue
         queries = _Queries(rows, index.n_docs)
         sent = spark.sparkContext.broadcast(queries)
-        found = index.strata.groupBy("segment").applyInArrow(_search_segment(sent, top), f"item_no int, key {doc_kind}, score long")
+        found = _by_segment(index.strata, index.segments).applyInArrow(_search_segment(sent, top), f"item_no int, key {doc_kind}, score long")
         best = found.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= top)
         named = spark.createDataFrame(list(enumerate(queries.items)), f"item_no int, item {item_kind}")
         part = best.join(F.broadcast(named), "item_no").select(  # a block of queries has bounded size
