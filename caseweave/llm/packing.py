@@ -5,12 +5,13 @@ is made for a histogram of lengths, never of more rows than the capacity: best f
 exchanges between bins that are not full: the fuller one takes a length for nothing, for one or for two smaller
 ones, or two lengths for one. Every exchange raises the sum of squared fills, so the search ends, and it ends only
 when no two bins have an exchange left; possible sums are kept as bits, so that partners are found without trying
-all pairs. A bin type stands for many equal
-bins; the plan's size follows the capacity and not the number of documents. Documents then take their
+all pairs. A bin type stands for many equal bins. Best fit works on at most as many lengths as the capacity; the
+search on the driver takes as long as there are different bins, which is short for common lengths and minutes for
+millions of documents of lengths that best fit packs badly (the README has figures). Documents then take their
 places by their rank among the documents of their length.
 
 Defined cases: a null text is empty and holds the end id only; rows that share a doc_id are separate
-documents; an empty table gives no rows.
+documents; an empty table gives no rows; very long texts are cut into pieces, however many.
 """
 
 from __future__ import annotations
