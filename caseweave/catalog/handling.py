@@ -107,7 +107,7 @@ def cluster_representatives(spark, sf):
 
 
 #: Steps that the SQL twins of k-means have room for.
-KMEANS_STEPS, DISCOVERY_STEPS = 32, 20
+KMEANS_STEPS, DISCOVERY_STEPS = 27, 16
 
 
 def kmeans_sizes(spark, sf):
