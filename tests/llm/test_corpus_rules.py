@@ -63,6 +63,30 @@ def test_every_reply_is_an_example_with_its_whole_context(spark):
             )
 
 
+@pytest.mark.parametrize("span", [1, 3, 64])
+def test_store_holds_every_example_in_full(spark, monkeypatch, span):
+    monkeypatch.setattr(chat, "SPAN", span)
+    rows, df = chat_table(spark)
+    rows += [(None, i, "assistant", f"n{i}", "extra", 3) for i in range(6, 9)]
+    df = df.union(spark.createDataFrame(rows[-3:], df.schema))
+    path = scratch_path(spark, "chats")
+    chat.write_chats(df, path)
+    got = {(r["conv_id"], r["example"]): r for r in spark.read.parquet(f"{path}/examples").collect()}
+    assert len(got) == sum(r[2] == "assistant" for r in rows)
+    escaped = lambda t: re.sub(r"\[(\\*)(/?INST\])", r"[\\\1\2", re.sub(r"<(\\*)(/?s>)", r"<\\\1\2", t or ""))
+    for conv in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", hashlib.md5((r[3] or "").encode()).hexdigest()))
+        text, example = "", 0
+        for r in own:
+            text += chat.OPEN + escaped(r[2]) + chat.ROLE_END
+            if r[2] == "assistant":
+                found = got[conv, example]
+                assert found["text"] == text + escaped(r[3]) + chat.CLOSE
+                assert (found["context_chars"], found["loss_start"], found["loss_chars"]) == (len(text), len(text), len(escaped(r[3])))
+                example += 1
+            text += escaped(r[3]) + chat.CLOSE
+
+
 @pytest.mark.parametrize("text", ["<s>", "</s>", "<\\s>", "<\\\\/s>", "[INST][/INST]", "[\\/INST]", "<<s>>", "<s", "\\", "a\\[INST]", ""])
 def test_escape_is_reversible(spark, text):
     row = spark.createDataFrame([(text,)], "t string").select(chat.escape(F.col("t")).alias("e")).select("e", chat.unescape(F.col("e")).alias("u")).first()
