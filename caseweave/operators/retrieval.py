@@ -7,10 +7,11 @@ similarities exist only as a matrix inside a task, which returns the best ``k``
   fixed number of past cases) is broadcast.  Messages are then read, scored and passed on in one
   map-only stage.
 * A larger index is cut into cells around pivots, each with the largest angle between the pivot and
-  a member, and cells into blocks of bounded size; queries are cut by their nearest pivot.  A task
-  scores one block of queries against one block of the index.  No member of a cell is nearer to a
-  query than the angle to the pivot less the cell's own, so a cell is skipped for a query if that
-  bound cannot reach its ``k``-th score so far.  Cells are visited in rounds, the nearest first.
+  a member, and cells into blocks of bounded size; queries are cut by their nearest pivot.  No member
+  of a cell is nearer to a query than the angle to the pivot less the cell's own, so a cell is
+  skipped for a query if that bound cannot reach its ``k``-th score so far.  Cells are visited in
+  rounds, the nearest first.  Consecutive blocks travel together as a part: a task gets a part of the
+  queries and a part of the index, each vector once, and compares what the queries are to visit.
 
 Similarities are rounded to nine decimals before they are ranked, and ties go to the smaller id,
 so the result depends neither on the order of summation nor on the block layout.  Indexed rows that
@@ -47,6 +48,12 @@ PIVOT_BYTES = 8 << 20
 PIVOTS_PER_BLOCK = 4
 #: Cells that a query visits after those that its first ``k`` cases come from, by round; then all that are left.
 ROUND_CELLS = (8,)
+#: The index and the queries are sent to tasks in so many parts, and in more if a part would have more than
+#: ``PART_BYTES`` as doubles (or one block).  What is sent grows with the number of parts.
+INDEX_PARTS, QUERY_PARTS = 8, 4
+PART_BYTES = 64 << 20
+#: A task that is to compare so much of a part or more compares all of it at once.
+DENSE_SHARE = 0.25
 ANGLE_SLACK = 1e-6  # larger than the error of an angle between nearly equal vectors
 
 
@@ -123,11 +130,12 @@ def _make_kernel():
         first = np.searchsorted(runs, code, "left")
         return first, np.where(known, np.searchsorted(runs, code, "right"), first)
 
-    def best(queries, usable, query_ids, index, index_ids, k, exclude_self):
+    def best(queries, usable, query_ids, index, index_ids, k, exclude_self, wanted=None, cell=None):
         """Positions (n, k) and similarities of the best k; -inf marks an empty place.
 
         ``index_ids`` is ascending, so the first maximum is the one with the smallest id.
-        A query without an id excludes nothing.
+        A query without an id excludes nothing.  ``wanted`` (n, cells) and the index rows' ``cell``
+        leave out the cells that a query is not to visit.
         """
         n, m = len(queries), len(index)
         k = min(k, m)
@@ -142,6 +150,8 @@ def _make_kernel():
             part = slice(start, start + step)
             sims = np.round(queries[part] @ index.T, decimals)
             sims[~usable[part]] = -np.inf
+            if wanted is not None and not wanted[part].all():
+                sims[~wanted[part][:, cell]] = -np.inf
             rows = np.arange(len(sims))
             if exclude_self:
                 first, last = own_first[part].copy(), own_last[part]
@@ -288,11 +298,15 @@ def neighbours(
 # ----------------------------------------------------------------------------------------------
 @dataclass
 class _Cells:
-    """Cells of the index around pivots: unit vectors, the angle of the farthest member, members."""
+    """Cells of the index around pivots: unit vectors, the angle of the farthest member, members.
+
+    ``parts``: the first and the last cell of each part of the index.
+    """
 
     pivots: np.ndarray
     reach: np.ndarray
     size: np.ndarray
+    parts: list[tuple[int, int]]
 
 
 def _choose_pivots(index: DataFrame, n_rows: int, dims: int, block_bytes: int) -> np.ndarray:
@@ -325,35 +339,73 @@ def _nearest_pivot(pivots):
     return assign
 
 
-def _in_blocks(df: DataFrame, row: str, block: str, dims: int, block_bytes: int) -> tuple[DataFrame, DataFrame, list, int]:
-    """``df`` with a block number; the blocks of each cell; members and reach of each cell; how many blocks there are.
+def _in_blocks(
+    df: DataFrame, row: str, names: tuple[str, str], dims: int, block_bytes: int, n_parts: int
+) -> tuple[DataFrame, DataFrame, list, int, list[tuple[int, int]]]:
+    """``df`` with a block and a part number; the blocks of each cell; members and reach of each cell; how many blocks
+    there are; the first and the last cell of each part.
 
     A cell that is larger than a block is cut by a hash of the row number, so blocks have bounded size.
     """
+    block, part = names
     counted = df.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("near").alias("near")).collect()
-    parts, first, table = {}, 0, []
+    part_bytes = max(block_bytes, min(PART_BYTES, sum(r["n"] for r in counted) * dims * 8 / n_parts))
+    part_rows = max(1, int(part_bytes / (8 * dims)))
+    table, first, before, cells = [], 0, 0, {}
     for r in sorted(counted, key=lambda r: r["cell"]):
-        parts[r["cell"]] = math.ceil(r["n"] * dims * 8 / block_bytes)
-        table.append((r["cell"], first, parts[r["cell"]]))
-        first += parts[r["cell"]]
-    blocks = df.sparkSession.createDataFrame(table, f"cell int, first_{block} int, n_{block} int")
-    number = F.col(f"first_{block}") + F.pmod(F.xxhash64(row), F.col(f"n_{block}")).cast("int")
+        n = math.ceil(r["n"] * dims * 8 / block_bytes)
+        table.append((r["cell"], first, n, before, r["n"]))
+        for at in range(before // part_rows, (before + (n - 1) * r["n"] // n) // part_rows + 1):
+            cells[at] = (cells.get(at, (r["cell"],))[0], r["cell"])
+        first, before = first + n, before + r["n"]
+    ranges = [cells.get(i, (0, -1)) for i in range(max(cells, default=-1) + 1)]
     # one row per pivot, and pivots have a bounded size
-    placed = df.join(F.broadcast(blocks), "cell").withColumn(block, number)
-    return placed.drop(f"first_{block}", f"n_{block}", "near"), blocks, counted, first
+    table = df.sparkSession.createDataFrame(table, "cell int, first int, n long, before long, n_rows long")
+
+    def cut(rows: DataFrame, piece: Column) -> DataFrame:
+        at = F.expr(f"cast((before + (piece * n_rows) div n) div {part_rows} as int)")
+        numbers = {block: (F.col("first") + F.col("piece")).cast("int"), part: at}
+        return rows.withColumn("piece", piece).withColumns(numbers).drop("piece", "first", "n", "before", "n_rows")
+
+    placed = cut(df.join(F.broadcast(table), "cell"), F.pmod(F.xxhash64(row), F.col("n"))).drop("near")
+    table = cut(table, F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    return placed, table, counted, first, ranges
 
 
 def _plan_round(cells, k: int, round_no: int):
-    """For each query the cells to visit in a round: the next ones by their bound that can still matter."""
+    """For each query the cells to visit in a round: the next ones by their bound that can still matter.
+
+    ``visits`` has a row for each part of the index that holds some: its number, and a bit for each of its cells.
+    """
     unit_rows, _ = _make_kernel()
     held, slack, sizes = _CELLS, ANGLE_SLACK, ROUND_CELLS
 
+    def by_part(want, parts):
+        """Arrow lists of (ip, cells) from a row of flags per query."""
+        rows, numbers, words, widths = [], [], [], []
+        for i, (first, last) in enumerate(parts):
+            flags = want[:, first : last + 1]
+            row = np.flatnonzero(flags.any(axis=1))
+            width = -(-flags.shape[1] // 64)
+            packed = np.zeros((len(row), 8 * width), np.uint8)
+            bits = np.packbits(flags[row], axis=1, bitorder="little")
+            packed[:, : bits.shape[1]] = bits
+            rows.append(row)
+            numbers.append(np.full(len(row), i, np.int32))
+            words.append(packed.view(np.int64).ravel())
+            widths.append(np.full(len(row), width, np.int32))
+        row = np.concatenate(rows)
+        ends = np.concatenate([[0], np.cumsum(np.concatenate(widths))]).astype(np.int32)
+        cells = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(words)))
+        visits = pa.StructArray.from_arrays([pa.array(np.concatenate(numbers)), cells], names=["ip", "cells"])
+        ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(want)))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), visits.take(pa.array(np.argsort(row, kind="stable"))))
+
     def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = cells.value
         for batch in batches:
             rows, _ = unit_rows(batch.column("vector"))
             least = batch.column("least").fill_null(-np.inf).to_numpy(zero_copy_only=False)
-            wanted: list[list[int]] = []
             step = max(1, held // len(index.pivots))
             for start in range(0, len(rows), step):
                 part = slice(start, start + step)
@@ -370,16 +422,40 @@ def _plan_round(cells, k: int, round_no: int):
                 place = np.arange(order.shape[1])
                 matters = np.take_along_axis(bound, order, axis=1) >= least[part, None] - 1e-9
                 visit = (place >= begin[:, None]) & (place < end[:, None]) & matters
-                wanted += [row[keep].tolist() for row, keep in zip(order, visit, strict=True)]
-            columns = {c: batch.column(c) for c in batch.schema.names if c != "least"}
-            yield pa.record_batch({**columns, "cells": pa.array(wanted, pa.list_(pa.int32()))})
+                want = np.zeros(order.shape, bool)
+                np.put_along_axis(want, order, visit, axis=1)
+                want[:, index.size == 0] = False
+                own = batch.slice(start, len(order))
+                columns = {c: own.column(c) for c in batch.schema.names if c != "least"}
+                yield pa.record_batch({**columns, "visits": by_part(want, index.parts)})
 
     return plan
 
 
-def _score_blocks(k: int, exclude_self: bool):
-    """The best ``k`` cases of one block of the index for each query of one block of queries."""
+def _score_parts(cells, k: int, exclude_self: bool):
+    """The best ``k`` cases of one part of the index for each query of one part of the queries."""
     unit_rows, best = _make_kernel()
+    dense = DENSE_SHARE
+
+    def in_cells(queries, usable, ids, cases, index_ids, wanted, cell):
+        """Cell by cell: the query, the case and the similarity of the best ``k`` of each query."""
+        members = np.split(np.argsort(cell, kind="stable"), np.cumsum(np.bincount(cell, minlength=wanted.shape[1]))[:-1])
+        row, place, score = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for i, own in enumerate(members):
+            asking = np.flatnonzero(wanted[:, i]) if len(own) else own
+            if not len(asking):
+                continue
+            some, own_ids = ids.take(pa.array(asking)), index_ids.take(pa.array(own))
+            places, scores = best(queries[asking], usable[asking], some, cases[own], own_ids, k, exclude_self)
+            found = np.isfinite(scores)
+            row.append(asking[np.nonzero(found)[0]])
+            place.append(own[places[found]])
+            score.append(scores[found])
+        row, place, score = np.concatenate(row), np.concatenate(place), np.concatenate(score)
+        order = np.lexsort((place, -score, row))
+        row, place, score = row[order], place[order], score[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row, "left") < k
+        return row[keep], place[keep], score[keep]
 
     def score(left_table: pa.Table, right_table: pa.Table) -> pa.Table:
         right_table = right_table.sort_by([("index_id", "ascending"), ("case_row", "ascending")])
@@ -387,27 +463,42 @@ def _score_blocks(k: int, exclude_self: bool):
         ids = left_table.column("query_id").combine_chunks()
         queries, usable = unit_rows(left_table.column("vector").combine_chunks())
         cases, _ = unit_rows(right_table.column("vector").combine_chunks())
+        row, place, scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         if len(queries) and len(cases):
-            places, scores = best(queries, usable, ids, cases, index_ids, k, exclude_self)
-        else:
-            places = np.zeros((len(queries), 0), dtype=np.int64)
-            scores = np.zeros((len(queries), 0))
-        found = np.isfinite(scores)
-        row, _ = np.nonzero(found)
-        taken = pa.array(places[found])
+            cell = right_table.column("cell").to_numpy() - cells.value.parts[left_table.column("ip")[0].as_py()][0]
+            words = left_table.column("cells").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            bits = np.ascontiguousarray(words).view(np.uint8).reshape(len(queries), -1)
+            wanted = np.unpackbits(bits, axis=1, bitorder="little").astype(bool)
+            size = np.bincount(cell, minlength=wanted.shape[1])
+            if (wanted.sum(axis=0) * size).sum() >= dense * len(queries) * len(cases):
+                places, all_scores = best(queries, usable, ids, cases, index_ids, k, exclude_self, wanted, cell)
+                found = np.isfinite(all_scores)
+                row, place, scores = np.nonzero(found)[0], places[found], all_scores[found]
+            else:
+                row, place, scores = in_cells(queries, usable, ids, cases, index_ids, wanted, cell)
         return pa.table(
             {
                 "row": left_table.column("row").take(pa.array(row)),
                 "query_id": ids.take(pa.array(row)),
-                "case_row": right_table.column("case_row").take(taken),
-                "index_id": index_ids.take(taken),
-                "similarity": pa.array(scores[found], pa.float64()),
+                "case_row": right_table.column("case_row").take(pa.array(place)),
+                "index_id": index_ids.take(pa.array(place)),
+                "similarity": pa.array(scores, pa.float64()),
             }
         )
 
     return score
 
 
+def _block_pairs(left: DataFrame, blocks: DataFrame, parts: list[tuple[int, int]]) -> int:
+    """How many pairs of a block of queries and a block of the index are compared."""
+    first = left.sparkSession.createDataFrame([(i, a) for i, (a, _) in enumerate(parts)], "ip int, first int")
+    words = left.select("qb", "ip", F.posexplode("cells").alias("at", "word")).distinct()
+    bits = words.withColumn("bit", F.explode(F.sequence(F.lit(0), F.lit(63))))
+    bits = bits.where(F.expr("shiftright(word, bit) & 1 = 1")).join(first, "ip")
+    cells = bits.select("qb", "ip", (F.col("first") + 64 * F.col("at") + F.col("bit")).alias("cell")).distinct()
+    return cells.join(blocks, ["cell", "ip"]).select("qb", "ib").distinct().count()
+
+
 def _blocked_top_k(
     queries: DataFrame, index: DataFrame, k: int, exclude_self: bool, block_bytes: int, shipped: dict | None = None
 ) -> DataFrame:
@@ -416,9 +507,9 @@ def _blocked_top_k(
     ``queries`` (row, query_id, vector) and ``index`` (case_row, index_id, vector) are stored
     tables with unique row numbers; ids may repeat, and a query's id may be NULL.
 
-    Block sizes follow from memory: a task holds one block of queries, one block of the index
+    Sizes follow from memory: a task holds one part of the queries, one part of the index
     and a bounded slice of their similarities.  ``shipped`` takes down how many block pairs there are
-    (``all``) and how many are compared in each round (``rounds``).
+    (``all``), how many are compared and how many vectors are sent in each round (``rounds``, ``sent``).
     """
     spark = queries.sparkSession
     query_type, index_type = (df.schema[c].dataType for df, c in ((queries, "query_id"), (index, "index_id")))
@@ -438,17 +529,19 @@ def _blocked_top_k(
         kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
         return store_stage(df.mapInArrow(_nearest_pivot(pivots), f"{kinds}, cell int, near double"), name)
 
-    cases, blocks, counted, n_cases = _in_blocks(placed(index, "cells"), "case_row", "ib", dims, block_bytes)
+    cases, blocks, counted, n_cases, parts = _in_blocks(
+        placed(index, "cells"), "case_row", ("ib", "ip"), dims, block_bytes, INDEX_PARTS
+    )
     own = queries.select("row", F.col("query_id").try_cast(index_type).alias("query_id"), "vector")
-    asked, _, _, n_asked = _in_blocks(placed(own, "queries"), "row", "qb", dims, block_bytes)
+    asked, _, _, n_asked, _ = _in_blocks(placed(own, "queries"), "row", ("qb", "qp"), dims, block_bytes, QUERY_PARTS)
     size, near = np.zeros(len(pivots.value), np.int64), np.ones(len(pivots.value))
     for r in counted:
         size[r["cell"]], near[r["cell"]] = r["n"], r["near"]
     reach = np.arccos(np.clip(near, -1.0, 1.0)) + ANGLE_SLACK
     reach[size == 0] = -2 * np.pi  # an empty cell is the last to be visited
-    cells = spark.sparkContext.broadcast(_Cells(pivots.value, reach, size))
+    cells = spark.sparkContext.broadcast(_Cells(pivots.value, reach, size, parts))
 
-    asked = asked.select("row", "query_id", "vector", "qb")
+    asked = asked.select("row", "query_id", "vector", "qb", "qp")
     order = W.partitionBy("row").orderBy(F.col("similarity").desc(), "index_id", "case_row")
     best = None
     for round_no in range(len(ROUND_CELLS) + 2):
@@ -459,23 +552,25 @@ def _blocked_top_k(
             waiting = asked.join(full.where(F.col("n") == k).select("row", "least"), "row", "left")
         planned = waiting.mapInArrow(
             _plan_round(cells, k, round_no),
-            f"row bigint, query_id {index_type.simpleString()}, vector {own.schema['vector'].dataType.simpleString()}, qb int, cells array<int>",
-        ).where(F.size("cells") > 0)
+            f"row bigint, query_id {index_type.simpleString()}, vector {own.schema['vector'].dataType.simpleString()},"
+            " qb int, qp int, visits array<struct<ip: int, cells: array<bigint>>>",
+        ).where(F.size("visits") > 0)
         planned = store_stage(planned, "planned")
         if planned.isEmpty():
             continue  # a later round has other cells
-        left = planned.select("row", "query_id", "vector", "qb", F.explode("cells").alias("cell"))
-        numbers = F.sequence(F.col("first_ib"), F.col("first_ib") + F.col("n_ib") - 1)
-        left = left.join(F.broadcast(blocks), "cell").withColumn("ib", F.explode(numbers))
-        pairs = store_stage(left.select("qb", "ib").distinct(), "pairs")
+        left = planned.select("row", "query_id", "vector", "qb", "qp", F.inline("visits"))
+        # at most one row per part of the queries and part of the index
+        pairs = store_stage(planned.select("qp", F.explode("visits.ip").alias("ip")).distinct(), "pairs")
         if shipped is not None:
-            shipped.setdefault("rounds", []).append(pairs.count())
+            shipped.setdefault("rounds", []).append(_block_pairs(left, blocks, parts))
             shipped["all"] = n_cases * n_asked
-        right = cases.select("case_row", "index_id", "vector", "ib").join(pairs, "ib")
+        right = cases.select("case_row", "index_id", "vector", "cell", "ip").join(F.broadcast(pairs), "ip")
+        if shipped is not None:
+            shipped.setdefault("sent", []).append(left.count() + right.count())
         partial = (
-            left.select("row", "query_id", "vector", "qb", "ib").groupBy("qb", "ib")
-            .cogroup(right.groupBy("qb", "ib"))
-            .applyInArrow(_score_blocks(k, exclude_self), found)
+            left.drop("qb").groupBy("qp", "ip")
+            .cogroup(right.groupBy("qp", "ip"))
+            .applyInArrow(_score_parts(cells, k, exclude_self), found)
         )
         merged = partial if best is None else best.unionByName(partial)
         ranked = merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -172,6 +172,18 @@ def test_pruned_blocks_give_all_neighbours(spark, exclude_self):
         assert len(shipped["rounds"]) <= 3
 
 
+def test_vectors_are_sent_by_part_and_not_by_block(spark):
+    """Small blocks are many; a vector is still sent once for each part of the other side only."""
+    rows = np.random.default_rng(1).normal(size=(900, 16)).astype("float32")
+    got, shipped = blocked(spark, rows, rows[:300], 3, 16 * 8 * 10)
+    assert len(got) == 300 and shipped["all"] > 90 * 30
+    for sent in shipped["sent"]:
+        assert sent <= 300 * (R.INDEX_PARTS + 1) + 900 * (R.QUERY_PARTS + 1)
+    unit = rows.astype("float64") / np.linalg.norm(rows.astype("float64"), axis=1)[:, None]
+    best = np.sort(np.round(unit[:300] @ unit.T, 9), axis=1)[:, :-4:-1]
+    assert np.allclose([[s for _, s in got[i]] for i in range(300)], best, atol=2e-9)
+
+
 def test_one_cell_larger_than_a_block_is_cut(spark):
     rows = clustered(500, 1, spread=1e-4)
     got, _ = blocked(spark, rows, rows[:50], 3, 16 * 8 * 40)
